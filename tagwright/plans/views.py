@@ -86,8 +86,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 5 =
  'file' || cast(l_orderkey % 50 AS string) AS file, CASE WHEN l_orderkey % 11 = 0 THEN '' ELSE '2026-W' || lpad(cast(l_orderkey % 50 % 13 + 20 AS string), 2, '0') END AS year_week, l_partkey % 7 = 0 AS out_of_category
 FROM price_obs JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 4 = 0"""),
     "ledger": (("events",), """
-SELECT 'f' || cast(user_id AS string) AS file, max(CASE event_type WHEN 'click' THEN 'done' WHEN 'view' THEN 'failed' ELSE 'done' END) AS status, count(*) AS n_rows
-FROM events WHERE user_id % 3 <> 0 GROUP BY 1"""),
+SELECT 'f' || cast(user_id AS string) AS file, CASE user_id % 4 WHEN 0 THEN 'failed' ELSE 'done' END AS status, count(*) AS n_rows
+FROM events WHERE user_id % 3 <> 0 GROUP BY 1, 2"""),
     "word_pages": (("documents",), """
 SELECT cast(doc_id % 97 AS string) AS file, cast(floor(doc_id / 97) + 1 AS int) AS page, text FROM documents"""),
 }

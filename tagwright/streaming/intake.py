@@ -11,18 +11,24 @@ from pyspark.sql.utils import AnalysisException
 from tagwright.operators.store import merge_by_file
 
 
-def current(spark: SparkSession, store: str) -> DataFrame | None:
-    """The rows of the store's last committed batch, None if there is none."""
+def last_batch(spark: SparkSession, store: str) -> int | None:
     try:
-        last = spark.read.json(f"{store}/commits").agg(F.max("batch")).first()[0]
+        return spark.read.json(f"{store}/commits").agg(F.max("batch")).first()[0]
     except AnalysisException:
         return None
-    return spark.read.parquet(f"{store}/data/batch={last}")
+
+
+def current(spark: SparkSession, store: str) -> DataFrame | None:
+    """The rows of the store's last committed batch, None if there is none."""
+    last = last_batch(spark, store)
+    return None if last is None else spark.read.parquet(f"{store}/data/batch={last}")
 
 
 def merge_batch(rows: DataFrame, store: str, batch: int) -> None:
-    """Write the merged store of a batch beside the old one, then commit it. A batch that is replayed replaces itself."""
+    """Write the merged store of a batch beside the old one, then commit it. A batch that was committed is not merged again."""
     spark = rows.sparkSession
+    if last_batch(spark, store) == batch:
+        return
     existing = current(spark, store)
     merged = rows.where("coalesce(brand, '') <> ''") if existing is None else merge_by_file(existing, rows)
     merged.write.mode("overwrite").parquet(f"{store}/data/batch={batch}")
@@ -36,6 +42,12 @@ def intake(spark: SparkSession, source: str, schema: str, store: str, checkpoint
     goes on where it stopped.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    query = stream.writeStream.foreachBatch(lambda rows, batch: merge_batch(process(rows), store, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def merge(rows: DataFrame, batch: int) -> None:
+        rows = rows.persist()
+        merge_batch(process(rows), store, batch)
+        rows.unpersist()
+
+    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return sum(p["numInputRows"] for p in query.recentProgress)

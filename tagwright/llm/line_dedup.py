@@ -51,20 +51,21 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     document: the same window at the same line is one occurrence, and cuts found
     for the id apply to each of its rows.
     """
-    cuts = covered_intervals(repeated_windows(docs)).withColumnRenamed("doc_id", "_id")
+    cuts = covered_intervals(repeated_windows(docs)).withColumnRenamed("doc_id", "cut_id")
     docs = docs.drop("n_lines", "n_removed")
-    names = docs.columns
-    joined = docs.join(cuts, F.col("doc_id") == F.col("_id"), "left").withColumn("_lines", _lines("text"))
-    n = F.size("_lines")
+    rows = docs.select(F.struct(*docs.columns).alias("d"))
+    rows = rows.join(cuts, F.col("d.doc_id") == F.col("cut_id"), "left").withColumn("lines", _lines("d.text"))
+    n = F.size("lines")
     starts = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c["hi"] + 1))
     ends = F.concat(F.transform("cuts", lambda c: c["lo"]), F.array(n))
-    kept = F.flatten(F.zip_with(starts, ends, lambda s, e: F.slice("_lines", s + 1, F.greatest(e - s, F.lit(0)))))
-    cut = F.col("cuts").isNotNull() & F.col("text").isNotNull()
-    joined = joined.withColumn("_kept", F.when(cut, kept).otherwise(F.col("_lines")))
-    return joined.select(
-        *[F.when(cut, F.array_join("_kept", "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
+    pieces = F.flatten(F.zip_with(starts, ends, lambda s, e: F.slice("lines", s + 1, F.greatest(e - s, F.lit(0)))))
+    cut = F.col("cuts").isNotNull() & F.col("d.text").isNotNull()
+    rows = rows.withColumn("kept", F.when(cut, pieces).otherwise(F.col("lines")))
+    text = F.when(cut, F.array_join("kept", "\n")).otherwise(F.col("d.text")).alias("text")
+    return rows.select(
+        *[text if c == "text" else F.col(f"d.`{c}`") for c in docs.columns],
         n.alias("n_lines"),
-        (n - F.size("_kept")).alias("n_removed"),
+        (n - F.size("kept")).alias("n_removed"),
     )
 
 

@@ -67,21 +67,22 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: f
     docs = docs.drop("copy", "rate", "shuffle_key")
     parts = F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).cast("int")
     table = keep(
-        rates(docs, weights, epochs).select(F.col("source").alias("_source"), "rate", parts.alias("_parts"), cumulative(F.col("rate") / parts).alias("_below")),
+        rates(docs, weights, epochs).select(F.col("source").alias("of_source"), "rate", parts.alias("parts"), cumulative(F.col("rate") / parts).alias("below")),
         "mix-rates",
     )
-    rows = docs.join(broadcast_up_to(table, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_source")))
-    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("d"))
+    rows = rows.join(broadcast_up_to(table, BROADCAST_SOURCES), F.col("d.source").eqNullSafe(F.col("of_source")))
+    doc_id = F.coalesce(F.col("d.doc_id").cast("string"), F.lit(""))
 
     def drawn(part: Column) -> Column:
-        u = (unit_hash(F.lit(f"{seed}"), part.cast("string"), doc_id) + 0.5) / F.lit(2.0**52)
-        return F.size(F.filter("_below", lambda c: c <= u))
+        u = (unit_hash(F.lit(f"{seed}"), part.cast("string"), doc_id) + 0.5) / F.lit(2.0**KEY_BITS)
+        return F.size(F.filter("below", lambda c: c <= u))
 
-    count = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda n, part: n + drawn(part))
-    rows = rows.withColumn("_count", count).where("_count > 0")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, part: n + drawn(part))
+    rows = rows.withColumn("n", count).where("n > 0")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     rows = rows.withColumn("shuffle_key", unit_hash(F.lit(f"{seed}"), F.lit("order"), F.col("copy").cast("string"), doc_id))
-    rows = rows.drop("_source", "_parts", "_below", "_count")
+    rows = rows.select(*[F.col(f"d.`{c}`") for c in docs.columns], "copy", "rate", "shuffle_key")
     return rows.repartition(F.shiftright("shuffle_key", KEY_BITS - DEALT_BITS)).sortWithinPartitions("shuffle_key")
 
 

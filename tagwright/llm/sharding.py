@@ -79,22 +79,22 @@ def compact_shards(docs: DataFrame, root: str, arrival: Column | None = None, ti
 
     A shard holds whole arrivals, so a text larger than the target makes a
     shard of its own size. Null and empty texts count no bytes and are kept.
-    Repeated rows are kept. Columns of docs named arrival, shard_id or
-    shard_tier are replaced. An empty table commits a version without shards.
+    Repeated rows are kept. Columns of docs named shard_id or shard_tier are
+    replaced. An empty table commits a version without shards.
     If two writers race for a version, the second fails at the manifest.
     """
     spark = docs.sparkSession
     arrival = arrival_of() if arrival is None else arrival
-    docs = docs.drop("shard_id", "shard_tier").withColumn("arrival", arrival)
-    n_bytes = F.octet_length(F.coalesce("text", F.lit("")))
-    sizes = docs.groupBy("arrival").agg(F.sum(n_bytes).alias("n_bytes"), F.count(F.lit(1)).alias("n_docs"))
+    docs = docs.drop("shard_id", "shard_tier")
+    rows = docs.select(F.struct(*docs.columns).alias("d"), arrival.alias("arrival"))
+    n_bytes = F.octet_length(F.coalesce("d.text", F.lit("")))
+    sizes = rows.groupBy("arrival").agg(F.sum(n_bytes).cast("long").alias("n_bytes"), F.count(F.lit(1)).alias("n_docs"))
     planned = keep(plan(keep(sizes, "shard-sizes"), tiers, span), "shard-plan")
     shards = planned.groupBy("shard_id", "shard_tier").agg(F.sum("n_docs").alias("shard_docs"), F.sum("n_bytes").alias("shard_bytes"))
     version = latest_version(spark, root) + 1
-    placed = planned.select("arrival", "shard_id", "shard_tier")
     (
-        docs.join(broadcast_up_to(placed, BROADCAST_ROWS), "arrival")
-        .drop("arrival")
+        rows.join(broadcast_up_to(planned.select("arrival", "shard_id", "shard_tier"), BROADCAST_ROWS), "arrival")
+        .select(*[F.col(f"d.`{c}`") for c in docs.columns], "shard_id", "shard_tier")
         .repartition(max(1, shards.count()), "shard_id")
         .sortWithinPartitions("shard_id", "doc_id")
         .write.partitionBy("shard_id")

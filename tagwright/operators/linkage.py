@@ -250,12 +250,13 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     positions: file, price_position; above the code where it is missing.
     Columns: file, page, tok_id, model, matched_code, brand, category, sub,
     capacity, rrp, promo, badge, confidence, flags, member, cluster_dy,
-    out_of_category.
+    out_of_category. Chips, clusters and codes serve several joins and are
+    persisted; they are a fraction of the tokens.
     """
     tokens = placed(tokens)
-    chips = capacity_chips(tokens)
-    clusters = cluster_table(price_clusters(price_tokens(tokens, chips)))
-    codes = model_codes(tokens, catalog)
+    chips = capacity_chips(tokens).persist()
+    clusters = cluster_table(price_clusters(price_tokens(tokens, chips))).persist()
+    codes = model_codes(tokens, catalog).persist()
     on_page = codes.groupBy(*PAGE).agg((F.count("matched_code") == 0).alias("out_of_category"))
     codes = codes.join(on_page, PAGE)
     if positions is not None:
@@ -263,7 +264,7 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     else:
         codes = codes.withColumn("price_position", F.lit("above"))
     codes = codes.join(capacity_near(codes, capacity_sources(tokens, chips)), [*PAGE, "tok_id"], "left")
-    codes = codes.withColumns({"t_x0": F.least("x0", F.coalesce("a_x0", "x0")), "t_x1": F.greatest("x1", F.coalesce("a_x1", "x1")), "capacity": F.coalesce("capacity", F.lit(""))})
+    codes = codes.withColumns({"t_x0": F.least("x0", F.coalesce("a_x0", "x0")), "t_x1": F.greatest("x1", F.coalesce("a_x1", "x1")), "capacity": F.coalesce("capacity", F.lit(""))}).persist()
     pairs = code_cluster_pairs(codes, clusters)
     keys = [*PAGE, "tok_id"]
     pooled = link(pairs.join(column_pools(codes, clusters), [*keys, "cluster"], "left_semi")).select(*keys, F.struct("cluster", "weak").alias("_pooled"))

@@ -11,20 +11,21 @@ TOKENS = "file string, page int, tok_id long, text string, conf double, x0 doubl
 LEDGER = "file string, status string, n_rows long, year_week string, ts timestamp, error string"
 HEALTH = "ts string, file string, retailer string, country string, year_week string, matched long, clean long, clean_rate double, priced_rate double, capacity_rate double, below_share double, rescue_count long, no_cluster_count long, verdicts array<string>"
 CATALOG_NAMES = {"Brand": "brand_raw", "Product Category": "category_raw", "Sub Category": "sub_raw", "Model Code": "code_raw", "Model Local Name": "name_raw"}
-ENCODINGS = ("UTF-8", "windows-1252", "windows-1256", "ISO-8859-1")
 
 
 def text_encoding(spark: SparkSession, path: str) -> str:
-    """The first of the encodings in which a file's bytes are valid; the last takes any."""
-    content = spark.read.format("binaryFile").load(path).select(F.unbase64(F.base64("content")).alias("b"))
-    for name in ENCODINGS[:-1]:
-        if content.where(F.try_validate_utf8("b").isNull()).isEmpty() if name == "UTF-8" else content.where(F.encode(F.decode("b", name), name) != F.col("b")).isEmpty():
-            return name
-    return ENCODINGS[-1]
+    """UTF-8 if the bytes are valid; else Windows-1252 unless a byte has no meaning there; else Windows-1256, which gives every byte one."""
+    content = spark.read.format("binaryFile").load(path).select("content")
+    if content.where(~F.is_valid_utf8(F.col("content").cast("string"))).isEmpty():
+        return "UTF-8"
+    undefined = F.hex("content").rlike("^(..)*(81|8D|8F|90|9D)")
+    return "windows-1252" if content.where(undefined).isEmpty() else "windows-1256"
 
 
 def read_catalog(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """A raw catalog in CSV, all text, with ord in reading order of each file."""
+    """A raw catalog in CSV, all text, with ord in reading order of each file. A Windows encoding makes the session accept all of Java's."""
+    if encoding and encoding.startswith("windows"):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     raw = spark.read.options(header=True, encoding=encoding or "UTF-8", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(path)
     raw = raw.select(*[F.col(f"`{c}`").alias(CATALOG_NAMES.get(c.strip().lstrip("﻿"), c)) for c in raw.columns])
     return raw.withColumn("ord", F.monotonically_increasing_id())

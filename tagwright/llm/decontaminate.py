@@ -26,8 +26,8 @@ from tagwright.llm.common import keep
 
 MIN_MATCH = 5
 COVERAGE = 0.5
-#: Bits of the table of benchmark seeds that tasks get: 512 KB whatever the benchmark's size. A full table lets more documents through to the join and changes no result.
-SEED_BITS = 1 << 22
+#: Bits of the table of benchmark seeds that tasks get: 4 MB whatever the benchmark's size. A full table lets more documents through to the join and changes no result.
+SEED_BITS = 1 << 25
 
 
 def _tokens(column: pa.Array):
@@ -74,8 +74,10 @@ def item_seeds(items: DataFrame, min_match: int) -> DataFrame:
 
 def seeded_documents(docs: DataFrame, table: np.ndarray, widths: list[int]) -> DataFrame:
     """doc_id, tokens, seeds of documents with a seed in the bit table."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
         for batch in slices(batches, "text"):
             found = _tokens(batch.column("text"))
             hashes = found.hashes()

@@ -53,11 +53,11 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     """
     cuts = covered_intervals(repeated_windows(docs)).withColumnRenamed("doc_id", "cut_id")
     docs = docs.drop("n_lines", "n_removed")
-    rows = docs.select(F.struct(*docs.columns).alias("d"))
-    rows = rows.join(cuts, F.col("d.doc_id") == F.col("cut_id"), "left")
-    whole = F.coalesce("d.text", F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"))
+    rows = rows.join(cuts, F.col("__row.doc_id") == F.col("cut_id"), "left")
+    whole = F.coalesce("__row.text", F.lit(""))
     n = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
-    lines = _lines("d.text")
+    lines = _lines("__row.text")
     pieces = F.zip_with(
         F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c["hi"] + 1)),
         F.concat(F.transform("cuts", lambda c: c["lo"]), F.array(n)),
@@ -65,11 +65,11 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     )
     # bound as a lambda's variable, so that the lines are split once and not for each piece
     kept = F.flatten(F.transform(F.array(lines), lambda all_lines: F.flatten(F.transform(pieces, lambda p: F.slice(all_lines, p["at"], p["n"])))))
-    cut = F.col("cuts").isNotNull() & F.col("d.text").isNotNull()
-    text = F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("d.text")).alias("text")
+    cut = F.col("cuts").isNotNull() & F.col("__row.text").isNotNull()
+    text = F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("__row.text")).alias("text")
     gone = F.aggregate("cuts", F.lit(0), lambda total, c: total + F.greatest(F.least(c["hi"] + 1, n) - c["lo"], F.lit(0)))
     return rows.select(
-        *[text if c == "text" else F.col(f"d.`{c}`") for c in docs.columns],
+        *[text if c == "text" else F.col(f"__row.`{c}`") for c in docs.columns],
         n.alias("n_lines"),
         F.when(cut, gone).otherwise(0).alias("n_removed"),
     )

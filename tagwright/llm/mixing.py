@@ -70,9 +70,9 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: f
         rates(docs, weights, epochs).select(F.col("source").alias("of_source"), "rate", parts.alias("parts"), cumulative(F.col("rate") / parts).alias("below")),
         "mix-rates",
     )
-    rows = docs.select(F.struct(*docs.columns).alias("d"))
-    rows = rows.join(broadcast_up_to(table, BROADCAST_SOURCES), F.col("d.source").eqNullSafe(F.col("of_source")))
-    doc_id = F.coalesce(F.col("d.doc_id").cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"))
+    rows = rows.join(broadcast_up_to(table, BROADCAST_SOURCES), F.col("__row.source").eqNullSafe(F.col("of_source")))
+    doc_id = F.coalesce(F.col("__row.doc_id").cast("string"), F.lit(""))
 
     def drawn(part: Column) -> Column:
         u = (unit_hash(F.lit(f"{seed}"), part.cast("string"), doc_id) + 0.5) / F.lit(2.0**KEY_BITS)
@@ -82,7 +82,7 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: f
     rows = rows.withColumn("n", count).where("n > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     rows = rows.withColumn("shuffle_key", unit_hash(F.lit(f"{seed}"), F.lit("order"), F.col("copy").cast("string"), doc_id))
-    rows = rows.select(*[F.col(f"d.`{c}`") for c in docs.columns], "copy", "rate", "shuffle_key")
+    rows = rows.select(*[F.col(f"__row.`{c}`") for c in docs.columns], "copy", "rate", "shuffle_key")
     return rows.repartition(F.shiftright("shuffle_key", KEY_BITS - DEALT_BITS)).sortWithinPartitions("shuffle_key")
 
 

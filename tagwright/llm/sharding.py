@@ -86,15 +86,15 @@ def compact_shards(docs: DataFrame, root: str, arrival: Column | None = None, ti
     spark = docs.sparkSession
     arrival = arrival_of() if arrival is None else arrival
     docs = docs.drop("shard_id", "shard_tier")
-    rows = docs.select(F.struct(*docs.columns).alias("d"), arrival.alias("arrival"))
-    n_bytes = F.octet_length(F.coalesce("d.text", F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), arrival.alias("arrival"))
+    n_bytes = F.octet_length(F.coalesce("__row.text", F.lit("")))
     sizes = rows.groupBy("arrival").agg(F.sum(n_bytes).cast("long").alias("n_bytes"), F.count(F.lit(1)).alias("n_docs"))
     planned = keep(plan(keep(sizes, "shard-sizes"), tiers, span), "shard-plan")
     shards = planned.groupBy("shard_id", "shard_tier").agg(F.sum("n_docs").alias("shard_docs"), F.sum("n_bytes").alias("shard_bytes"))
     version = latest_version(spark, root) + 1
     (
         rows.join(broadcast_up_to(planned.select("arrival", "shard_id", "shard_tier"), BROADCAST_ROWS), "arrival")
-        .select(*[F.col(f"d.`{c}`") for c in docs.columns], "shard_id", "shard_tier")
+        .select(*[F.col(f"__row.`{c}`") for c in docs.columns], "shard_id", "shard_tier")
         .repartition(max(1, shards.count()), "shard_id")
         .sortWithinPartitions("shard_id", "doc_id")
         .write.partitionBy("shard_id")

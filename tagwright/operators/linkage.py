@@ -19,6 +19,7 @@ from tagwright.functions.prices import rescued_price, resolve_prices
 from tagwright.functions.text import capacity, flag, flags, is_code_shaped, is_strong_code, normalize_code, percents, price_value, stripped
 from tagwright.operators.catalog import code_metadata
 from tagwright.operators.matching import match
+from tagwright.sources.staging import keep
 
 PAGE = ["file", "page"]
 
@@ -250,13 +251,14 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     positions: file, price_position; above the code where it is missing.
     Columns: file, page, tok_id, model, matched_code, brand, category, sub,
     capacity, rrp, promo, badge, confidence, flags, member, cluster_dy,
-    out_of_category. Chips, clusters and codes serve several joins and are
-    persisted; they are a fraction of the tokens.
+    out_of_category. What several joins read (tokens, catalog, chips, clusters,
+    codes, pairs) is written on the way, so that it is planned and computed
+    once and survives lost executors.
     """
-    tokens = placed(tokens)
-    chips = capacity_chips(tokens).persist()
-    clusters = cluster_table(price_clusters(price_tokens(tokens, chips))).persist()
-    codes = model_codes(tokens, catalog).persist()
+    tokens, catalog = keep(placed(tokens), "page-tokens"), keep(catalog, "page-catalog")
+    chips = keep(capacity_chips(tokens), "page-chips")
+    clusters = keep(cluster_table(price_clusters(price_tokens(tokens, chips))), "page-clusters")
+    codes = keep(model_codes(tokens, catalog), "page-codes")
     on_page = codes.groupBy(*PAGE).agg((F.count("matched_code") == 0).alias("out_of_category"))
     codes = codes.join(on_page, PAGE)
     if positions is not None:
@@ -264,12 +266,14 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     else:
         codes = codes.withColumn("price_position", F.lit("above"))
     codes = codes.join(capacity_near(codes, capacity_sources(tokens, chips)), [*PAGE, "tok_id"], "left")
-    codes = codes.withColumns({"t_x0": F.least("x0", F.coalesce("a_x0", "x0")), "t_x1": F.greatest("x1", F.coalesce("a_x1", "x1")), "capacity": F.coalesce("capacity", F.lit(""))}).persist()
-    pairs = code_cluster_pairs(codes, clusters)
+    codes = codes.withColumns({"t_x0": F.least("x0", F.coalesce("a_x0", "x0")), "t_x1": F.greatest("x1", F.coalesce("a_x1", "x1")), "capacity": F.coalesce("capacity", F.lit(""))})
+    codes = keep(codes, "page-placed-codes")
+    pairs = keep(code_cluster_pairs(codes, clusters), "page-pairs")
     keys = [*PAGE, "tok_id"]
     pooled = link(pairs.join(column_pools(codes, clusters), [*keys, "cluster"], "left_semi")).select(*keys, F.struct("cluster", "weak").alias("_pooled"))
     linked = link(pairs).join(pooled, keys, "left").withColumn("_l", F.coalesce("_pooled", F.struct("cluster", "weak"))).select(*keys, "_l.cluster", "_l.weak")
-    values = resolve_prices(cluster_values(clusters, tokens.where(F.col("text").rlike(R.MEMBER))))
+    linked = keep(linked, "page-links")
+    values = keep(resolve_prices(cluster_values(clusters, tokens.where(F.col("text").rlike(R.MEMBER)))), "page-prices")
     rows = codes.join(linked, keys, "left").join(values.select(*PAGE, "cluster", "cl_cy", "notes", "resolution"), [*PAGE, "cluster"], "left")
     rows = code_metadata(rows, catalog)
     matched = F.col("matched_code").isNotNull()

@@ -472,7 +472,7 @@ def price_clusters(spark, sf_dir):
 
 @query()
 def extract_page(spark, sf_dir):
-    rows = linkage.extract_rows(page_tokens(spark, sf_dir).cache(), catalog_clean(spark, sf_dir))
+    rows = linkage.extract_rows(page_tokens(spark, sf_dir), catalog_clean(spark, sf_dir))
     return rows.withColumn("flags", text.flag_text(F.col("flags")))
 
 

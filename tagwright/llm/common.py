@@ -1,40 +1,13 @@
-"""Shared folder, materialised tables and size-checked broadcasts."""
+"""The written tables of the library, size-checked broadcasts, hashes."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a local one where that is unset."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not _own_dir:
-        _own_dir.append("file://" + tempfile.mkdtemp(prefix="spark-"))
-    return _own_dir[0]
-
+from tagwright.sources.staging import keep, new_path, shared_dir
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again.
-
-    It cuts the lineage: a lost executor costs the tasks that were running, not
-    what has been written.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["broadcast_up_to", "keep", "new_path", "remainder", "shared_dir", "unit_hash"]
 
 
 def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:

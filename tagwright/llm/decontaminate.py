@@ -4,7 +4,9 @@ Tokens are runs of letters and digits in lower case. Seeds are the hashes of
 every min_match consecutive tokens (whole items where they are shorter). A first
 pass over the documents keeps those with a seed of the benchmark: it looks each
 seed up in a bit table of fixed size. Their seeds are joined with the
-benchmark's, which gives pairs of document and item. Each pair is tiled:
+benchmark's, which gives pairs of document and item. The join leaves out the most
+frequent seeds of an item, as many as cannot cover it by themselves, so passages
+that very many documents share make no pairs. Each pair is tiled:
 repeatedly mark the longest match of unmarked tokens, found by running Karp-Rabin
 hashes, until none has min_match tokens. The share of the item's tokens under
 tiles decides, so passages are caught in any order of their parts.
@@ -20,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tagwright.llm.arrays import NOT_ALNUM, range_hashes, slices, windows, words
 from tagwright.llm.common import keep
@@ -56,20 +59,35 @@ def item_tokens(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(*columns).mapInArrow(rows, "item_id long, tokens array<long>").where("size(tokens) > 0")
 
 
-def item_seeds(items: DataFrame, min_match: int) -> DataFrame:
-    """seed, item_id, width."""
+def item_seeds(items: DataFrame, min_match: int, coverage: float) -> DataFrame:
+    """seed, item_id, width, times (in the item), needed.
+
+    A tile of n tokens begins n - width + 1 seeds, which is n / width or more. An
+    item that is covered thus has at least `needed` seeds in the document.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, tokens in zip(batch.column("item_id"), batch.column("tokens"), strict=True):
                 hashes = np.array(tokens.as_py(), np.int64).view(np.uint64)
                 width = min(min_match, len(hashes))
-                seed = np.unique(seeds(hashes, np.array([0, len(hashes)]), width)[0].view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seed), pa.array([item.as_py()] * len(seed), pa.int64()), pa.array(np.full(len(seed), width, np.int32))], ["seed", "item_id", "width"]
-                )
+                seed, times = np.unique(seeds(hashes, np.array([0, len(hashes)]), width)[0].view(np.int64), return_counts=True)
+                needed = max(1, int(np.ceil(coverage * len(hashes) / width - 1e-9)))
+                same = [np.full(len(seed), x, t) for x, t in ((item.as_py(), np.int64), (width, np.int32), (needed, np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seed, *same, times)], ["seed", "item_id", "width", "needed", "times"])
 
-    return items.mapInArrow(rows, "seed long, item_id long, width int")
+    return items.mapInArrow(rows, "seed long, item_id long, width int, needed long, times long")
+
+
+def telling_seeds(item_seed: DataFrame, hits: DataFrame) -> DataFrame:
+    """seed, item_id: an item's seeds but the most frequent in hits (seed), which together stay below `needed`.
+
+    Whatever document covers the item has a seed beyond them. Ties go to the smaller seed.
+    """
+    frequency = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("documents"))
+    along = Window.partitionBy("item_id").orderBy(F.desc("documents"), "seed").rowsBetween(Window.unboundedPreceding, 0)
+    spent = item_seed.join(frequency, "seed").withColumn("spent", F.sum("times").over(along))
+    return spent.where("spent >= needed").select("seed", "item_id")
 
 
 def seeded_documents(docs: DataFrame, table: np.ndarray, widths: list[int]) -> DataFrame:
@@ -156,14 +174,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     ignored.
     """
     items = keep(item_tokens(benchmark.where("item_id is not null")), "benchmark-tokens")
-    item_seed = keep(item_seeds(items, min_match), "benchmark-seeds")
+    item_seed = keep(item_seeds(items, min_match, coverage), "benchmark-seeds")
     widths = [r[0] for r in item_seed.select("width").distinct().collect()]  # at most min_match
     table = np.zeros(SEED_BITS // 8, np.uint8)
     slots = np.array([r[0] for r in item_seed.select(F.col("seed").bitwiseAND(SEED_BITS - 1).alias("s")).distinct().collect()], np.int64)
     np.bitwise_or.at(table, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
     found = seeded_documents(docs.where("doc_id is not null"), table, widths or [min_match])
     found = keep(found.withColumn("row", F.monotonically_increasing_id()), "seeded-documents")
-    pairs = found.select("row", F.explode("seeds").alias("seed")).join(item_seed.select("seed", "item_id"), "seed").select("row", "item_id").distinct()
+    hits = found.select("row", F.explode("seeds").alias("seed"))
+    pairs = hits.join(telling_seeds(item_seed, hits), "seed").select("row", "item_id").distinct()
     pairs = pairs.join(items.withColumnRenamed("tokens", "item"), "item_id").join(found.select("row", "doc_id", "tokens"), "row")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

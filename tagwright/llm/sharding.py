@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 from tagwright.llm.common import broadcast_up_to, keep
 
 ARRIVAL_ROWS = 64
+#: Arrivals of rows without an id, apart from those of any id.
+NULL_ARRIVALS = 1 << 20
 #: Bytes of text after which a shard leaves a tier; the last is the target size.
 TIERS = (2 << 20, 16 << 20)
 #: Arrivals in one planning window of the first tier; each further tier spans 8 times as many.
@@ -28,9 +30,10 @@ SPAN = 256
 BROADCAST_ROWS = 500_000
 
 
-def arrival_of(doc_id: str = "doc_id", rows: int = ARRIVAL_ROWS) -> Column:
-    """The arrival shard of an id; rows of a null id arrive together as -1."""
-    return F.coalesce(F.floor(F.col(doc_id) / rows), F.lit(-1)).cast("long")
+def arrival_of(doc_id: str = "doc_id", rows: int = ARRIVAL_ROWS, text: str = "text") -> Column:
+    """The arrival shard of an id; rows of a null id are dealt to NULL_ARRIVALS further ones by their text."""
+    unnamed = -1 - F.pmod(F.xxhash64(text), F.lit(NULL_ARRIVALS)) - F.lit(1 << 58)
+    return F.coalesce(F.floor(F.col(doc_id) / rows), unnamed).cast("long")
 
 
 def plan(arrivals: DataFrame, tiers: Sequence[int] = TIERS, span: int = SPAN) -> DataFrame:

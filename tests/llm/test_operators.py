@@ -128,6 +128,12 @@ def test_sharding_keeps_every_row_and_fills_shards(spark, odd):
     assert sharding.sharded(odd, new_path(spark, "shards")).count() == len(ODD)
 
 
+def test_rows_without_an_id_arrive_apart(spark):
+    docs = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    assert docs.select(sharding.arrival_of().alias("a")).distinct().count() > 390
+    assert sharding.sharded(docs, new_path(spark, "shards"), tiers=(40, 100)).select("shard_id").distinct().count() > 1
+
+
 def plain_fingerprint(text):
     words = WORD.findall(lower(text or ""))
     hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42) for i in range(max(1, len(words) - 3))] if words else []
@@ -265,6 +271,35 @@ def test_tiling_equals_the_plain_algorithm():
         assert got == plain_tiles(item.tolist(), text.tolist(), 3)
 
 
+def plain_coverage(item, text, least=decontaminate.MIN_MATCH):
+    size = min(least, len(item))
+    return sum(n for _, _, n in plain_tiles(item, text, size)) / len(item)
+
+
+def test_decontamination_against_all_pairs(spark):
+    """Items and documents of few words, so that seeds are shared by many of both."""
+    rng = np.random.default_rng(11)
+    common = [f"c{i}" for i in range(8)]
+    items = [(100 + k, [*common, *(f"w{x}" for x in rng.integers(0, 60, int(rng.integers(3, 14))))] if k % 3 else [f"w{x}" for x in rng.integers(0, 60, int(rng.integers(2, 24)))]) for k in range(18)]
+    items += [(200, common), (201, ["same"] * 14), (101, items[0][1]), (202, [*common[:6], *common[:6]])]
+    docs = []
+    for d in range(60):
+        words = []
+        for _ in range(int(rng.integers(1, 5))):
+            source = items[int(rng.integers(len(items)))][1]
+            at, n = int(rng.integers(max(1, len(source) // 2))), int(rng.integers(1, 20))
+            words += [*source[at : at + n], *(f"x{x}" for x in rng.integers(0, 9, int(rng.integers(0, 3))))]
+        docs.append((d, words + common * (d % 2)))
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            if (held := plain_coverage(item, text)) >= decontaminate.COVERAGE:
+                want[d, i] = max(held, want.get((d, i), 0))
+    table = lambda rows, name: spark.createDataFrame([(k, " ".join(w)) for k, w in rows], f"{name} long, text string")
+    got = decontaminate.contaminated(table(docs, "doc_id"), table(items, "item_id")).collect()
+    assert {(r.doc_id, r.item_id): r.coverage for r in got} == pytest.approx(want) and len(got) == len(want) > 30
+
+
 def test_license_scan(spark, odd):
     mit = license_scan.TEMPLATES["MIT"][2]
     docs = [
@@ -280,6 +315,42 @@ def test_license_scan(spark, odd):
     assert license_scan.license_scan(odd).count() == 0
 
 
+def license_shingles(words):
+    k = min(license_scan.SHINGLE, len(words))
+    return [tuple(words[i : i + k]) for i in range(len(words) - k + 1)]
+
+
+def test_license_scan_against_every_window(spark):
+    """What a window of a template's length holds is found; what is found lies within that window and an eighth on either side."""
+    rng, parts = np.random.default_rng(17), re.compile(r"[a-z0-9]+")
+    notices = [(name, parts.findall(t.lower())) for name, several in license_scan.TEMPLATES.items() for t in several]
+    docs = []
+    for d in range(120):
+        words = notices[int(rng.integers(len(notices)))][1].copy()
+        for _ in range(int(rng.integers(0, 5))):
+            at = int(rng.integers(len(words)))
+            words[at : at + int(rng.integers(0, 3))] = ["changed"] * int(rng.integers(0, 2))
+            words = words or ["gone"]
+        around = [f"f{x}" for x in rng.integers(0, 50, 40)]
+        docs.append((d, " ".join([*around[: int(rng.integers(40))], *words, *around])))
+    got = {(r.doc_id, r.license_id) for r in license_scan.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    least, most = set(), set()
+    for d, text in docs:
+        words = parts.findall(text)
+        for name, notice in notices:
+            wanted = set(license_shingles(notice))
+            k = min(license_scan.SHINGLE, len(notice))
+            mine, n = [tuple(words[i : i + k]) for i in range(len(words) - k + 1)], len(license_shingles(notice))
+            step = max(1, n // 8)
+            held = lambda a, b, mine=mine, wanted=wanted: len(wanted & set(mine[max(a, 0) : b])) / len(wanted)
+            for at in range(len(mine)):
+                if held(at, at + n) >= license_scan.CONTAINMENT:
+                    least.add((d, name))
+                if held(at - step, at + n + step) >= license_scan.CONTAINMENT:
+                    most.add((d, name))
+    assert least <= got <= most and len(least) > 50
+
+
 def test_secret_scan(spark, odd):
     model = secret_scan.train(spark)
     findings = secret_scan.labelled_findings(600, seed=99)

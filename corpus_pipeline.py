@@ -39,10 +39,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shards of whole arrivals. An arrival holds ids by hash, so that a shard is a mixture of its own."""
+    """Shards of whole arrivals. An arrival holds rows at random, so that a shard is a mixture of its own.
+
+    Rows and not ids are dealt: the copies that mixing makes of a document of a
+    small source may be a large part of all rows. The deal is written, as it
+    must not change between the plan and the data.
+    """
     arrivals = max(1, docs.count() // sharding.ARRIVAL_ROWS)
-    by_hash = F.pmod(F.xxhash64("doc_id"), F.lit(arrivals))
-    return sharding.sharded(docs, new_path(spark, "shards"), by_hash)
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(arrivals))
+    rows = keep(docs.withColumn("__arrival", dealt), "arrivals")
+    return sharding.sharded(rows, new_path(spark, "shards"), F.col("__arrival")).drop("__arrival")
 
 
 STAGES = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.llm import decontaminate, language_id, mixing, sharding, simhash
+from tagwright.llm import decontaminate, language_id, mixing, near_duplicates, sharding
 from tagwright.llm.common import keep, new_path, remainder
 
 #: A text is rejected if no language reaches this score, so that mere mixtures of two languages stay.
@@ -20,10 +20,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest id stays."""
-    groups = simhash.simhash_groups(docs)
-    gone = keep(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of texts that share 0.8 of their five-word shingles the smallest id stays, once."""
+    rows = keep(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    return near_duplicates.without_near_duplicates(rows).select(docs.columns)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

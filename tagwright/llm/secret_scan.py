@@ -1,7 +1,8 @@
 """Secrets, with a random forest that removes false positives.
 
-Candidates are runs of 12 or more token characters that hold a digit. Their
-features are length, character classes, entropy, character transitions,
+Candidates are runs of 12 or more token characters that hold a digit, and of any
+length and kind: the whole value that is assigned or follows a secret word, and
+runs that begin with a known prefix. Their features are length, character classes, entropy, character transitions,
 dictionary coverage, path (the source) and neighbouring words. The forest is
 trained from labelled findings: by default a bounded set made from a seed, whose
 true findings follow public credential formats and whose false ones are what
@@ -24,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.llm.arrays import slices, words
+from tagwright.llm.arrays import slices, text_bytes, words
 
 LEAST = 12
 #: Labelled findings made for training; the bound on what is fitted on the driver's side.
@@ -52,6 +53,11 @@ FEATURES = ("length", "digits", "upper", "lower", "entropy", "transitions", "big
 _WORD = re.compile(r"[a-z0-9]+")
 _PARTS = re.compile("|".join(sorted((w for w in DICTIONARY if len(w) > 2), key=lambda w: -len(w))))
 
+#: What is assigned, quoted or up to a gap; what follows a secret word; what begins with a known prefix (these two in lower case, and as it is).
+_ASSIGNED = re.compile(rb"""[=:][ \t]*(?:"([^"\r\n]+)"|'([^'\r\n]+)'|["']?([^\s"']+))""")
+_NAMED = re.compile(b"(?:" + "|".join(SECRET_WORDS).encode() + rb""")[ \t]+["']?([^\s"']+)""")
+_PREFIXED = re.compile(b"(?:" + "|".join(re.escape(p) for p in PREFIXES).encode() + rb")[A-Za-z0-9+/_.\-]+")
+
 
 def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
@@ -104,7 +110,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = 7) -> pd.DataFrame:
     assign = lambda: pick((" = \"", "=", ": ", "=\"", ": '"))
 
     def true() -> tuple[str, str]:
-        kind = rng.integers(6)
+        kind = rng.integers(8)
         if kind == 0:
             return "AKIA" + draw(upper, 16), text() + pick(("", "key" + assign(), "access_key" + assign()))
         if kind == 1:
@@ -115,10 +121,18 @@ def labelled_findings(n: int = FINDINGS, seed: int = 7) -> pd.DataFrame:
             return pick(PREFIXES[2:]) + draw(mixed, pick((20, 24, 36, 40))), text() + pick(("", "token" + assign(), "key" + assign()))
         if kind == 4:
             return draw(mixed + "+/", pick((24, 32, 40, 64))), text() + pick(("secret_key", "private key", "credential", "token")) + assign()
+        if kind == 6:
+            return draw(mixed + "!@#$%&*?", pick((8, 9, 10, 11, 14))), text() + pick(("password", "passwd", "pwd", "secret")) + assign()
+        if kind == 7:
+            return draw(mixed[:52], pick((10, 12, 16, 20))), text() + pick(("password", "token", "secret")) + assign()
         return draw(mixed, pick((14, 16, 20, 24))) + str(rng.integers(10)), text() + pick(("password", "bearer", "pwd")) + pick((*[assign()], " "))
 
     def false() -> tuple[str, str]:
-        kind = rng.integers(8)
+        kind = rng.integers(10)
+        if kind == 8:
+            return word(), text() + pick(("password", "token", "secret", "key", "access", "private")) + pick((" ", " ", assign()))
+        if kind == 9:
+            return pick((word(), word().title(), str(rng.integers(10000)), word() + "(" + word() + ")", word() + " " + word())), text() + assign()
         if kind == 0:
             return draw(hexed, pick((32, 40, 64))), text() + pick(("commit", "sha256", "md5", "checksum", "etag", "digest", "revision")) + pick((" ", assign()))
         if kind == 1:
@@ -150,6 +164,21 @@ def train(spark: SparkSession, findings: pd.DataFrame | None = None, trees: int
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assembled.select("features", "label"))
 
 
+def marked_spans(text: bytes) -> set[tuple[int, int]]:
+    """Start and end of the values that their neighbourhood or beginning marks, without closing punctuation if not quoted."""
+    spans = set()
+    for m in _ASSIGNED.finditer(text):
+        start, end = m.span(m.lastindex)
+        spans.add((start, end if m.lastindex < 3 else start + len(text[start:end].rstrip(b".,;:)]}-"))))
+    for m in _NAMED.finditer(text.lower()):
+        start, end = m.span(1)
+        spans.add((start, start + len(text[start:end].rstrip(b".,;:)]}-"))))
+    for m in _PREFIXED.finditer(text):
+        if not m.start() or NOT_TOKEN[text[m.start() - 1]]:
+            spans.add((m.start(), m.start() + len(m.group().rstrip(b".-"))))
+    return {(start, end) for start, end in spans if end > start}
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, at and length (bytes), secret_sha256 and features of the candidates of whole texts."""
 
@@ -160,15 +189,21 @@ def candidates(docs: DataFrame) -> DataFrame:
             digits = np.concatenate(([0], np.cumsum((data >= 48) & (data <= 57))))
             chosen = np.flatnonzero((found.ends - found.starts >= LEAST) & (digits[found.ends] > digits[found.starts]))
             owner = np.searchsorted(found.bounds, chosen, side="right") - 1
-            offsets = np.concatenate(([0], np.cumsum([len(t.encode()) if t else 0 for t in batch.column("text").to_pylist()]))) if len(chosen) else [0]
-            paths, out = batch.column("source").to_pylist(), []
+            _, offsets = text_bytes(batch.column("text"))
+            spans: list[set[tuple[int, int]]] = [marked_spans(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             for k, document in zip(chosen.tolist(), owner.tolist(), strict=True):
                 start, end, first = int(found.starts[k]), int(found.ends[k]), int(offsets[document])
-                candidate = data[start:end].tobytes().decode().rstrip(".-")
-                if len(candidate) >= LEAST:
-                    before = data[max(first, start - NEIGHBOURHOOD) : start].tobytes().decode(errors="ignore")
-                    row = features(candidate, before, paths[document] or "")
-                    out.append((document, start - first, len(candidate), hashlib.sha256(candidate.encode()).hexdigest(), *row))
+                size = len(data[start:end].tobytes().rstrip(b".-"))
+                if size >= LEAST:
+                    spans[document].add((start - first, start - first + size))
+            paths, out = batch.column("source").to_pylist(), []
+            for document, chosen_spans in enumerate(spans):
+                first = int(offsets[document])
+                for start, end in sorted(chosen_spans):
+                    candidate = data[first + start : first + end].tobytes()
+                    before = data[first + max(0, start - NEIGHBOURHOOD) : first + start].tobytes().decode(errors="ignore")
+                    row = features(candidate.decode(errors="replace"), before, paths[document] or "")
+                    out.append((document, start, len(candidate), hashlib.sha256(candidate).hexdigest(), *row))
             columns = list(zip(*out, strict=True)) or [()] * (4 + len(FEATURES))
             kinds = [pa.int64(), pa.int32(), pa.string(), *[pa.float64()] * len(FEATURES)]
             yield pa.RecordBatch.from_arrays(

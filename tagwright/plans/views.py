@@ -28,7 +28,7 @@ SELECT brand, category, sub, norm_code, split_part(norm_code,'/',1) AS stem, len
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
  CASE l_linenumber % 5 WHEN 0 THEN '(' || code_raw || ').' WHEN 1 THEN translate(code_raw,'05182','OSIBZ')
   WHEN 2 THEN substr(code_raw,1,length(code_raw)-1) WHEN 3 THEN lower(split_part(code_raw,'/',1)) || '/SG' ELSE 'X' || reverse(code_raw) END AS token
-FROM lineitem JOIN catalog_raw ON l_partkey = ord WHERE l_orderkey % 10 = 0"""),
+FROM lineitem JOIN catalog_raw ON l_partkey = ord"""),
     "price_obs": (("lineitem",), """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, rrp, d AS badge_raw, cast(floor(rrp*(100-d)/100) AS bigint) AS promo,
   CASE WHEN l_linenumber = 7 THEN cast(floor(rrp*(100-d)*97/10000) AS bigint) END AS member
@@ -68,7 +68,7 @@ FROM orders"""),
 SELECT page, slot, l_partkey, l_suppkey, rrp, promo, ((slot-1) % 3) * 500 AS cx, cast(floor((slot-1)/3) AS bigint) * 1300 AS ry FROM (
  SELECT l_orderkey AS page, l_partkey, l_suppkey, rrp, promo,
   cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, rrp) AS bigint) AS slot
- FROM price_obs WHERE l_orderkey % 5 = 0) z"""),
+ FROM price_obs) z"""),
     "box_obs": (("tiles",), """
 SELECT page, slot, 'code' AS kind, cx + l_partkey % 60 AS x, ry + 900 AS y, l_partkey AS val, CAST(1.0 AS double) AS conf FROM tiles
 UNION ALL SELECT page, slot, 'was', cx + 40 + l_suppkey % 80, ry + 60, rrp, CAST(0.95 AS double) FROM tiles
@@ -84,7 +84,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 5 =
  CASE WHEN l_linenumber = 3 THEN NULL ELSE cast(rrp % 5000 AS double) END AS rrp, CASE WHEN l_linenumber = 5 THEN NULL ELSE cast(promo % 5000 AS double) END AS promo,
  CAST(badge_raw AS int) AS badge, CAST(0.97 AS double) AS confidence, CASE l_orderkey % 3 WHEN 0 THEN 'AED' WHEN 1 THEN 'KWD' ELSE '' END AS currency,
  'file' || cast(l_orderkey % 50 AS string) AS file, CASE WHEN l_orderkey % 11 = 0 THEN '' ELSE '2026-W' || lpad(cast(l_orderkey % 50 % 13 + 20 AS string), 2, '0') END AS year_week, l_partkey % 7 = 0 AS out_of_category
-FROM price_obs JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 4 = 0"""),
+FROM price_obs JOIN part ON l_partkey = p_partkey"""),
     "ledger": (("events",), """
 SELECT 'f' || cast(user_id AS string) AS file, CASE user_id % 4 WHEN 0 THEN 'failed' ELSE 'done' END AS status, count(*) AS n_rows
 FROM events WHERE user_id % 3 <> 0 GROUP BY 1, 2"""),

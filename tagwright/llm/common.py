@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.sources.staging import keep, new_path, shared_dir
+from tagwright.sources.staging import discard, exists, file_system, keep, new_path, shared_dir
 
-__all__ = ["broadcast_up_to", "keep", "new_path", "remainder", "shared_dir", "unit_hash"]
+__all__ = ["broadcast_up_to", "discard", "exists", "file_system", "hub_join", "keep", "new_path", "remainder", "shared_dir", "unit_hash"]
+
+#: Keys that hub_join broadcasts at most; a key has more than this share of all rows, or more than HUB_ROWS of them.
+HUBS, HUB_ROWS = 100_000, 128
 
 
 def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
@@ -18,6 +21,24 @@ def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def hub_join(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Inner join of rows with facts (one row a key, n_rows: rows of that key) where a few keys may have most rows.
+
+    facts should be a written table. Hubs, keys of more than `most` rows, number
+    at most HUBS (their rows sum to no more than all), so they are broadcast and
+    their rows stay where they are; the rest is shuffled, and no key of it has
+    more than `most` rows. n_rows is dropped.
+    """
+    total = facts.agg(F.sum("n_rows")).first()[0] or 0
+    most = max(HUB_ROWS, total // HUBS)
+    facts, n_rows = facts.drop("n_rows"), facts.select(key, "n_rows")
+    hubs = n_rows.where(F.col("n_rows") > most).select(key)
+    if hubs.isEmpty():
+        return rows.join(facts, key)
+    hub_facts = F.broadcast(facts.join(F.broadcast(hubs), key))
+    return rows.join(hub_facts, key).unionByName(rows.join(F.broadcast(hubs), key, "left_anti").join(facts, key))
+
+
 def unit_hash(*parts: Column) -> Column:
     """52 bits of an MD5 over the parts, as an integer; the same in any engine."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("long")

@@ -1,20 +1,25 @@
 """SimHash near-duplicates found by anchor-point covering.
 
-The 64 bits are cut into three blocks of 21, 21 and 22. Fingerprints that differ
-in at most 4 bits differ in at most 1 bit of some block. The anchors of a block
-are the words whose first 15 bits lie in the Hamming code [15, 11], whose covering
-radius is 1: every fingerprint has one home anchor within it. It is also
-replicated to every anchor within the covering radius plus the one bit that may
-differ. Two linked fingerprints thus meet at the home anchor of either, where
-they are compared in full. There are 3 * 2**17 anchors or more, and about 14
-replicas a block. An anchor with many members is cut into cells of members
-against members, each of bounded size. A cell returns a spanning forest of its
-links, not all pairs.
+The 64 bits are cut into blocks. Fingerprints that differ in at most max_bits
+bits differ in at most max_bits // blocks bits of some block (the rim). The
+anchors of a block are the words whose first bits lie in a Hamming code, whose
+covering radius is 1: every fingerprint has one home anchor within it. It is also
+replicated to every anchor within the covering radius plus the rim. Two linked
+fingerprints thus meet at the home anchor of either, where they are compared in
+full. An anchor with many members is cut into cells of members against members,
+each of bounded size. A cell returns a spanning forest of its links, not all
+pairs.
+
+Any layout gives the same links; it sets what they cost. With few anchors a
+fingerprint has few replicas but meets many others, so the length of the code
+follows the number of distinct fingerprints.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +28,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.llm.arrays import slices, spaced, words
-from tagwright.llm.common import broadcast_up_to, keep
+from tagwright.llm.common import broadcast_up_to, discard, hub_join, keep
 from tagwright.llm.components import components
 
 SHINGLE = 4
 MAX_BITS = 4
-BLOCKS = ((0, 21), (21, 21), (42, 22))
-CODE_BITS = 15
 #: Members of one side of a cell. Larger anchors are cut, at any size of the input.
 CELL = 4096
 #: Anchors that are cut are broadcast up to this many, else joined by a shuffle.
 BROADCAST_ANCHORS = 200_000
 
 
+class Layout(NamedTuple):
+    """Blocks of the 64 bits, and parity bits of the Hamming code [2**parity - 1] within each."""
+
+    blocks: int = 3
+    parity: int = 4
+
+    @property
+    def code_bits(self) -> int:
+        return (1 << self.parity) - 1
+
+    def spans(self) -> list[tuple[int, int]]:
+        """First bit and width of each block."""
+        edges = [64 * k // self.blocks for k in range(self.blocks + 1)]
+        if min(b - a for a, b in zip(edges, edges[1:], strict=False)) < self.code_bits:
+            raise ValueError(f"blocks of {64 // self.blocks} bits are shorter than the code of {self.code_bits}")
+        return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+#: About 14 replicas a block at 2**17 anchors or more; and about 160 at 2**27 or more.
+SHORT, LONG = Layout(3, 4), Layout(2, 5)
+
+
 def shingle_hashes(column: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
     """XXH64 with seed 42 of each text's shingles of words, joined by single spaces."""
     found = words(column)
@@ -74,51 +99,59 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(rows, "doc_id long, fp long")
 
 
-def _hamming_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each 15-bit word: its home codeword; all codewords within 2 bits, as flat array and bounds."""
-    every = np.arange(1 << CODE_BITS)
-    syndrome = np.zeros_like(every)
-    for bit in range(CODE_BITS):
-        syndrome ^= np.where(every >> bit & 1, bit + 1, 0)
-    flip = np.where(syndrome > 0, 1 << np.maximum(syndrome - 1, 0), 0)
-    home = every ^ flip
-    pairs = [np.array([(1 << (i - 1)) | (1 << ((i ^ s) - 1)) for i in range(1, 16) if i < (i ^ s) <= 15], np.int64) for s in range(16)]
-    near = [np.concatenate(([flips], pairs[s] if s else [])).astype(np.int64) for s, flips in ((s, 1 << (s - 1) if s else 0) for s in range(16))]
-    size = np.array([len(x) for x in near])[syndrome]
-    bounds = np.concatenate(([0], np.cumsum(size)))
-    flat = np.concatenate([near[s] for s in syndrome]) ^ np.repeat(every, size)
-    return home, flat, bounds
+def flips(parity: int, rim: int) -> list[np.ndarray]:
+    """Of each syndrome, what turns a word with it into the codewords within 1 + rim bits; the nearest first."""
+    n = (1 << parity) - 1
+    out: list[list[int]] = [[] for _ in range(n + 1)]
+    for weight in range(rim + 2):
+        for bits in combinations(range(1, n + 1), weight):
+            syndrome = 0
+            for bit in bits:
+                syndrome ^= bit
+            out[syndrome].append(sum(1 << (bit - 1) for bit in bits))
+    return [np.array(x, np.int64) for x in out]
+
+
+def syndromes(words: np.ndarray, parity: int) -> np.ndarray:
+    """Sum of the places of the bits that are set, without carry; 0 for codewords."""
+    out = np.zeros_like(words)
+    for bit in range((1 << parity) - 1):
+        out ^= (words >> bit & 1) * (bit + 1)
+    return out
 
 
-def anchor_rows(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchor_rows(fps: np.ndarray, max_bits: int = MAX_BITS, layout: Layout = SHORT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index of the fingerprint, anchor number and whether it is home, for all replicas."""
-    home, flat, bounds = _hamming_tables()
-    bits = fps.view(np.uint64)
+    bits, code_bits = fps.view(np.uint64), layout.code_bits
+    rim = max_bits // layout.blocks
     index, anchors, homes = [], [], []
-    for number, (low, width) in enumerate(BLOCKS):
+    for number, (low, width) in enumerate(layout.spans()):
         block = ((bits >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
-        code, free = block & ((1 << CODE_BITS) - 1), block >> CODE_BITS
-        name = lambda word, rest, number=number: (number << 40) | (rest << CODE_BITS) | word
-        size = bounds[code + 1] - bounds[code]
-        who = np.repeat(np.arange(len(fps)), size)
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(bounds[code], size)
-        index.append(who)
-        anchors.append(name(flat[at], free[who]))
-        homes.append(flat[at] == home[code][who])
-        for bit in range(width - CODE_BITS):
-            index.append(np.arange(len(fps)))
-            anchors.append(name(home[code], free ^ (1 << bit)))
-            homes.append(np.zeros(len(fps), bool))
+        code, free = block & ((1 << code_bits) - 1), block >> code_bits
+        of = syndromes(code, layout.parity)
+        for outside in range(min(rim, width - code_bits) + 1):
+            others = np.array([sum(1 << bit for bit in some) for some in combinations(range(width - code_bits), outside)], np.int64)
+            patterns = flips(layout.parity, rim - outside)
+            size = np.array([len(x) for x in patterns])
+            flat, begins = np.concatenate(patterns), np.cumsum(size) - size
+            n = size[of]
+            who = np.repeat(np.arange(len(fps)), n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            word = code[who] ^ flat[np.repeat(begins[of], n) + at]
+            for other in others.tolist():
+                index.append(who)
+                anchors.append((number << 60) | ((free[who] ^ other) << code_bits) | word)
+                homes.append(at == 0 if outside == 0 else np.zeros(len(who), bool))
     return np.concatenate(index), np.concatenate(anchors), np.concatenate(homes)
 
 
-def replicas(fps: DataFrame) -> DataFrame:
+def replicas(fps: DataFrame, max_bits: int = MAX_BITS, layout: Layout = SHORT) -> DataFrame:
     """anchor, fp, home: each fingerprint at its anchors."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("fp").to_numpy(zero_copy_only=False)
-            index, anchors, homes = anchor_rows(values)
+            index, anchors, homes = anchor_rows(values, max_bits, layout)
             yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(values[index]), pa.array(homes)], ["anchor", "fp", "home"])
 
     return fps.select("fp").mapInArrow(rows, "anchor long, fp long, home boolean")
@@ -139,7 +172,7 @@ def forest(homes: np.ndarray, others: np.ndarray, max_bits: int = MAX_BITS) -> l
     return [(int(members[i]), int(members[group[i]])) for i in moved]
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
     """Cells arrive in order, each whole: compare the members of each."""
     from itertools import chain
 
@@ -151,7 +184,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
         bounds = np.concatenate(([0], cuts, [len(fps)]))
         some = np.flatnonzero(np.diff(bounds) > 1)
-        got = chain.from_iterable(forest(fps[a:b][home[a:b]], fps[a:b][other[a:b]]) for a, b in zip(bounds[some], bounds[some + 1], strict=True))
+        got = chain.from_iterable(forest(fps[a:b][home[a:b]], fps[a:b][other[a:b]], max_bits) for a, b in zip(bounds[some], bounds[some + 1], strict=True))
         u, v = np.array(list(got) or np.zeros((0, 2)), np.int64).reshape(-1, 2).T
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
@@ -171,9 +204,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(rest)
 
 
-def links(fps: DataFrame, cell: int = CELL) -> DataFrame:
-    """u, v: links between distinct fingerprints that keep the components of all links of at most MAX_BITS bits."""
-    placed = keep(replicas(fps), "simhash-replicas")
+def links(fps: DataFrame, cell: int = CELL, max_bits: int = MAX_BITS, layout: Layout = SHORT) -> DataFrame:
+    """u, v: links between distinct fingerprints that keep the components of all links of at most max_bits bits."""
+    placed = keep(replicas(fps, max_bits, layout), "simhash-replicas")
     sizes = placed.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("others"))
     parts = lambda n: F.ceil(F.col(n) / cell).cast("int")
     met = sizes.where("homes > 0 and others > 1")
@@ -196,22 +229,25 @@ def links(fps: DataFrame, cell: int = CELL) -> DataFrame:
         (F.col("c.o") == F.col("_o")).alias("is_other"),
     )
     key = "anchor", "home_part", "other_part"
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare, "u long, v long")
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda batches: _compare(batches, max_bits), "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, cell: int = CELL) -> DataFrame:
+def simhash_groups(docs: DataFrame, cell: int = CELL, max_bits: int = MAX_BITS, layout: Layout = SHORT) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 
-    component_id is the smallest id reachable over links of at most 4 differing
-    bits. Texts without words (null, empty, white space) have fingerprint zero
-    and are linked like any other. Texts of under 4 words are one shingle. Rows
-    that repeat an id or a text come out each; a null id never names a component
-    unless no member has one. An empty table gives an empty result. Other
-    columns are ignored.
+    component_id is the smallest id reachable over links of at most max_bits
+    differing bits. Texts without words (null, empty, white space) have
+    fingerprint zero and are linked like any other. Texts of under 4 words are
+    one shingle. Rows that repeat an id or a text come out each; a null id never
+    names a component unless no member has one. An empty table gives an empty
+    result. Other columns are ignored. LONG suits more than some 10**8 distinct
+    fingerprints.
     """
     prints = keep(fingerprints(docs), "simhash-prints")
-    distinct = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    roots = components(links(distinct, cell)).select(F.col("node").alias("fp"), "root")
+    distinct = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_docs")), "simhash-distinct")
+    roots = components(links(distinct, cell, max_bits, layout)).select(F.col("node").alias("fp"), "root")
     rooted = keep(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    per_root = keep(rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_rows")), "simhash-components")
+    named = keep(hub_join(rooted, per_root, "root").select("fp", "component_id", F.col("n_docs").alias("n_rows")), "simhash-named")
+    discard(distinct, rooted, per_root)
+    return hub_join(prints, named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -155,14 +155,15 @@ def test_simhash_against_all_pairs(spark, prose, odd, cell):
         assert collections.Counter(tuple(r) for r in simhash.simhash_groups(docs, cell).collect()) == want
 
 
-def test_anchors_cover_every_pair_of_four_bits():
+@pytest.mark.parametrize("layout", [simhash.SHORT, simhash.LONG, simhash.Layout(1, 3), simhash.Layout(4, 4)])
+def test_anchors_cover_every_pair_of_four_bits(layout):
     rng = np.random.default_rng(1)
-    for _ in range(300):
+    for _ in range(300 if layout == simhash.SHORT else 20):
         a = int(rng.integers(0, 1 << 63))
         b = a
         for bit in rng.choice(63, int(rng.integers(0, 5)), replace=False).tolist():
             b ^= 1 << bit
-        index, anchors, home = simhash.anchor_rows(np.array([a, b], np.int64))
+        index, anchors, home = simhash.anchor_rows(np.array([a, b], np.int64), 4, layout)
         homes = set(anchors[(index == 0) & home].tolist())
         assert homes & set(anchors[index == 1].tolist())
 
@@ -173,6 +174,25 @@ def test_components_of_a_path(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def test_components_of_a_hub(spark, monkeypatch):
+    from tagwright.llm import common
+
+    monkeypatch.setattr(common, "HUB_ROWS", 4)
+    edges = spark.createDataFrame([(7, i) for i in range(10, 60)] + [(59, 3), (200, 201)], "u long, v long")
+    got = {r.node: r.root for r in components(edges).collect()}
+    assert got == {**dict.fromkeys([3, 7, *range(10, 60)], 3), 200: 200, 201: 200}
+
+
+def test_hub_join_equals_a_join(spark, monkeypatch):
+    from tagwright.llm import common
+
+    monkeypatch.setattr(common, "HUB_ROWS", 3)
+    rows = spark.createDataFrame([(k, i) for i in range(30) for k in ([1, None] if i % 3 else [2, 5])], "k long, i long")
+    facts = common.keep(rows.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"), F.max("i").alias("m")), "facts")
+    want = sorted(tuple(r) for r in rows.join(facts.drop("n_rows"), "k").collect())
+    assert sorted(tuple(r) for r in common.hub_join(rows, facts, "k").collect()) == want
+
+
 def test_lm_scores_base_and_probabilities(spark, prose):
     got = {r.doc_id: r for r in lm_scoring.lm_scores(prose, remainder("doc_id", 5) == 1).collect()}
     texts = {r.doc_id: WORD.findall(lower(r.text)) + [None] for r in prose.collect()}

@@ -2,7 +2,9 @@
 
 Every three consecutive lines are hashed. A window that occurs more than once
 keeps its first occurrence (smallest id, then position); the lines that later
-occurrences cover are merged into intervals and cut out of their documents.
+occurrences cover are merged into intervals and cut out of their documents. A
+document is an id together with a hash of its text, so that rows which share an
+id, or have none, are cut by their own lines only.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagwright.llm.common import keep
+from tagwright.llm.common import hub_join, keep
 
 LINES = 3
 
@@ -20,26 +22,34 @@ def _lines(text: str):
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
 
 
+def _text_key(text: str):
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """doc_id, pos of each later occurrence of a window that repeats."""
+    """doc_id, text_key, pos of each later occurrence of a window that repeats."""
     last = F.size("lines") - LINES
     hashes = F.transform(
         F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
         lambda i: F.unhex(F.md5(F.array_join(F.slice("lines", i + 1, LINES), "\n"))),
     )
-    spots = docs.where("doc_id is not null").select("doc_id", _lines("text").alias("lines")).select("doc_id", F.posexplode(hashes).alias("pos", "window"))
-    spots = keep(spots, "line-windows")
-    first = spots.groupBy("window").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return spots.join(first, "window").where(F.struct("doc_id", "pos") != F.col("first")).select("doc_id", "pos").distinct()
+    spots = docs.select("doc_id", _text_key("text").alias("text_key"), _lines("text").alias("lines"))
+    spots = keep(spots.select("doc_id", "text_key", F.posexplode(hashes).alias("pos", "window")), "line-windows")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "pos")
+    first = spots.groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_rows"))
+    first = keep(first.where("n_rows > 1"), "line-repeated")
+    later = hub_join(spots, first, "window").where(~place.eqNullSafe(F.col("first")))
+    return later.select("doc_id", "text_key", "pos").distinct()
 
 
 def covered_intervals(windows: DataFrame) -> DataFrame:
-    """doc_id, cuts: array of (lo, hi) line numbers, merged and in order."""
-    along = Window.partitionBy("doc_id").orderBy("pos")
+    """doc_id, text_key, cuts: array of (lo, hi) line numbers, merged and in order."""
+    document = "doc_id", "text_key"
+    along = Window.partitionBy(*document).orderBy("pos")
     apart = F.coalesce(F.col("pos") - F.lag("pos").over(along) > LINES, F.lit(True))
     islands = windows.withColumn("island", F.sum(apart.cast("int")).over(along))
-    cuts = islands.groupBy("doc_id", "island").agg(F.min("pos").alias("lo"), (F.max("pos") + LINES - 1).alias("hi"))
-    return cuts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("cuts"))
+    cuts = islands.groupBy(*document, "island").agg(F.min("pos").alias("lo"), (F.max("pos") + LINES - 1).alias("hi"))
+    return cuts.groupBy(*document).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("cuts"))
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
@@ -47,14 +57,15 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
     Windows need three lines, so shorter texts stay as they are; null counts as
     one empty line and stays null. Lines of white space are lines like any
-    other. Rows of a null id are passed through. Rows that share an id are one
-    document: the same window at the same line is one occurrence, and cuts found
-    for the id apply to each of its rows.
+    other. Rows of the same id and text are one document: the same window at the
+    same line is one occurrence, and all of them stay or are cut alike. Rows that
+    share an id only are documents of their own. Rows of a null id come after
+    all others, by the hash of their text.
     """
-    cuts = covered_intervals(repeated_windows(docs)).withColumnRenamed("doc_id", "cut_id")
+    cuts = covered_intervals(repeated_windows(docs)).withColumnsRenamed({"doc_id": "cut_id", "text_key": "cut_key"})
     docs = docs.drop("n_lines", "n_removed")
     rows = docs.select(F.struct(*docs.columns).alias("__row"))
-    rows = rows.join(cuts, F.col("__row.doc_id") == F.col("cut_id"), "left")
+    rows = rows.join(cuts, F.col("__row.doc_id").eqNullSafe(F.col("cut_id")) & (_text_key("__row.text") == F.col("cut_key")), "left")
     whole = F.coalesce("__row.text", F.lit(""))
     n = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
     lines = _lines("__row.text")

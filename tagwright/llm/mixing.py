@@ -2,9 +2,10 @@
 
 A document of source s is repeated Poisson(rate_s) times. The rate brings the
 expected characters of each source to its share of the total. The count comes
-from inverting the Poisson distribution at a hash of seed and id, so it depends
-on nothing else; replicas are dealt to partitions by a hash and sorted by it,
-which is a global shuffle.
+from inverting the Poisson distribution at a hash of seed and id (of the text
+where there is no id), so it depends on nothing else; replicas are dealt to
+partitions by a hash and sorted by it, which is a global shuffle. A document of
+very many copies is first cut into runs of copies, which are dealt to tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ BROADCAST_SOURCES = 20_000
 PART_RATE = 64.0
 #: Bits of a shuffle key, and of them those by which replicas are dealt to partitions.
 KEY_BITS, DEALT_BITS = 52, 16
+#: Copies of a document that one task makes; more are made by several.
+RUN = 4096
 
 
 def rates(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0) -> DataFrame:
@@ -56,13 +59,26 @@ def cumulative(rate: Column) -> Column:
     return F.when(rate > 0, terms).otherwise(F.array(F.lit(1.0)))
 
 
+def _copies(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """rows n times each, with copy. Rows of more than RUN copies, where a rate allows for any, are dealt to tasks in runs."""
+    to = lambda n: F.sequence(F.lit(0), n - 1)
+    if table.where(F.col("rate") > RUN / 2).isEmpty():
+        return rows.withColumn("copy", F.explode(to(F.col("n"))))
+    runs = rows.where(F.col("n") > RUN).withColumn("run", F.explode(to(F.ceil(F.col("n") / RUN).cast("int"))))
+    runs = runs.withColumn("spot", F.xxhash64("run", "__row.doc_id", "__row.text")).repartition("spot").drop("spot")
+    first = F.col("run") * RUN
+    runs = runs.withColumn("copy", F.explode(F.sequence(first, F.least(F.col("n"), first + RUN) - 1))).drop("run")
+    return rows.where(F.col("n") <= RUN).withColumn("copy", F.explode(to(F.col("n")))).unionByName(runs)
+
+
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0, seed: int = 0) -> DataFrame:
     """docs repeated and shuffled, with copy (0, 1, ...), rate and shuffle_key (columns of these names are replaced).
 
     Null texts have no characters; null is a source like any other. Rows that
-    repeat an id get the same count. Rows of a null id are drawn by their hash
-    of nothing, together. An empty table gives an empty mixture. The shuffled
-    order is that of shuffle_key.
+    repeat an id get the same count. Rows of a null id are drawn by their text,
+    so that equal texts among them get the same count; those of a null text are
+    drawn together. An empty table gives an empty mixture. The shuffled order is
+    that of shuffle_key.
     """
     docs = docs.drop("copy", "rate", "shuffle_key")
     parts = F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).cast("int")
@@ -72,15 +88,15 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: f
     )
     rows = docs.select(F.struct(*docs.columns).alias("__row"))
     rows = rows.join(broadcast_up_to(table, BROADCAST_SOURCES), F.col("__row.source").eqNullSafe(F.col("of_source")))
-    doc_id = F.coalesce(F.col("__row.doc_id").cast("string"), F.lit(""))
+    unnamed = F.concat(F.lit("text:"), F.md5(F.coalesce("__row.text", F.lit(""))))
+    doc_id = F.coalesce(F.col("__row.doc_id").cast("string"), unnamed)
 
     def drawn(part: Column) -> Column:
         u = (unit_hash(F.lit(f"{seed}"), part.cast("string"), doc_id) + 0.5) / F.lit(2.0**KEY_BITS)
         return F.size(F.filter("below", lambda c: c <= u))
 
     count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda n, part: n + drawn(part))
-    rows = rows.withColumn("n", count).where("n > 0")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    rows = _copies(rows.withColumn("n", count).where("n > 0"), table)
     rows = rows.withColumn("shuffle_key", unit_hash(F.lit(f"{seed}"), F.lit("order"), F.col("copy").cast("string"), doc_id))
     rows = rows.select(*[F.col(f"__row.`{c}`") for c in docs.columns], "copy", "rate", "shuffle_key")
     return rows.repartition(F.shiftright("shuffle_key", KEY_BITS - DEALT_BITS)).sortWithinPartitions("shuffle_key")

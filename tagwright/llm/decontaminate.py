@@ -29,8 +29,10 @@ from tagwright.llm.common import keep
 
 MIN_MATCH = 5
 COVERAGE = 0.5
-#: Bits of the table of benchmark seeds that tasks get: 4 MB whatever the benchmark's size. A full table lets more documents through to the join and changes no result.
+#: Bits of the table of benchmark seeds: 4 MB in the driver and in tasks, whatever the benchmark's size. A full table lets more documents through to the join and changes no result.
 SEED_BITS = 1 << 25
+#: Items that a document's tokens travel with at once.
+BUNDLE = 32
 
 
 def _tokens(column: pa.Array):
@@ -90,6 +92,16 @@ def telling_seeds(item_seed: DataFrame, hits: DataFrame) -> DataFrame:
     return spent.where("spent >= needed").select("seed", "item_id")
 
 
+def bit_table(item_seed: DataFrame) -> np.ndarray:
+    """Bits of the slots of all seeds. Tasks set them in words of 64 bits, which merge by OR: the driver gets at most SEED_BITS / 64 words."""
+    slot = F.col("seed").bitwiseAND(SEED_BITS - 1)
+    bit = F.expr(f"shiftleft(1L, cast((seed & {SEED_BITS - 1}) % 64 as int))")
+    words = item_seed.groupBy(F.floor(slot / 64).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(SEED_BITS // 64, np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return table.view(np.uint8)
+
+
 def seeded_documents(docs: DataFrame, table: np.ndarray, widths: list[int]) -> DataFrame:
     """doc_id, tokens, seeds of documents with a seed in the bit table."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -99,7 +111,7 @@ def seeded_documents(docs: DataFrame, table: np.ndarray, widths: list[int]) -> D
         for batch in slices(batches, "text"):
             found = _tokens(batch.column("text"))
             hashes = found.hashes()
-            hits, owners = [], []
+            hits, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for width in widths:
                 seed, owner = seeds(hashes, found.bounds, width)
                 slot = (seed & np.uint64(SEED_BITS - 1)).astype(np.int64)
@@ -107,12 +119,16 @@ def seeded_documents(docs: DataFrame, table: np.ndarray, widths: list[int]) -> D
                 hits.append(seed[hit])
                 owners.append(owner[hit])
             seed, owner = np.concatenate(hits), np.concatenate(owners)
-            for document in np.unique(owner).tolist():
-                tokens = hashes[found.bounds[document] : found.bounds[document + 1]]
-                mine = np.unique(seed[owner == document])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(document, 1), _lists(tokens, np.array([0, len(tokens)])), _lists(mine, np.array([0, len(mine)]))], ["doc_id", "tokens", "seeds"]
-                )
+            order = np.lexsort((seed, owner))
+            seed, owner = seed[order], owner[order]
+            first = np.ones(len(seed), bool)
+            first[1:] = (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])
+            seed, owner = seed[first], owner[first]
+            chosen, counts = np.unique(owner, return_counts=True)
+            lengths = found.bounds[chosen + 1] - found.bounds[chosen]
+            at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(found.bounds[chosen], lengths)
+            bounds = lambda sizes: np.concatenate(([0], np.cumsum(sizes)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(chosen)), _lists(hashes[at], bounds(lengths)), _lists(seed, bounds(counts))], ["doc_id", "tokens", "seeds"])
 
     columns = F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     return docs.select(*columns).mapInArrow(rows, "doc_id long, tokens array<long>, seeds array<long>")
@@ -176,25 +192,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     items = keep(item_tokens(benchmark.where("item_id is not null")), "benchmark-tokens")
     item_seed = keep(item_seeds(items, min_match, coverage), "benchmark-seeds")
     widths = [r[0] for r in item_seed.select("width").distinct().collect()]  # at most min_match
-    table = np.zeros(SEED_BITS // 8, np.uint8)
-    slots = np.array([r[0] for r in item_seed.select(F.col("seed").bitwiseAND(SEED_BITS - 1).alias("s")).distinct().collect()], np.int64)
-    np.bitwise_or.at(table, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
-    found = seeded_documents(docs.where("doc_id is not null"), table, widths or [min_match])
+    found = seeded_documents(docs.where("doc_id is not null"), bit_table(item_seed), widths)
     found = keep(found.withColumn("row", F.monotonically_increasing_id()), "seeded-documents")
     hits = found.select("row", F.explode("seeds").alias("seed"))
-    pairs = hits.join(telling_seeds(item_seed, hits), "seed").select("row", "item_id").distinct()
-    pairs = pairs.join(items.withColumnRenamed("tokens", "item"), "item_id").join(found.select("row", "doc_id", "tokens"), "row")
+    pairs = keep(hits.join(telling_seeds(item_seed, hits), "seed").select("row", "item_id").distinct(), "seeded-pairs")
+    # a document travels once for a bundle of its items
+    place = F.row_number().over(Window.partitionBy("row").orderBy("item_id"))
+    item = F.struct("item_id", F.col("tokens").alias("item"))
+    bundles = pairs.withColumn("bundle", F.floor((place - 1) / BUNDLE)).join(items, "item_id").groupBy("row", "bundle").agg(F.collect_list(item).alias("items"))
+    met = found.select("row", "doc_id", "tokens").join(bundles, "row")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for item, tokens in zip(batch.column("item"), batch.column("tokens"), strict=True):
-                item = item.values.to_numpy().view(np.uint64)
-                got = tiles(item, tokens.values.to_numpy().view(np.uint64), min_match)
-                out.append((sum(n for _, _, n in got) / len(item), len(got), max((n for _, _, n in got), default=0)))
-            values = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.float64(), pa.int32(), pa.int32()), strict=True)] if out else [pa.array([], t) for t in (pa.float64(), pa.int32(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), *values], ["doc_id", "item_id", "coverage", "n_tiles", "longest_tile"])
-
-    tiled = pairs.select("doc_id", "item_id", "item", "tokens").mapInArrow(rows, "doc_id long, item_id long, coverage double, n_tiles int, longest_tile int")
+            for number, (several, tokens) in enumerate(zip(batch.column("items"), batch.column("tokens"), strict=True)):
+                text = tokens.values.to_numpy().view(np.uint64)
+                for one in several:
+                    item = one["item"].values.to_numpy().view(np.uint64)
+                    got = tiles(item, text, min_match)
+                    out.append((number, one["item_id"].as_py(), sum(n for _, _, n in got) / len(item), len(got), max((n for _, _, n in got), default=0)))
+            columns = zip(*out, strict=True) if out else [()] * 5
+            number, *values = (pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()), strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(number), *values], ["doc_id", "item_id", "coverage", "n_tiles", "longest_tile"])
+
+    tiled = met.select("doc_id", "items", "tokens").mapInArrow(rows, "doc_id long, item_id long, coverage double, n_tiles int, longest_tile int")
     best = tiled.where(F.col("coverage") >= coverage).groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_tiles", "longest_tile")).alias("b"))
     return best.select("doc_id", "item_id", "b.*")

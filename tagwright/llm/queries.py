@@ -76,7 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE,
-    "op4_sharding": sharding.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }

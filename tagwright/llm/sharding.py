@@ -1,135 +1,246 @@
 """Sharding by size-tiered compaction, in DataFrame operations.
 
-Arrivals are small immutable shards: runs of consecutive ids. In each tier the
-shards smaller than the tier's size are merged with their neighbours into shards
-of about that size; larger ones are left as they are. Planning works on one row
-a shard, in windows over a bounded span of arrivals. The data are then written
-once, a file a shard, and a manifest of a new version commits them: readers see
-the last version whose _SUCCESS mark exists.
+A root folder holds immutable Parquet files, the shards, and versions. A version
+lists its live files; nothing else is part of it.
+
+- append: each task writes its rows as small files (tier 0); nothing is shuffled.
+- compact: in each tier, files smaller than the tier's size are put in order of
+  size and merged, neighbours with neighbours, into files of about that size;
+  what a tier makes takes part in the next, and only the end of it is written.
+  Files that are large enough, or too few to merge, stay where they are.
+- commit: a version becomes visible by the rename of one small file, which fails
+  if another writer took its number; the loser applies its change to the version
+  that won. A crash before that leaves files that no version lists; vacuum
+  deletes them.
+
+Sizes are those of files. Planning works on one row a file, in groups of bounded
+size; ids play no part in it.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from tagwright.llm.common import broadcast_up_to, keep
+from tagwright.llm.common import broadcast_up_to, exists, file_system, keep
 
-ARRIVAL_ROWS = 64
-#: Arrivals of rows without an id, apart from those of any id.
-NULL_ARRIVALS = 1 << 20
-#: Bytes of text after which a shard leaves a tier; the last is the target size.
+#: Rows of an arriving file at most.
+ARRIVAL_ROWS = 1024
+#: Bytes from which a file leaves a tier; the last is the target size.
 TIERS = (2 << 20, 16 << 20)
-#: Arrivals in one planning window of the first tier; each further tier spans 8 times as many.
+#: Files of a tier that make a merge worth its writing.
+FAN_IN = 4
+#: Files of a tier's size in one planning group, in bytes of that size.
 SPAN = 256
-#: Up to so many planned shards (24 bytes each) the plan is broadcast to the writers, beyond that joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Bytes that one task of a compaction writes, if a shard is not larger.
+TASK_BYTES = 16 << 20
+#: Up to so many merged files the plan is broadcast to the writers (some 200 bytes each), beyond that joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
+MANIFEST = "file string, shard_tier int, n_bytes long, n_docs long"
+_SHARD = ("shard_id", "shard_tier")
+_FOLDER = r"^(.*/shard_tier=\d+)/"
 
-def arrival_of(doc_id: str = "doc_id", rows: int = ARRIVAL_ROWS, text: str = "text") -> Column:
-    """The arrival shard of an id; rows of a null id are dealt to NULL_ARRIVALS further ones by their text."""
-    unnamed = -1 - F.pmod(F.xxhash64(text), F.lit(NULL_ARRIVALS)) - F.lit(1 << 58)
-    return F.coalesce(F.floor(F.col(doc_id) / rows), unnamed).cast("long")
 
-
-def plan(arrivals: DataFrame, tiers: Sequence[int] = TIERS, span: int = SPAN) -> DataFrame:
-    """arrival, n_bytes, n_docs -> the same with shard_id (its first arrival) and shard_tier."""
-    placed = arrivals.select("arrival", F.col("arrival").alias("shard_id"), "n_bytes", "n_docs", F.lit(0).alias("shard_tier"))
-    for tier, most in enumerate(tiers, 1):
-        shards = placed.groupBy("shard_id").agg(F.sum("n_bytes").alias("size"), F.max("shard_tier").alias("was"))
-        small = shards.where(F.col("size") < most).withColumn("segment", F.floor(F.col("shard_id") / (span * 8 ** (tier - 1))))
-        along = Window.partitionBy("segment").orderBy("shard_id")
-        bins = small.withColumn("bin", F.floor((F.sum("size").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")) / most))
-        group = Window.partitionBy("segment", "bin")
-        merged = bins.select(
-            "shard_id",
-            F.min("shard_id").over(group).alias("into"),
-            F.when(F.count(F.lit(1)).over(group) > 1, F.lit(tier)).otherwise(F.col("was")).alias("now"),
-        )
-        placed = placed.join(merged, "shard_id", "left").select(
-            "arrival", F.coalesce("into", "shard_id").alias("shard_id"), "n_bytes", "n_docs", F.coalesce("now", "shard_tier").alias("shard_tier")
-        )
-    return placed
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    try:
-        return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-    except Py4JJavaError:
-        return False
+class Conflict(RuntimeError):
+    """Another writer has replaced files that this one meant to replace."""
 
 
 def latest_version(spark: SparkSession, root: str) -> int:
     """The last committed version, 0 if there is none."""
-    version = 0
-    while _exists(spark, f"{root}/manifest/version={version + 1}/_SUCCESS"):
-        version += 1
-    return version
+    system, at = file_system(spark, f"{root}/versions")
+    if not system.exists(at):
+        return 0
+    names = [status.getPath().getName() for status in system.listStatus(at)]
+    return max((int(n) for n in names if n.isdigit()), default=0)
 
 
-def read_shards(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The rows of a committed version."""
-    return spark.read.parquet(f"{root}/data/version={version or latest_version(spark, root)}")
+def _version(spark: SparkSession, root: str, version: int) -> dict:
+    return json.loads(spark.read.text(f"{root}/versions/{version:010d}", wholetext=True).first()[0])
 
 
-def compact_shards(docs: DataFrame, root: str, arrival: Column | None = None, tiers: Sequence[int] = TIERS, span: int = SPAN) -> int:
-    """Write docs as target-sized shards under root; the version committed.
+def manifest(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """file, shard_tier, n_bytes, n_docs of the live files of a version (the last), empty if there is none."""
+    version = version or latest_version(spark, root)
+    if not version:
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifests/{_version(spark, root, version)['manifest']}")
+
+
+def _publish(spark: SparkSession, root: str, version: int, content: dict) -> bool:
+    """Make a version visible; False if its number is taken."""
+    jvm = spark.sparkContext._jvm
+    system, folder = file_system(spark, f"{root}/versions")
+    system.mkdirs(folder)
+    _, draft = file_system(spark, f"{root}/versions/draft-{uuid.uuid4().hex}")
+    out = system.create(draft, False)
+    out.write(json.dumps(content).encode())
+    out.close()
+    _, final = file_system(spark, f"{root}/versions/{version:010d}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(system.makeQualified(draft), system.makeQualified(final), plain)  # fails where there is a file of that name
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
 
-    A shard holds whole arrivals, so a text larger than the target makes a
-    shard of its own size. Null and empty texts count no bytes and are kept.
-    Repeated rows are kept. Columns of docs named shard_id or shard_tier are
-    replaced. An empty table commits a version without shards.
-    If two writers race for a version, the second fails at the manifest.
+
+def commit(spark: SparkSession, root: str, schema: StructType, added: DataFrame, removed: DataFrame | None = None) -> int:
+    """Commit the last version with files added and removed; the new version.
+
+    Of two writers the second starts again from what the first committed, unless
+    that lacks files which it replaces.
     """
-    spark = docs.sparkSession
-    arrival = arrival_of() if arrival is None else arrival
-    docs = docs.drop("shard_id", "shard_tier")
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), arrival.alias("arrival"))
-    n_bytes = F.octet_length(F.coalesce("__row.text", F.lit("")))
-    sizes = rows.groupBy("arrival").agg(F.sum(n_bytes).cast("long").alias("n_bytes"), F.count(F.lit(1)).alias("n_docs"))
-    planned = keep(plan(keep(sizes, "shard-sizes"), tiers, span), "shard-plan")
-    shards = planned.groupBy("shard_id", "shard_tier").agg(F.sum("n_docs").alias("shard_docs"), F.sum("n_bytes").alias("shard_bytes"))
-    version = latest_version(spark, root) + 1
+    while True:
+        version = latest_version(spark, root)
+        if version and _version(spark, root, version)["schema"] != json.loads(schema.json()):
+            raise ValueError("the rows have other columns than those under this root")
+        live = manifest(spark, root, version)
+        if removed is not None:
+            if not removed.join(live, "file", "left_anti").isEmpty():
+                raise Conflict(f"version {version} has other files than those that were merged")
+            live = live.join(removed, "file", "left_anti")
+        name = uuid.uuid4().hex
+        live.unionByName(added).write.parquet(f"{root}/manifests/{name}")
+        if _publish(spark, root, version + 1, {"manifest": name, "schema": json.loads(schema.json())}):
+            return version + 1
+
+
+def _rows(spark: SparkSession, schema: StructType, files: DataFrame) -> DataFrame:
+    """__row and __file of the rows of the folders that hold some of the files."""
+    folders = [r[0] for r in files.select(F.regexp_extract("file", _FOLDER, 1)).distinct().collect()]  # one a write
+    if not folders:
+        rows, file = spark.createDataFrame([], schema), F.lit("")
+    else:
+        rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+        file = rows.metadataColumn("_metadata")["file_path"]
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in schema.names]).alias("__row"), file.alias("__file"))
+
+
+def _files(spark: SparkSession, schema: StructType, folder: str) -> DataFrame:
+    """Manifest rows of the files just written; only their footers are read."""
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+    about = rows.metadataColumn("_metadata")
+    per = rows.groupBy(about["file_path"].alias("file"), about["file_size"].alias("n_bytes")).agg(F.count(F.lit(1)).alias("n_docs"))
+    return keep(per.select("file", F.regexp_extract("file", r"/shard_tier=(\d+)/", 1).cast("int").alias("shard_tier"), "n_bytes", "n_docs"), "shard-files")
+
+
+def append(docs: DataFrame, root: str, arrival_rows: int = ARRIVAL_ROWS) -> int:
+    """Add docs as small shards; the version committed. Columns of docs named shard_id or shard_tier are dropped."""
+    spark, docs = docs.sparkSession, docs.drop(*_SHARD)
+    folder = f"{root}/data/{uuid.uuid4().hex}"
+    docs.write.option("maxRecordsPerFile", arrival_rows).parquet(f"{folder}/shard_tier=0")
+    return commit(spark, root, docs.schema, _files(spark, docs.schema, folder))
+
+
+def plan(files: DataFrame, tiers: Sequence[int] = TIERS, fan_in: int = FAN_IN, span: int = SPAN) -> DataFrame:
+    """file, n_bytes, shard, shard_tier of the files to merge. shard: the least file name of those that become one.
+
+    In each tier the files (and what smaller tiers made) under its size are
+    dealt by a hash to groups of about span times that size. A group is put in
+    order of size and cut where the running sum passes multiples of the tier's
+    size. fan_in files or more of one piece are merged.
+    """
+    placed = keep(files.select("file", "n_bytes", F.col("file").alias("shard"), "shard_tier"), "shard-plan")
+    for tier, most in enumerate(tiers, 1):
+        shards = placed.groupBy("shard").agg(F.sum("n_bytes").alias("size"))
+        small = keep(shards.where(F.col("size") < most), "shard-small")
+        groups = max(1, (small.agg(F.sum("size")).first()[0] or 0) // (most * span))
+        along = Window.partitionBy("group").orderBy("size", "shard").rowsBetween(Window.unboundedPreceding, 0)
+        cut = small.withColumn("group", F.pmod(F.xxhash64("shard"), F.lit(groups)))
+        cut = cut.withColumn("piece", F.floor((F.sum("size").over(along) - F.col("size")) / most))
+        together = Window.partitionBy("group", "piece")
+        merged = cut.select("shard", F.min("shard").over(together).alias("into"), F.count(F.lit(1)).over(together).alias("n")).where(F.col("n") >= fan_in)
+        placed = placed.join(merged, "shard", "left").select(
+            "file", "n_bytes", F.coalesce("into", "shard").alias("shard"), F.when(F.col("into").isNotNull(), tier).otherwise(F.col("shard_tier")).alias("shard_tier")
+        )
+        placed = keep(placed, "shard-plan")
+    several = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
+    return keep(placed.join(several, "shard"), "shard-merges")
+
+
+def _tasks(merges: DataFrame, task_bytes: int, span: int) -> tuple[DataFrame, int]:
+    """merges with number (of the shard in its task) and task, and how many tasks: runs of shards of about task_bytes."""
+    shards = merges.groupBy("shard").agg(F.sum("n_bytes").alias("size"))
+    groups = max(1, (merges.agg(F.sum("n_bytes")).first()[0] or 0) // (task_bytes * span))
+    along = Window.partitionBy("group").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    cut = shards.withColumn("group", F.pmod(F.xxhash64("shard"), F.lit(groups)))
+    cut = cut.select("shard", "group", F.floor((F.sum("size").over(along) - F.col("size")) / task_bytes).alias("run"), F.count(F.lit(1)).over(along).alias("number"))
+    cut = keep(cut, "shard-tasks")
+    runs = 1 + (cut.agg(F.max("run")).first()[0] or 0)
+    task = (F.col("group") * runs + F.col("run")).cast("int")
+    return merges.join(cut, "shard").select("file", "shard_tier", F.concat_ws("-", "group", "number").alias("shard_id"), task.alias("task")), int(groups * runs)
+
+
+def compact(spark: SparkSession, root: str, tiers: Sequence[int] = TIERS, fan_in: int = FAN_IN, span: int = SPAN, task_bytes: int = TASK_BYTES) -> int:
+    """Merge what the last version holds too many small files of; the version committed, or the last if there is nothing to merge."""
+    version = latest_version(spark, root)
+    merges = plan(manifest(spark, root, version), tiers, fan_in, span)
+    if merges.isEmpty():
+        return version
+    schema = StructType.fromJson(_version(spark, root, version)["schema"])
+    dealt, tasks = _tasks(merges, task_bytes, span)
+    dealt = keep(dealt.withColumnRenamed("file", "__file"), "shard-dealt")
+    rows = _rows(spark, schema, merges)
+    rows = rows.join(broadcast_up_to(dealt, BROADCAST_ROWS), "__file")
+    folder = f"{root}/data/{uuid.uuid4().hex}"
     (
-        rows.join(broadcast_up_to(planned.select("arrival", "shard_id", "shard_tier"), BROADCAST_ROWS), "arrival")
-        .select(*[F.col(f"__row.`{c}`") for c in docs.columns], "shard_id", "shard_tier")
-        .repartition(max(1, shards.count()), "shard_id")
-        .sortWithinPartitions("shard_id", "doc_id")
-        .write.partitionBy("shard_id")
-        .parquet(f"{root}/data/version={version}")
+        rows.repartitionById(tasks, F.col("task"))
+        .sortWithinPartitions("shard_tier", "shard_id")
+        .select(*[F.col(f"__row.`{c}`") for c in schema.names], "shard_tier", "shard_id")
+        .write.partitionBy("shard_tier", "shard_id")
+        .parquet(folder)
     )
-    shards.write.parquet(f"{root}/manifest/version={version}")
-    return version
+    return commit(spark, root, schema, _files(spark, schema, folder), merges.select("file"))
 
 
-def manifest(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    return spark.read.parquet(f"{root}/manifest/version={version or latest_version(spark, root)}")
-
-
-def sharded(docs: DataFrame, root: str, arrival: Column | None = None, tiers: Sequence[int] = TIERS, span: int = SPAN) -> DataFrame:
-    """Compact docs under root and read the committed version back: its rows with shard_id, shard_tier."""
+def read_shards(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The rows of a committed version (the last), with shard_id (the file below root) and shard_tier."""
+    version = version or latest_version(spark, root)
+    if not version:
+        raise ValueError(f"no version under {root}")
+    schema = StructType.fromJson(_version(spark, root, version)["schema"])
+    files = manifest(spark, root, version)
+    rows = _rows(spark, schema, files)
+    live = files.select(F.col("file").alias("__file"), F.regexp_extract("file", r"/(data/[^/]+/shard_tier=.*)$", 1).alias("shard_id"), "shard_tier")
+    rows = rows.join(broadcast_up_to(live, BROADCAST_ROWS), "__file")
+    return rows.select(*[F.col(f"__row.`{c}`") for c in schema.names], *_SHARD)
+
+
+def vacuum(spark: SparkSession, root: str, versions: int = 1) -> int:
+    """Delete the folders that none of the last versions lists a file of; how many. No writer may be at work."""
+    last = latest_version(spark, root)
+    used = set()
+    for version in range(max(1, last - versions + 1), last + 1):
+        used |= {r[0] for r in manifest(spark, root, version).select(F.regexp_extract("file", r"/data/([^/]+)/", 1)).distinct().collect()}
+    if not exists(spark, f"{root}/data"):
+        return 0
+    system, at = file_system(spark, f"{root}/data")
+    idle = [status.getPath() for status in system.listStatus(at) if status.getPath().getName() not in used]
+    for path in idle:
+        system.delete(path, True)
+    return len(idle)
+
+
+def sharded(docs: DataFrame, root: str, arrival_rows: int = ARRIVAL_ROWS, tiers: Sequence[int] = TIERS, fan_in: int = FAN_IN, span: int = SPAN) -> DataFrame:
+    """Append docs under root, compact, and read the last version: its rows with shard_id and shard_tier.
+
+    Every row is kept, repeated ones and those with nulls too; ids and texts are
+    not looked at. A row larger than the target makes a file of its own size. An
+    empty table adds no file. Columns of docs named shard_id or shard_tier are
+    replaced.
+    """
     spark = docs.sparkSession
-    version = compact_shards(docs, root, arrival, tiers, span)
-    if manifest(spark, root, version).isEmpty():
-        return docs.drop("shard_id", "shard_tier").withColumns({"shard_tier": F.lit(0), "shard_id": F.lit(0).cast("long")})
-    return read_shards(spark, root, version).withColumn("shard_id", F.col("shard_id").cast("long"))
-
-
-_TIER = """
-s{t} AS (SELECT shard_id, sum(n_bytes) AS size, max(shard_tier) AS was FROM p{b} GROUP BY 1),
-w{t} AS (SELECT *, floor(shard_id / {span}) AS segment FROM s{t} WHERE size < {most}),
-b{t} AS (SELECT *, floor((sum(size) OVER (PARTITION BY segment ORDER BY shard_id ROWS UNBOUNDED PRECEDING) - size) / {most}) AS bin FROM w{t}),
-m{t} AS (SELECT shard_id, min(shard_id) OVER g AS new_id, CASE WHEN count(*) OVER g > 1 THEN {t} ELSE was END AS new_tier FROM b{t} WINDOW g AS (PARTITION BY segment, bin)),
-p{t} AS (SELECT arrival, coalesce(new_id, p.shard_id) AS shard_id, n_bytes, coalesce(new_tier, shard_tier) AS shard_tier FROM p{b} p LEFT JOIN m{t} USING (shard_id))"""
-
-ORACLE = (
-    f"WITH d AS (SELECT *, CAST(floor(doc_id / {ARRIVAL_ROWS}) AS BIGINT) AS arrival, octet_length(encode(coalesce(text, ''))) AS n FROM documents),\n"
-    "p0 AS (SELECT arrival, arrival AS shard_id, sum(n) AS n_bytes, 0 AS shard_tier FROM d GROUP BY 1, 2),"
-    + ",".join(_TIER.format(t=t, b=t - 1, most=most, span=SPAN * 8 ** (t - 1)) for t, most in enumerate(TIERS, 1))
-    + f"\nSELECT doc_id, CAST(shard_id AS BIGINT) AS shard_id, CAST(shard_tier AS INTEGER) AS shard_tier, md5(text) AS text_md5 FROM d JOIN p{len(TIERS)} USING (arrival)"
-)
+    append(docs, root, arrival_rows)
+    return read_shards(spark, root, compact(spark, root, tiers, fan_in, span))

@@ -104,6 +104,30 @@ def test_line_dedup(spark, odd):
     assert out.where("text is null").count() == 2 and out.where("norm = 'x'").count() == len(ODD)
 
 
+def test_line_dedup_cuts_rows_and_not_ids(spark):
+    """Rows that share an id, or have none, are cut by their own lines only."""
+    rows = [(0, "a\nb\nc"), (1, "x\na\nb\nc"), (1, "k\nl\nm\nn"), (None, "a\nb\nc\nq"), (None, "r\ns\nt"), (None, "z\nr\ns\nt"), (None, None)]
+    got = collections.Counter((r.doc_id, r.text) for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    first, second = sorted(["r\ns\nt", "z\nr\ns\nt"], key=lambda t: __import__("hashlib").md5(t.encode()).digest())
+    unnamed = [first, second.replace("r\ns\nt", "").strip("\n")]
+    assert got == collections.Counter([(0, "a\nb\nc"), (1, "x"), (1, "k\nl\nm\nn"), (None, "q"), *((None, t) for t in unnamed), (None, None)])
+
+
+def test_mixing_draws_rows_without_an_id_by_their_text(spark):
+    docs = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.lpad(F.col("id").cast("string"), 4, "0")).alias("text"), F.lit("s").alias("source"))
+    out = mixing.mixed(docs, epochs=0.5)
+    assert 850 < out.count() < 1150 and out.select("shuffle_key").distinct().count() > 0.99 * out.count()
+
+
+def test_mixing_makes_many_copies_in_runs(spark):
+    docs = spark.createDataFrame([(1, "t", "tiny"), *((i, "t" * 100, "large") for i in range(2, 300))], "doc_id long, text string, source string")
+    out = mixing.mixed(docs)
+    tiny = out.where("source = 'tiny'")
+    rate = tiny.select("rate").first()[0]
+    assert rate > 3 * mixing.RUN and abs(tiny.count() - rate) < 6 * rate**0.5
+    assert tiny.agg(F.countDistinct("copy"), F.max("copy") + 1).first() == (tiny.count(), tiny.count())
+
+
 def test_mixing_counts_are_poisson_and_whole(spark, odd):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t" * 10).alias("text"), F.when(F.col("id") % 4 == 0, "small").otherwise("large").alias("source"))
     out = mixing.mixed(docs, {"small": 3.0, "large": 1.0}, epochs=2.0)
@@ -116,24 +140,6 @@ def test_mixing_counts_are_poisson_and_whole(spark, odd):
     assert set(mixing.mixed(odd, epochs=3.0).columns) == set(odd.columns)
 
 
-def test_sharding_keeps_every_row_and_fills_shards(spark, odd):
-    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 100).cast("int")).alias("text"))
-    root = new_path(spark, "shards")
-    out = sharding.sharded(docs, root, tiers=(20_000, 100_000), span=16)
-    assert {(r.doc_id, len(r.text)) for r in out.collect()} == {(i, i % 100) for i in range(5000)}
-    m = sharding.manifest(spark, root).collect()
-    assert sum(r.shard_docs for r in m) == 5000 and sum(r.shard_bytes for r in m) == sum(i % 100 for i in range(5000)) and max(r.shard_bytes for r in m) < 210_000
-    assert sharding.compact_shards(docs.limit(10), root) == 2 and sharding.latest_version(spark, root) == 2
-    assert sharding.read_shards(spark, root, 1).count() == 5000 and sharding.read_shards(spark, root).count() == 10
-    assert sharding.sharded(odd, new_path(spark, "shards")).count() == len(ODD)
-
-
-def test_rows_without_an_id_arrive_apart(spark):
-    docs = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
-    assert docs.select(sharding.arrival_of().alias("a")).distinct().count() > 390
-    assert sharding.sharded(docs, new_path(spark, "shards"), tiers=(40, 100)).select("shard_id").distinct().count() > 1
-
-
 def plain_fingerprint(text):
     words = WORD.findall(lower(text or ""))
     hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42) for i in range(max(1, len(words) - 3))] if words else []

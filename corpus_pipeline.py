@@ -26,10 +26,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold half of a benchmark item go."""
+    """Rows that hold half of a benchmark item go. A clean row stays, also if it shares its id with one that goes."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = keep(decontaminate.contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows = keep(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    named = rows.select(F.col("__row").alias("doc_id"), "text")
+    gone = keep(decontaminate.contaminated(named, benchmark).select(F.col("doc_id").alias("__row")).distinct(), "contaminated")
+    return rows.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,16 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shards of whole arrivals. An arrival holds rows at random, so that a shard is a mixture of its own.
-
-    Rows and not ids are dealt: the copies that mixing makes of a document of a
-    small source may be a large part of all rows. The deal is written, as it
-    must not change between the plan and the data.
-    """
-    arrivals = max(1, docs.count() // sharding.ARRIVAL_ROWS)
-    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(arrivals))
-    rows = keep(docs.withColumn("__arrival", dealt), "arrivals")
-    return sharding.sharded(rows, new_path(spark, "shards"), F.col("__arrival")).drop("__arrival")
+    """Rows as files of about the target size. Mixing has dealt them at random, so a file is a mixture of its own."""
+    return sharding.sharded(docs, new_path(spark, "shards"))
 
 
 STAGES = [

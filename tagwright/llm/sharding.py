@@ -23,13 +23,14 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from tagwright.llm import versions
 from tagwright.llm.common import broadcast_up_to, exists, file_system, keep
+from tagwright.llm.versions import latest_version
 
 #: Rows of an arriving file at most.
 ARRIVAL_ROWS = 1024
@@ -44,6 +45,8 @@ TASK_BYTES = 16 << 20
 #: Up to so many merged files the plan is broadcast to the writers (some 200 bytes each), beyond that joined by a shuffle.
 BROADCAST_ROWS = 100_000
 
+#: Of the files; they are written twice and read often.
+COMPRESSION = "zstd"
 MANIFEST = "file string, shard_tier int, n_bytes long, n_docs long"
 _SHARD = ("shard_id", "shard_tier")
 _FOLDER = r"^(.*/shard_tier=\d+)/"
@@ -53,47 +56,12 @@ class Conflict(RuntimeError):
     """Another writer has replaced files that this one meant to replace."""
 
 
-def latest_version(spark: SparkSession, root: str) -> int:
-    """The last committed version, 0 if there is none."""
-    system, at = file_system(spark, f"{root}/versions")
-    if not system.exists(at):
-        return 0
-    names = [status.getPath().getName() for status in system.listStatus(at)]
-    return max((int(n) for n in names if n.isdigit()), default=0)
-
-
-def _version(spark: SparkSession, root: str, version: int) -> dict:
-    return json.loads(spark.read.text(f"{root}/versions/{version:010d}", wholetext=True).first()[0])
-
-
 def manifest(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """file, shard_tier, n_bytes, n_docs of the live files of a version (the last), empty if there is none."""
     version = version or latest_version(spark, root)
     if not version:
         return spark.createDataFrame([], MANIFEST)
-    return spark.read.schema(MANIFEST).parquet(f"{root}/manifests/{_version(spark, root, version)['manifest']}")
-
-
-def _publish(spark: SparkSession, root: str, version: int, content: dict) -> bool:
-    """Make a version visible; False if its number is taken."""
-    jvm = spark.sparkContext._jvm
-    system, folder = file_system(spark, f"{root}/versions")
-    system.mkdirs(folder)
-    _, draft = file_system(spark, f"{root}/versions/draft-{uuid.uuid4().hex}")
-    out = system.create(draft, False)
-    out.write(json.dumps(content).encode())
-    out.close()
-    _, final = file_system(spark, f"{root}/versions/{version:010d}")
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-    try:
-        context.rename(system.makeQualified(draft), system.makeQualified(final), plain)  # fails where there is a file of that name
-    except Py4JJavaError as error:
-        system.delete(draft, False)
-        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
-            raise
-        return False
-    return True
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifests/{versions.content(spark, root, version)['manifest']}")
 
 
 def commit(spark: SparkSession, root: str, schema: StructType, added: DataFrame, removed: DataFrame | None = None) -> int:
@@ -104,7 +72,7 @@ def commit(spark: SparkSession, root: str, schema: StructType, added: DataFrame,
     """
     while True:
         version = latest_version(spark, root)
-        if version and _version(spark, root, version)["schema"] != json.loads(schema.json()):
+        if version and versions.content(spark, root, version)["schema"] != json.loads(schema.json()):
             raise ValueError("the rows have other columns than those under this root")
         live = manifest(spark, root, version)
         if removed is not None:
@@ -113,7 +81,7 @@ def commit(spark: SparkSession, root: str, schema: StructType, added: DataFrame,
             live = live.join(removed, "file", "left_anti")
         name = uuid.uuid4().hex
         live.unionByName(added).write.parquet(f"{root}/manifests/{name}")
-        if _publish(spark, root, version + 1, {"manifest": name, "schema": json.loads(schema.json())}):
+        if versions.publish(spark, root, version + 1, {"manifest": name, "schema": json.loads(schema.json())}):
             return version + 1
 
 
@@ -140,7 +108,7 @@ def append(docs: DataFrame, root: str, arrival_rows: int = ARRIVAL_ROWS) -> int:
     """Add docs as small shards; the version committed. Columns of docs named shard_id or shard_tier are dropped."""
     spark, docs = docs.sparkSession, docs.drop(*_SHARD)
     folder = f"{root}/data/{uuid.uuid4().hex}"
-    docs.write.option("maxRecordsPerFile", arrival_rows).parquet(f"{folder}/shard_tier=0")
+    docs.write.options(maxRecordsPerFile=arrival_rows, compression=COMPRESSION).parquet(f"{folder}/shard_tier=0")
     return commit(spark, root, docs.schema, _files(spark, docs.schema, folder))
 
 
@@ -189,7 +157,7 @@ def compact(spark: SparkSession, root: str, tiers: Sequence[int] = TIERS, fan_in
     merges = plan(manifest(spark, root, version), tiers, fan_in, span)
     if merges.isEmpty():
         return version
-    schema = StructType.fromJson(_version(spark, root, version)["schema"])
+    schema = StructType.fromJson(versions.content(spark, root, version)["schema"])
     dealt, tasks = _tasks(merges, task_bytes, span)
     dealt = keep(dealt.withColumnRenamed("file", "__file"), "shard-dealt")
     rows = _rows(spark, schema, merges)
@@ -199,7 +167,8 @@ def compact(spark: SparkSession, root: str, tiers: Sequence[int] = TIERS, fan_in
         rows.repartitionById(tasks, F.col("task"))
         .sortWithinPartitions("shard_tier", "shard_id")
         .select(*[F.col(f"__row.`{c}`") for c in schema.names], "shard_tier", "shard_id")
-        .write.partitionBy("shard_tier", "shard_id")
+        .write.option("compression", COMPRESSION)
+        .partitionBy("shard_tier", "shard_id")
         .parquet(folder)
     )
     return commit(spark, root, schema, _files(spark, schema, folder), merges.select("file"))
@@ -210,7 +179,7 @@ def read_shards(spark: SparkSession, root: str, version: int | None = None) -> D
     version = version or latest_version(spark, root)
     if not version:
         raise ValueError(f"no version under {root}")
-    schema = StructType.fromJson(_version(spark, root, version)["schema"])
+    schema = StructType.fromJson(versions.content(spark, root, version)["schema"])
     files = manifest(spark, root, version)
     rows = _rows(spark, schema, files)
     live = files.select(F.col("file").alias("__file"), F.regexp_extract("file", r"/(data/[^/]+/shard_tier=.*)$", 1).alias("shard_id"), "shard_tier")
@@ -218,11 +187,10 @@ def read_shards(spark: SparkSession, root: str, version: int | None = None) -> D
     return rows.select(*[F.col(f"__row.`{c}`") for c in schema.names], *_SHARD)
 
 
-def vacuum(spark: SparkSession, root: str, versions: int = 1) -> int:
+def vacuum(spark: SparkSession, root: str, last: int = 1) -> int:
     """Delete the folders that none of the last versions lists a file of; how many. No writer may be at work."""
-    last = latest_version(spark, root)
-    used = set()
-    for version in range(max(1, last - versions + 1), last + 1):
+    newest, used = latest_version(spark, root), set()
+    for version in range(max(1, newest - last + 1), newest + 1):
         used |= {r[0] for r in manifest(spark, root, version).select(F.regexp_extract("file", r"/data/([^/]+)/", 1)).distinct().collect()}
     if not exists(spark, f"{root}/data"):
         return 0

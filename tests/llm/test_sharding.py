@@ -6,7 +6,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from tagwright.llm import sharding
+from tagwright.llm import sharding, versions
 from tagwright.llm.common import new_path
 from tests.llm.test_operators import ODD, SCHEMA
 
@@ -91,7 +91,7 @@ def test_a_crash_before_the_commit_changes_nothing(spark, monkeypatch):
     def dies(*_):
         raise KeyboardInterrupt
 
-    monkeypatch.setattr(sharding, "_publish", dies)
+    monkeypatch.setattr(versions, "publish", dies)
     for work in (lambda: sharding.append(docs, root, 10), lambda: sharding.compact(spark, root, TIERS)):
         with pytest.raises(KeyboardInterrupt):
             work()

@@ -4,9 +4,12 @@ Texts and templates are cut into shingles of five words (a shorter template is
 one shingle). Windows of a template's length overlap by seven eighths; a window
 without any template shingle cannot match and is not signed. Signatures of 32
 MinHashes in 16 bands of 2 retrieve templates: a window that holds 0.8 of a
-template and is off by a sixteenth of its length has a Jaccard similarity of 0.6
-or more, so it collides in some band with probability over 0.999. A retrieved
-template is then verified by the exact share of its shingles in the window.
+template and is off by a sixteenth of its length has a Jaccard similarity of
+0.584 or more, so it collides in some band with probability 0.9987 or more. A
+retrieved template is then verified by the exact share of its shingles in the
+window. Licenses of one family differ in a word or a number, which that share
+cannot see, so these telling words must stand in the window behind the same word
+as in the template.
 """
 
 from __future__ import annotations
@@ -37,24 +40,63 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
     ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+        "Licensed under the Mozilla Public License, version 2.0.",
+    ),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.",),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "Licensed under the BSD 3-Clause License.",
     ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",),
+    "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",),
+    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International License.",),
+    "CC-BY-NC-SA-4.0": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
     "all-rights-reserved": ("All rights reserved.",),
 }
+#: Words that tell licenses of a family apart, besides those with a digit.
+TELLING = ("affero", "attribution", "general", "lesser", "noncommercial", "sharealike")
 
 
 class Template(NamedTuple):
     license_id: str
     size: int  # words of a shingle
     shingles: np.ndarray  # sorted
+    telling: np.ndarray  # telling words, each with the word before it
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -67,10 +109,13 @@ def templates(texts: Mapping[str, Sequence[str]]) -> list[Template]:
     out = []
     for license_id, several in texts.items():
         for text in several:
-            hashes = words(pa.array([text]), NOT_ALNUM).hashes()
+            found = words(pa.array([text]), NOT_ALNUM)
+            hashes = found.hashes()
             if len(hashes):
                 size = min(SHINGLE, len(hashes))
-                out.append(Template(license_id, size, np.unique(shingles(hashes, size))))
+                named = [found.data[a:b].tobytes().decode(errors="replace") for a, b in zip(found.starts, found.ends, strict=True)]
+                at = np.array([i for i, w in enumerate(named) if i and (w in TELLING or any(c.isdigit() for c in w))], np.int64)
+                out.append(Template(license_id, size, np.unique(shingles(hashes, size)), range_hashes(hashes, at - 1, at + 1)))
     return out
 
 
@@ -96,6 +141,7 @@ class Index:
 
     def matches(self, hashes: np.ndarray, least: float) -> Iterator[tuple[str, float, int]]:
         """license, containment and first word of each window of a text that holds enough of a template."""
+        pairs = shingles(hashes, 2)
         for size, known in self.known.items():
             mine = shingles(hashes, size)
             hits = np.flatnonzero(np.isin(mine, known))
@@ -108,10 +154,10 @@ class Index:
                     window = mine[start : start + length]
                     retrieved = {n for key in band_keys(window) for n in self.bands.get((size, length, key), ())}
                     for number in sorted(retrieved):
-                        wide = mine[max(0, start - step) : start + length + step]
-                        held = float(np.isin(self.templates[number].shingles, wide).mean())
-                        if held >= least:
-                            yield self.templates[number].license_id, held, start
+                        template, first, last = self.templates[number], max(0, start - step), start + length + step
+                        held = float(np.isin(template.shingles, mine[first:last]).mean())
+                        if held >= least and np.isin(template.telling, pairs[first : last + size - 2]).all():
+                            yield template.license_id, held, start
 
 
 def license_scan(docs: DataFrame, texts: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:

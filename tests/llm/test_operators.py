@@ -346,14 +346,18 @@ def license_shingles(words):
     return [tuple(words[i : i + k]) for i in range(len(words) - k + 1)]
 
 
+def telling_pairs(words):
+    return {(a, b) for a, b in zip(words, words[1:], strict=False) if b in license_scan.TELLING or re.search(r"\d", b)}
+
+
 def test_license_scan_against_every_window(spark):
     """What a window of a template's length holds is found; what is found lies within that window and an eighth on either side."""
     rng, parts = np.random.default_rng(17), re.compile(r"[a-z0-9]+")
     notices = [(name, parts.findall(t.lower())) for name, several in license_scan.TEMPLATES.items() for t in several]
     docs = []
-    for d in range(120):
-        words = notices[int(rng.integers(len(notices)))][1].copy()
-        for _ in range(int(rng.integers(0, 5))):
+    for d in range(4 * len(notices)):
+        words = notices[d % len(notices)][1].copy()
+        for _ in range(int(rng.integers(0, 4))):
             at = int(rng.integers(len(words)))
             words[at : at + int(rng.integers(0, 3))] = ["changed"] * int(rng.integers(0, 2))
             words = words or ["gone"]
@@ -364,19 +368,41 @@ def test_license_scan_against_every_window(spark):
     for d, text in docs:
         words = parts.findall(text)
         for name, notice in notices:
-            wanted = set(license_shingles(notice))
+            wanted, telling = set(license_shingles(notice)), telling_pairs(notice)
             k = min(license_scan.SHINGLE, len(notice))
             mine, n = [tuple(words[i : i + k]) for i in range(len(words) - k + 1)], len(license_shingles(notice))
             step = max(1, n // 8)
-            held = lambda a, b, mine=mine, wanted=wanted: len(wanted & set(mine[max(a, 0) : b])) / len(wanted)
+
+            def holds(a, b, mine=mine, wanted=wanted, telling=telling, words=words, k=k):
+                a = max(a, 0)
+                return len(wanted & set(mine[a:b])) / len(wanted) >= license_scan.CONTAINMENT and telling <= set(zip(words[a : b + k - 1], words[a + 1 : b + k - 1], strict=False))
+
             for at in range(len(mine)):
-                if held(at, at + n) >= license_scan.CONTAINMENT:
+                if holds(at, at + n):
                     least.add((d, name))
-                if held(at - step, at + n + step) >= license_scan.CONTAINMENT:
+                if holds(at - step, at + n + step):
                     most.add((d, name))
     assert least <= got <= most and len(least) > 50
 
 
+@pytest.mark.parametrize("name", sorted(license_scan.TEMPLATES))
+def test_each_notice_is_its_own_license(name):
+    index = license_scan.Index(license_scan.templates(license_scan.TEMPLATES))
+    for text in license_scan.TEMPLATES[name]:
+        hashes = license_scan.words(pa.array([f"before it {text} after it"]), license_scan.NOT_ALNUM).hashes()
+        assert {m[0] for m in index.matches(hashes, license_scan.CONTAINMENT)} == {name}
+
+
+def test_other_versions_are_other_licenses():
+    index = license_scan.Index(license_scan.templates(license_scan.TEMPLATES))
+    found = lambda t: {m[0] for m in index.matches(license_scan.words(pa.array([t]), license_scan.NOT_ALNUM).hashes(), license_scan.CONTAINMENT)}
+    gpl, cc = license_scan.TEMPLATES["GPL-3.0"][1], license_scan.TEMPLATES["CC-BY-4.0"][1]
+    assert found(gpl.replace("version 3", "version 1")) == set() and found(gpl.replace("version 3", "version 2")) == {"GPL-2.0"}
+    assert found(gpl.replace("General", "Affero General")) == {"AGPL-3.0"}
+    assert found(cc.replace("4.0", "3.0")) == set() and found(cc.replace("Attribution", "Attribution-NoDerivatives")) == set()
+    assert found(license_scan.TEMPLATES["Apache-2.0"][0].replace("2.0", "1.1")) == set()
+
+
 def test_secret_scan(spark, odd):
     model = secret_scan.train(spark)
     findings = secret_scan.labelled_findings(600, seed=99)

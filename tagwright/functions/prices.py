@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.functions.text import flag
+from tagwright.functions.text import bound, flag
 
 FLAG = "struct<code:string,detail:string>"
 
@@ -69,11 +69,11 @@ def resolve_prices(df: DataFrame, prices: str = "prices", percents: str = "perce
 
 def rescued_price(garble: Column, floor: Column, ceiling: Column) -> Column:
     """Smallest run of 3 to 5 digits in [floor, ceiling), or null."""
-    digits = F.regexp_replace(garble, r"\D", "")
 
-    def runs(size: int) -> Column:
-        last = F.length(digits) - size + 1
-        at = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.substr(digits, i, F.lit(size)).cast("double"))
+    def smallest(digits: Column) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.length(digits) - 2, F.lit(1)))
+        # a run at the end may be shorter than asked for, but then it is one of the shorter runs
+        runs = F.flatten(F.transform(at, lambda i: F.array(*[F.substr(digits, i, F.lit(n)).try_cast("double") for n in (3, 4, 5)])))
+        return F.when(F.length(digits) >= 3, F.array_min(F.filter(runs, lambda v: (v >= floor) & (v < ceiling))))
 
-    return F.array_min(F.filter(F.concat(runs(3), runs(4), runs(5)), lambda v: (v >= floor) & (v < ceiling)))
+    return bound(F.regexp_replace(garble, r"\D", ""), smallest)

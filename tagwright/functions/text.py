@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -13,6 +14,11 @@ from tagwright import reference_data as R
 _EDGE = r"[.,:;()\[\]{}\-–—•]+"
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def stripped(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 

@@ -13,10 +13,6 @@ def _table(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
 
-def _aliases(table: dict[str, tuple[str, ...]]) -> Column:
-    return _table({alias: name for name, several in table.items() for alias in several})
-
-
 def _first(tokens: Column, table: Column) -> Column:
     return F.get(F.filter(F.transform(tokens, lambda t: table[t]), lambda v: v.isNotNull()), 0)
 
@@ -27,14 +23,14 @@ def resolve_context(files: DataFrame, file: str = "source_file", override: str |
     override: a column with a country or an alias; null where there is none.
     """
     tokens = file_tokens(F.col(file))
-    countries, currencies = _aliases(R.COUNTRY_ALIASES), _table(R.CURRENCY_OF_COUNTRY)
+    countries, currencies = _table(R.COUNTRY_ALIASES), _table(R.CURRENCY_OF_COUNTRY)
     named = _first(tokens, countries)
     given = F.col(override) if override else F.lit(None).cast("string")
     forced = F.when(currencies[given].isNotNull(), given).otherwise(countries[F.lower(given)])
     has_override = given.isNotNull() & (given != "")
     country = F.coalesce(F.when(has_override, forced).otherwise(named), F.lit("UNKNOWN"))
     by = F.when(has_override, "override").when(named.isNotNull(), "filename").otherwise("unresolved")
-    out = files.withColumns({"country": country, "retailer": F.coalesce(_first(tokens, _aliases(R.RETAILER_ALIASES)), F.lit("UNKNOWN")), "resolved_by": by})
+    out = files.withColumns({"country": country, "retailer": F.coalesce(_first(tokens, _table(R.RETAILER_ALIASES)), F.lit("UNKNOWN")), "resolved_by": by})
     out = out.withColumn("currency", F.coalesce(currencies[F.col("country")], F.lit("")))
     return out.withColumn("decimals", _table(R.DECIMALS_OF_CURRENCY)[F.col("currency")])
 

@@ -10,20 +10,29 @@ from tagwright.functions.text import is_code_shaped, is_strong_code, normalize_c
 
 
 def skim_pages(tokens: DataFrame, stems: DataFrame | None = None, keywords: str = f"(?i){R.KEYWORDS}", quorum: int = R.KEYWORD_QUORUM) -> DataFrame:
-    """file, page -> n_tokens, n_keywords, has_code, has_shape, tier. tokens: file, page, text. stems: stem of the catalog."""
+    """file, page -> n_tokens, n_keywords, has_code, has_shape, tier. tokens: file, page, text. stems: stem of the catalog.
+
+    A token gives one row, or one for each of its words that are shaped like a
+    code; the rest of its words are not looked at further than for a digit.
+    """
     text = F.coalesce("text", F.lit(""))
-    words = tokens.select("file", "page", F.explode(F.split(text, r"\s+")).alias("word")).select("file", "page", normalize_code(F.col("word")).alias("w"))
-    words = words.where(is_code_shaped(F.col("w"), 6))
+    words = F.transform(F.regexp_extract_all(text, F.lit(r"\S*\d\S*"), 0), normalize_code)
+    shaped = F.filter(words, lambda w: is_code_shaped(w, 6))
+    rows = tokens.select("file", "page", text.rlike(keywords).alias("_keyword"), F.posexplode_outer(shaped).alias("_at", "_word"))
     if stems is None:
-        known = words.withColumn("_known", F.lit(False))
+        rows = rows.withColumn("_known", F.lit(False))
     else:
-        known = words.join(stems.select(F.col("stem").alias("_stem")).distinct(), F.col("w") == F.col("_stem"), "left").withColumn("_known", F.col("_stem").isNotNull())
-    codes = known.groupBy("file", "page").agg(F.bool_or("_known").alias("has_code"), F.bool_or(~F.col("_known") & is_strong_code(F.col("w"))).alias("has_shape"))
-    counts = tokens.groupBy("file", "page").agg(F.count(F.lit(1)).alias("n_tokens"), F.count_if(text.rlike(keywords)).alias("n_keywords"))
-    no = F.lit(False)
-    joined = counts.join(codes, ["file", "page"], "left").withColumns({"has_code": F.coalesce("has_code", no), "has_shape": F.coalesce("has_shape", no)})
+        rows = rows.join(stems.select(F.col("stem").alias("_word"), F.lit(True).alias("_known")).distinct(), "_word", "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    first, named = F.coalesce(F.col("_at") == 0, F.lit(True)), F.col("_word").isNotNull()
+    found = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    counts = rows.groupBy("file", "page").agg(
+        F.count_if(first).alias("n_tokens"),
+        F.count_if(first & F.col("_keyword")).alias("n_keywords"),
+        found(named & F.col("_known")).alias("has_code"),
+        found(named & ~F.col("_known") & is_strong_code(F.col("_word"))).alias("has_shape"),
+    )
     tier = F.when(F.col("n_keywords") >= quorum, "keywords").when(F.col("has_code"), "code").when((F.col("n_keywords") >= 1) & F.col("has_shape"), "weak")
-    return joined.withColumn("tier", F.coalesce(tier, F.lit("none")))
+    return counts.withColumn("tier", F.coalesce(tier, F.lit("none")))
 
 
 def candidate_pages(skimmed: DataFrame) -> DataFrame:

@@ -88,6 +88,12 @@ def weekly_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy(week.alias("week")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def run_counters(rows: DataFrame, by: str = "file") -> DataFrame:
+    """Of each file: rows without a code (gaps), with a code and flags, with a code and none. rows: matched_code, flag_codes (array)."""
+    matched, flagged = F.coalesce("matched_code", F.lit("")) != "", F.size("flag_codes") > 0
+    return rows.groupBy(by).agg(F.count_if(matched & ~flagged).alias("n_ok"), F.count_if(matched & flagged).alias("n_flagged"), F.count_if(~matched).alias("n_gaps"))
+
+
 def store_stats(rows: DataFrame) -> DataFrame:
     weeks = F.array_sort(F.collect_set(F.when(F.col("year_week") != "", F.col("year_week"))))
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("file").alias("n_files"), F.array_join(weeks, ",").alias("weeks"))
@@ -102,6 +108,7 @@ def status_counts(fleet: DataFrame) -> DataFrame:
     return fleet.agg(*[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("done", "pending", "failed")])
 
 
-def todo(files: DataFrame, ledger: DataFrame, force: bool = False) -> DataFrame:
-    """Files not done yet; with force, all."""
-    return files if force else files.join(ledger.where("status = 'done'"), "file", "left_anti")
+def todo(files: DataFrame, ledger: DataFrame, force: bool = False, week: str | None = None) -> DataFrame:
+    """Files not done yet; with force, all. week: only those below a folder of that name (files has path then)."""
+    chosen = files if week is None else files.where(F.col("path").contains(f"/{week}/"))
+    return chosen if force else chosen.join(ledger.where("status = 'done'").select("file").distinct(), "file", "left_anti")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +13,8 @@ from tagwright.functions import dates, text
 from tagwright.functions.prices import rescued_price, resolve_prices
 from tagwright.operators import catalog, context, linkage, matching, prefilter, quality, store
 from tagwright.plans.views import oracle, view
+from tagwright.sources import readers, writers
+from tagwright.sources.staging import new_path
 from tagwright.streaming.intake import current, intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,12 +186,14 @@ def percents(spark, sf_dir):
     return view(spark, sf_dir, "price_text").select(*KEY, F.array_join(text.percents(F.col("text")).cast("array<string>"), ",").alias("percents"))
 
 
-@query(oracle("price_text", rf"""SELECT {KEYS}, len(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '^\d+(\.\d{{1,2}})?$'))) AS n_prices,
- list_sum(list_transform(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '^\d+(\.\d{{1,2}})?$')), lambda w: w::DOUBLE)) AS total FROM price_text WHERE l_partkey % 8 = 7"""))
+_NUMBER = r"^(\d{1,3}(,\d{3})+|\d+)(\.\d{1,2})?$"
+
+
+@query(oracle("price_text", rf"""SELECT {KEYS}, len(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '{_NUMBER}'))) AS n_prices,
+ coalesce(list_sum(list_transform(list_filter(string_split(text, ' '), lambda w: regexp_matches(w, '{_NUMBER}')), lambda w: replace(w, ',', '')::DOUBLE)), 0.0::DOUBLE) AS total FROM price_text"""))
 def find_prices(spark, sf_dir):
     found = text.find_prices(F.col("text"))
-    rows = view(spark, sf_dir, "price_text").where("l_partkey % 8 = 7")
-    return rows.select(*KEY, F.size(found).cast("long").alias("n_prices"), F.aggregate(found, F.lit(0.0), lambda a, x: a + x).alias("total"))
+    return view(spark, sf_dir, "price_text").select(*KEY, F.size(found).cast("long").alias("n_prices"), F.aggregate(found, F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
 @query(oracle("price_text", rf""", r AS (SELECT *, regexp_extract(text, '(?i)^WAS[D]?(\d{{3,6}})[!*]?$', 1) AS was, regexp_extract(text, '^([A-Z]\d{{3,6}})([A-Z]\d{{3,6}})$', 1) AS a, regexp_extract(text, '^([A-Z]\d{{3,6}})([A-Z]\d{{3,6}})$', 2) AS b FROM price_text WHERE NOT regexp_matches(text, '(?i)^WORTH'))
@@ -254,8 +257,7 @@ def capacity(spark, sf_dir):
 
 
 def _case(column: str, table: dict) -> str:
-    pairs = [(a, name) for name, several in table.items() for a in several]
-    return f"CASE {column} " + " ".join(f"WHEN '{a}' THEN '{n}'" for a, n in pairs) + " END"
+    return f"CASE {column} " + " ".join(f"WHEN '{a}' THEN '{n}'" for a, n in table.items()) + " END"
 
 
 _TOKENS = r"list_filter(string_split_regex(lower(regexp_replace(source_file, '\.[A-Za-z0-9]+$', '')), '[^a-z0-9]+'), lambda t: t <> '')"
@@ -319,22 +321,25 @@ _KEYWORD = "(?i)password|licensed|token"
 
 
 def _skimmed(spark, sf_dir) -> DataFrame:
+    """Lines of the documents as tokens; of their code-shaped words those that begin with a digit make the catalog."""
     pages = view(spark, sf_dir, "word_pages").select("file", "page", F.explode(F.split("text", "\n")).alias("text"))
-    return prefilter.skim_pages(pages, keywords=_KEYWORD, quorum=2)
+    words = pages.select(F.explode(F.split("text", r"\s+")).alias("word")).where(F.col("word").rlike(r"\d")).select(text.normalize_code(F.col("word")).alias("stem"))
+    stems = words.where(text.is_code_shaped(F.col("stem"), 6) & F.col("stem").rlike(r"^\d")).distinct()
+    return prefilter.skim_pages(pages, stems, keywords=_KEYWORD, quorum=2)
 
 
 _SKIM = rf""", ln AS (SELECT file, page, unnest(string_split(text, chr(10))) AS text FROM word_pages),
 wd AS (SELECT file, page, unnest(string_split_regex(text, '[ \t\n\r\f\v]+')) AS token FROM ln),
 nw AS (SELECT file, page, {_NORM} AS w FROM wd),
-sh AS (SELECT file, page, bool_or({_STRONG}) AS has_shape FROM nw WHERE length(w) >= 6 AND NOT regexp_matches(w, '^\d+$') AND regexp_matches(w, '\d') GROUP BY 1, 2),
+sh AS (SELECT file, page, bool_or(known) AS has_code, bool_or(NOT known AND {_STRONG}) AS has_shape FROM (SELECT *, regexp_matches(w, '^\d') AS known FROM nw) WHERE length(w) >= 6 AND NOT regexp_matches(w, '^\d+$') AND regexp_matches(w, '\d') GROUP BY 1, 2),
 ct AS (SELECT file, page, count(*) AS n_tokens, count(*) FILTER (regexp_matches(text, '{_KEYWORD}')) AS n_keywords FROM ln GROUP BY 1, 2),
-sk AS (SELECT file, page, n_tokens, n_keywords, coalesce(has_shape, FALSE) AS has_shape, CASE WHEN n_keywords >= 2 THEN 'keywords' WHEN n_keywords >= 1 AND coalesce(has_shape, FALSE) THEN 'weak' ELSE 'none' END AS tier FROM ct LEFT JOIN sh USING (file, page))
+sk AS (SELECT file, page, n_tokens, n_keywords, coalesce(has_code, FALSE) AS has_code, coalesce(has_shape, FALSE) AS has_shape, CASE WHEN n_keywords >= 2 THEN 'keywords' WHEN has_code THEN 'code' WHEN n_keywords >= 1 AND coalesce(has_shape, FALSE) THEN 'weak' ELSE 'none' END AS tier FROM ct LEFT JOIN sh USING (file, page))
 """
 
 
 @query(oracle("word_pages", _SKIM + "SELECT * FROM sk"))
 def skim_pages(spark, sf_dir):
-    return _skimmed(spark, sf_dir).drop("has_code")
+    return _skimmed(spark, sf_dir)
 
 
 @query(oracle("word_pages", _SKIM + """, mx AS (SELECT file, max(page) AS n FROM sk GROUP BY 1), cp AS (SELECT DISTINCT file, page + o AS page FROM sk, (SELECT unnest([-1, 0, 1]) AS o) WHERE tier <> 'none')
@@ -344,10 +349,10 @@ def candidate_pages(spark, sf_dir):
     return prefilter.with_date_pages(prefilter.candidate_pages(skimmed), skimmed.select("file").distinct())
 
 
-@query(oracle("word_pages", """, w AS (SELECT file, page, len(string_split(text, ' ')) % 60 AS n FROM word_pages)
+@query(oracle("word_pages", """, w AS (SELECT file, page, len(string_split(text, ' ')) AS n FROM word_pages)
 SELECT file, round(avg(n), 6) AS avg_words, CASE WHEN avg(n) >= 30 THEN 'digital' WHEN avg(n) <= 3 THEN 'scan' ELSE 'mixed' END AS verdict, first(page ORDER BY n DESC, page) AS busiest_page FROM w GROUP BY 1"""))
 def text_layer_verdict(spark, sf_dir):
-    pages = view(spark, sf_dir, "word_pages").select("file", "page", (F.size(F.split("text", " ")) % 60).alias("n_words"))
+    pages = view(spark, sf_dir, "word_pages").select("file", "page", F.size(F.split("text", " ")).alias("n_words"))
     return prefilter.text_layer(pages).withColumn("avg_words", F.round("avg_words", 6))
 
 
@@ -424,12 +429,14 @@ def link_overlap(spark, sf_dir):
     return linkage.link(pairs).join(sure, ["page", "tok_id"]).select("page", (F.col("tok_id") / 10).cast("long").alias("slot"), "cluster", "weak")
 
 
-@query(oracle("box_obs", """, t AS (SELECT page, slot, kind, CASE kind WHEN 'was' THEN 'D' || val WHEN 'now' THEN val::VARCHAR END AS text FROM box_obs WHERE kind = 'now' OR (kind = 'was' AND val % 3 = 0))
-SELECT page, slot, count(*) AS n_prices, count(*) >= 2 OR bool_or(kind = 'was') AS strong FROM t GROUP BY 1, 2"""))
+@query(oracle("box_obs", """, t AS (SELECT page, slot, kind, CASE kind WHEN 'was' THEN 'D' || val WHEN 'now' THEN val::VARCHAR END AS text FROM box_obs WHERE kind IN ('was', 'now')),
+c AS (SELECT page, slot, count(*) AS n, bool_or(kind = 'was') AS glyph FROM (SELECT page, CASE WHEN kind = 'was' THEN slot ELSE slot - slot % 2 END AS slot, kind FROM t) z GROUP BY 1, 2)
+SELECT page, slot, n AS n_prices, n >= 2 OR glyph AS strong FROM c"""))
 def cluster_strength(spark, sf_dir):
-    boxes = _boxes(spark, sf_dir).where("kind = 'now' or (kind = 'was' and val % 3 = 0)")
+    boxes = _kind(_boxes(spark, sf_dir), "was", "now")
     words = F.when(F.col("kind") == "was", F.concat(F.lit("D"), F.col("val").cast("string"))).otherwise(F.col("val").cast("string"))
-    given = boxes.withColumns({"cluster": F.col("slot"), "part": F.lit(0), "text": words, "price": F.col("val").cast("double"), "x0": F.col("cx"), "x1": F.col("cx")})
+    near = F.when(F.col("kind") == "was", F.col("slot")).otherwise(F.col("slot") - F.col("slot") % 2)
+    given = boxes.withColumns({"cluster": near, "part": F.lit(0), "text": words, "price": F.col("val").cast("double"), "x0": F.col("cx"), "x1": F.col("cx")})
     return linkage.cluster_table(given).select("page", F.col("cluster").alias("slot"), "n_prices", "strong")
 
 
@@ -499,32 +506,36 @@ def route_rows(spark, sf_dir):
 
 _DY = "CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_suppkey % 7 - 4 END"
 _RATIO = "round(CASE WHEN {b} > 0 THEN ({a})::DOUBLE / ({b}) END, 2)"
-_HEALTH = _CHECKS + f""", h AS (SELECT *, matched_code <> '' AS m, {_DY} AS dy, CASE WHEN a OR b OR c OR d THEN '' ELSE cap END AS cap2 FROM p),
-s AS (SELECT file, count(*) FILTER (m) AS matched, count(*) FILTER (m AND problems = '') AS clean, {_RATIO.format(a="count(*) FILTER (m AND problems = '')", b='count(*) FILTER (m)')} AS clean_rate,
+_HEALTH = _CHECKS + f""", h AS (SELECT *, matched_code <> '' AS m, {_DY} AS dy, CASE WHEN a OR b OR c OR d THEN '' ELSE cap END AS cap2, l_partkey % 3 = 0 AS rescued, l_partkey % 13 = 0 AS lost, problems = '' AND l_partkey % 3 <> 0 AND l_partkey % 13 <> 0 AS fine FROM p),
+s AS (SELECT file, count(*) FILTER (m) AS matched, count(*) FILTER (m AND fine) AS clean, {_RATIO.format(a="count(*) FILTER (m AND fine)", b='count(*) FILTER (m)')} AS clean_rate,
  {_RATIO.format(a='count(*) FILTER (m AND promo IS NOT NULL)', b='count(*) FILTER (m)')} AS priced_rate, {_RATIO.format(a="count(*) FILTER (m AND cap2 <> '')", b='count(*) FILTER (m)')} AS capacity_rate,
- {_RATIO.format(a='count(*) FILTER (m AND dy > 0)', b='count(dy) FILTER (m)')} AS below_share FROM h GROUP BY 1)
+ {_RATIO.format(a='count(*) FILTER (m AND dy > 0)', b='count(dy) FILTER (m)')} AS below_share,
+ count(*) FILTER (rescued) AS rescue_count, count(*) FILTER (m AND lost) AS no_cluster_count FROM h GROUP BY 1)
 """
 
 
 def _signals(spark, sf_dir) -> DataFrame:
     dy = F.when(F.col("l_linenumber") % 4 != 0, F.col("l_suppkey") % 7 - 4)
-    rows = quality.validate_rows(view(spark, sf_dir, "row_obs")).withColumns({"flag_codes": F.transform("problems", lambda f: f["code"]), "cluster_dy": dy})
+    p = F.col("l_partkey")
+    noted = F.array_compact(F.array(F.when(p % 3 == 0, "rescued"), F.when(p % 13 == 0, "no_cluster")))
+    problems = F.transform("problems", lambda f: f["code"])
+    rows = quality.validate_rows(view(spark, sf_dir, "row_obs")).withColumns({"flag_codes": F.concat(problems, noted), "cluster_dy": dy})
     return quality.health_signals(rows)
 
 
 @query(oracle("row_obs", _HEALTH + "SELECT * FROM s"))
 def health_signals(spark, sf_dir):
-    return _signals(spark, sf_dir).drop("rescue_count", "no_cluster_count")
+    return _signals(spark, sf_dir)
 
 
 @query(oracle("row_obs", _HEALTH + """SELECT file, array_to_string(list_filter([CASE WHEN file LIKE '%1' AND below_share < 0.5 THEN 'drift_above' END, CASE WHEN file NOT LIKE '%1' AND below_share > 0.5 THEN 'drift_below' END,
- CASE WHEN clean_rate < 0.5 THEN 'low_clean' END, CASE WHEN priced_rate < 0.7 THEN 'unpriced' END], lambda x: x IS NOT NULL), ',') AS verdicts FROM s"""))
+ CASE WHEN clean_rate < 0.5 THEN 'low_clean' END, CASE WHEN priced_rate < 0.7 THEN 'unpriced' END, CASE WHEN rescue_count >= 3 THEN 'rescues' END], lambda x: x IS NOT NULL), ',') AS verdicts FROM s"""))
 def drift_verdicts(spark, sf_dir):
     position = F.when(F.col("file").endswith("1"), "below").otherwise("above")
     return quality.drift_verdicts(_signals(spark, sf_dir).withColumn("price_position", position)).select("file", codes("verdicts").alias("verdicts"))
 
 
-@query(oracle("row_obs", _HEALTH + """SELECT count(*) FILTER (clean_rate < 0.5 OR priced_rate < 0.7 OR below_share > 0.5) AS n_alerts, count(*) AS n_files FROM s"""))
+@query(oracle("row_obs", _HEALTH + """SELECT count(*) FILTER (clean_rate < 0.5 OR priced_rate < 0.7 OR below_share > 0.5 OR rescue_count >= 3) AS n_alerts, count(*) AS n_files FROM s"""))
 def health_alerts(spark, sf_dir):
     judged = quality.drift_verdicts(_signals(spark, sf_dir).withColumn("price_position", F.lit("above")))
     return judged.agg(F.count_if(F.size("verdicts") > 0).alias("n_alerts"), F.count(F.lit(1)).alias("n_files"))
@@ -588,26 +599,98 @@ def review_union(spark, sf_dir):
     return review.unionByName(routed.where("route = 'out_of_scope'").select(*KEY, "file"), allowMissingColumns=True)
 
 
-@query(oracle("row_obs", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
- CASE WHEN promo IS NULL THEN '' ELSE promo::DECIMAL(18,3)::VARCHAR END AS promo_text, CASE WHEN rrp > 0 AND promo IS NOT NULL THEN (rrp - promo)::DECIMAL(18,3)::VARCHAR ELSE '' END AS amount_text,
- coalesce(CASE WHEN length(brand) <= 3 THEN brand ELSE 'Brand' || substr(brand, 6) END, '') AS brand_text FROM row_obs"""))
-def output_rows(spark, sf_dir):
+_DAY_OF = "DATE '2026-01-01' + (l_orderkey % 400)::INTEGER"
+_TWO = "lpad(({})::VARCHAR, 2, '0')"
+_OUTPUT = f""", o AS (SELECT *, CASE l_suppkey % 3 WHEN 0 THEN 'SharafDG' WHEN 1 THEN 'Lulu' ELSE 'Emax' END AS retailer, CASE l_orderkey % 3 WHEN 0 THEN 'UAE' WHEN 1 THEN 'KSA' ELSE 'Oman' END AS country,
+ file || CASE l_partkey % 4 WHEN 0 THEN '' ELSE '_W' || {_TWO.format('l_partkey % 53 + 1')} END || '.pdf' AS source_file, CASE WHEN l_partkey % 4 <> 0 THEN (l_partkey % 53 + 1)::INTEGER END AS tagged,
+ CASE WHEN l_linenumber % 3 <> 0 THEN {_DAY_OF} END AS s, CASE WHEN l_linenumber % 3 <> 0 THEN {_DAY_OF} + (l_partkey % 20)::INTEGER END AS e, CASE WHEN l_suppkey % 2 = 0 THEN 2026 END AS hint,
+ CASE WHEN rrp > 0 AND promo IS NOT NULL THEN rrp - promo END AS amount, CASE WHEN rrp > 0 AND promo IS NOT NULL THEN (rrp - promo) / rrp * 100 END AS pct FROM row_obs),
+w AS (SELECT *, s IS NOT NULL AS found, s IS NULL AND tagged IS NOT NULL AND hint IS NOT NULL AS named, weekofyear(s) AS wk FROM o),
+f AS (SELECT *, CASE WHEN pct IS NULL THEN '' ELSE round(pct::DECIMAL(30, 10), 1)::DECIMAL(24, 1)::VARCHAR || '%' END AS pct_text FROM w)
+SELECT source_file AS "Leaflet / File Name", CASE retailer WHEN 'SharafDG' THEN 'Sharaf DG' ELSE retailer END AS "Retailer", CASE country WHEN 'UAE' THEN 'United Arab Emirates' WHEN 'KSA' THEN 'Saudi Arabia' ELSE country END AS "Country / Region",
+ CASE WHEN found THEN wk::VARCHAR WHEN named THEN tagged::VARCHAR ELSE '' END AS "Week Number", CASE WHEN found THEN isoyear(s) || '-W' || {_TWO.format('wk')} WHEN named THEN hint || '-W' || {_TWO.format('tagged')} ELSE '' END AS "Year-Week",
+ coalesce(strftime(s, '%d/%m/%Y'), '') AS "Promo Start Date", coalesce(strftime(e, '%d/%m/%Y'), '') AS "Promo End Date", coalesce((e - s + 1)::VARCHAR, '') AS "Promo Duration (days)",
+ CASE WHEN length(brand) <= 3 THEN brand ELSE 'Brand' || substr(brand, 6) END AS "Brand", l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey AS "Model Number", category AS "Product Category", '' AS "Sub-Category", coalesce(capacity, '') AS "Capacity / Size",
+ coalesce(rrp::DECIMAL(18, 3)::VARCHAR, '') AS "Regular Price (""was"")", coalesce(promo::DECIMAL(18, 3)::VARCHAR, '') AS "Promo Price (""now"")", coalesce(amount::DECIMAL(18, 3)::VARCHAR, '') AS "Discount Amount", pct_text AS "Discount %",
+ CASE WHEN l_partkey % 6 = 0 THEN 'Member price ' || l_partkey ELSE '' END AS "Other Offer Details", l_linenumber::VARCHAR AS "Page / Position",
+ array_to_string(list_filter([CASE WHEN out_of_category THEN 'out of category' END, CASE WHEN coalesce(abs(pct - badge) > 1.5::DOUBLE, FALSE) THEN 'badge says -' || badge || '% but computed ' || pct_text END,
+  CASE WHEN promo IS NOT NULL AND amount IS NULL THEN 'no regular price on leaflet — discount not computable' END, CASE WHEN l_linenumber % 3 = 0 THEN 'no dates' END,
+  CASE WHEN found AND tagged <> wk THEN 'filename says W' || {_TWO.format('tagged')} || ' but promo dates on page give W' || {_TWO.format('wk')} || ' — page dates used' END,
+  CASE WHEN named THEN 'promo dates not printed — week taken from filename' END], lambda x: x IS NOT NULL), '; ') AS "Notes / Flags", currency AS "Currency" FROM f"""
+
+
+def _output(spark, sf_dir) -> DataFrame:
+    one = lambda name, words: F.array(text.flag(name, words))
     none = F.array().cast("array<struct<code:string,detail:string>>")
-    rows = view(spark, sf_dir, "row_obs")
-    named = rows.withColumns(
-        {"source_file": F.col("file"), "retailer": F.lit("SharafDG"), "country": F.lit("UAE"), "start": F.lit(None).cast("date"), "end": F.lit(None).cast("date"), "date_flags": none, "flags": none, "year_hint": F.lit(2026), "model": F.concat_ws("|", *[F.col(c).cast("string") for c in KEY]), "sub": F.lit(""), "details": F.lit(""), "page": F.lit(1)}
-    )
-    out = store.output_rows(named)
-    key = F.split("Model Number", r"\|")
-    return out.select(
-        *[F.get(key, i).cast(rows.schema[c].dataType).alias(c) for i, c in enumerate(KEY)], F.col('`Promo Price ("now")`').alias("promo_text"), F.col("Discount Amount").alias("amount_text"), F.col("Brand").alias("brand_text")
+    c, tagged = F.col, F.concat(F.lit("_W"), F.lpad((F.col("l_partkey") % 53 + 1).cast("string"), 2, "0"))
+    start = F.when(c("l_linenumber") % 3 != 0, F.date_add(F.lit("2026-01-01").cast("date"), (c("l_orderkey") % 400).cast("int")))
+    named = view(spark, sf_dir, "row_obs").withColumns(
+        {
+            "source_file": F.concat("file", F.when(c("l_partkey") % 4 == 0, "").otherwise(tagged), F.lit(".pdf")),
+            "retailer": F.when(c("l_suppkey") % 3 == 0, "SharafDG").when(c("l_suppkey") % 3 == 1, "Lulu").otherwise("Emax"),
+            "country": F.when(c("l_orderkey") % 3 == 0, "UAE").when(c("l_orderkey") % 3 == 1, "KSA").otherwise("Oman"),
+            "start": start,
+            "end": F.date_add(start, (c("l_partkey") % 20).cast("int")),
+            "date_flags": F.when(c("l_linenumber") % 3 == 0, one("no_dates", "no dates")).otherwise(none),
+            "flags": F.when(c("out_of_category"), one("out_of_category", "out of category")).otherwise(none),
+            "year_hint": F.when(c("l_suppkey") % 2 == 0, 2026),
+            "model": F.concat_ws("|", *[c(k).cast("string") for k in KEY]),
+            "sub": F.lit(""),
+            "details": F.when(c("l_partkey") % 6 == 0, F.concat(F.lit("Member price "), c("l_partkey").cast("string"))).otherwise(""),
+            "page": c("l_linenumber"),
+        }
     )
+    return store.output_rows(named)
 
 
-@query()
+@query(oracle("row_obs", _OUTPUT))
+def output_rows(spark, sf_dir):
+    return _output(spark, sf_dir)
+
+
+@query(oracle("row_obs", _OUTPUT))
+def outputs_reread(spark, sf_dir):
+    """The output written as CSV in two parts and read back as one."""
+    paths = [new_path(spark, "extract") for _ in range(2)]
+    for part, path in enumerate(paths):
+        writers.write_output(_output(spark, sf_dir).where(F.pmod(F.crc32("Model Number"), F.lit(2)) == part), path)
+    return readers.read_outputs(spark, *paths)
+
+
+@query(oracle("row_obs", f"SELECT {KEYS}, coalesce(year_week, '') AS year_week, file FROM row_obs ORDER BY coalesce(year_week, ''), currency, brand, file"))
+def store_order(spark, sf_dir):
+    rows = view(spark, sf_dir, "row_obs").withColumns({"country": F.col("currency"), "retailer": F.col("brand")})
+    return store.store_order(rows).select(*KEY, F.coalesce("year_week", F.lit("")).alias("year_week"), "file")
+
+
+@query(oracle("row_obs", f""", c AS (SELECT *, matched_code <> '' AS m, l_partkey % 3 = 0 AS noted FROM row_obs)
+SELECT file, count(*) FILTER (m AND NOT noted) AS n_ok, count(*) FILTER (m AND noted) AS n_flagged, count(*) FILTER (NOT m) AS n_gaps FROM c GROUP BY 1"""))
+def run_counters(spark, sf_dir):
+    noted = F.when(F.col("l_partkey") % 3 == 0, F.array(F.lit("rescued"))).otherwise(F.array().cast("array<string>"))
+    return store.run_counters(view(spark, sf_dir, "row_obs").withColumn("flag_codes", noted))
+
+
+@query(oracle("row_obs", _HEALTH + """SELECT file, 'Lulu' AS retailer, matched, clean, clean_rate, priced_rate, rescue_count, CASE WHEN clean_rate < 0.5 THEN 'low_clean' ELSE '' END AS verdicts FROM s WHERE file LIKE '%0'"""))
+def health_history(spark, sf_dir):
+    """Records appended to a log of JSON lines, and read back for one retailer."""
+    path = new_path(spark, "health")
+    low = F.array_compact(F.array(F.when(F.col("clean_rate") < 0.5, "low_clean")))
+    records = _signals(spark, sf_dir).withColumns({"ts": F.concat(F.lit("2026-"), "file"), "retailer": F.when(F.col("file").endswith("0"), "Lulu").otherwise("Emax"), "country": F.lit("UAE"), "year_week": F.lit(""), "verdicts": low})
+    writers.append_log(records, path)
+    rows = readers.read_health(spark, path, retailer="Lulu")
+    return rows.select("file", "retailer", "matched", "clean", "clean_rate", "priced_rate", "rescue_count", F.array_join("verdicts", ",").alias("verdicts"))
+
+
+@query(oracle("word_pages", "SELECT file, page FROM word_pages p WHERE NOT EXISTS (SELECT 1 FROM word_pages c WHERE c.file = p.file AND c.page = p.page AND c.page % 3 = 0)"))
+def uncached_pages(spark, sf_dir):
+    pages = view(spark, sf_dir, "word_pages").select("file", "page")
+    return prefilter.uncached(pages, pages.where("page % 3 = 0"))
+
+
+@query(oracle("row_obs", f"SELECT {KEYS}, file, year_week FROM row_obs WHERE brand <> ''"))
 def incremental_intake(spark, sf_dir):
-    """Rows arrive as parquet files and are merged by file."""
-    root = "file://" + tempfile.mkdtemp(prefix="spark-") if not spark.conf.get("spark.checkpoint.dir", None) else f"{spark.conf.get('spark.checkpoint.dir')}/intake-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
+    """Rows arrive as parquet files, two at a time, and are merged by file."""
+    root = new_path(spark, "intake")
     rows = view(spark, sf_dir, "row_obs")
     rows.repartition(4, "file").write.mode("overwrite").parquet(f"{root}/in")
     intake(spark, f"{root}/in", rows.schema.simpleString()[7:-1].replace(":", " "), f"{root}/store", f"{root}/checkpoint", lambda df: df, files_per_batch=2)

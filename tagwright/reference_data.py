@@ -4,14 +4,19 @@ CURRENCY_OF_COUNTRY = {"UAE": "AED", "KSA": "SAR", "Qatar": "QAR", "Kuwait": "KW
 DECIMALS_OF_CURRENCY = {"AED": 2, "SAR": 2, "QAR": 2, "KWD": 3, "BHD": 3, "OMR": 3}
 PRICE_FLOOR = {"AED": 150, "SAR": 150, "QAR": 150, "KWD": 15, "BHD": 15, "OMR": 15}
 COUNTRY_ALIASES = {
-    "UAE": ("uae", "dubai", "abudhabi"),
-    "KSA": ("ksa", "saudi", "sa"),
-    "Qatar": ("qatar", "qat", "qtr"),
-    "Kuwait": ("kuwait", "kwt", "kw", "kuw"),
-    "Bahrain": ("bahrain", "bhr", "bh", "bah"),
-    "Oman": ("oman", "omn", "om", "oma"),
-}
-RETAILER_ALIASES = {"Carrefour": ("c4", "carrefour", "cf"), "Lulu": ("lulu",), "SharafDG": ("sharaf", "sharafdg", "sdg"), "Emax": ("emax", "emaxme")}
+    "uae": "UAE", "dubai": "UAE", "abudhabi": "UAE",
+    "ksa": "KSA", "saudi": "KSA", "sa": "KSA",
+    "qatar": "Qatar", "qat": "Qatar", "qtr": "Qatar",
+    "kuwait": "Kuwait", "kwt": "Kuwait", "kw": "Kuwait", "kuw": "Kuwait",
+    "bahrain": "Bahrain", "bhr": "Bahrain", "bh": "Bahrain", "bah": "Bahrain",
+    "oman": "Oman", "omn": "Oman", "om": "Oman", "oma": "Oman",
+}
+RETAILER_ALIASES = {
+    "c4": "Carrefour", "carrefour": "Carrefour", "cf": "Carrefour",
+    "lulu": "Lulu",
+    "sharaf": "SharafDG", "sharafdg": "SharafDG", "sdg": "SharafDG",
+    "emax": "Emax", "emaxme": "Emax",
+}
 COUNTRY_DISPLAY = {"UAE": "United Arab Emirates", "KSA": "Saudi Arabia"}
 RETAILER_DISPLAY = {"SharafDG": "Sharaf DG"}
 #: zoom, where prices stand relative to the code
@@ -22,6 +27,10 @@ CONFUSED, READ_AS = "OILSBZG", "0115826"
 SHORT_CODE, LEAST_CODE = 5, 3
 FUZZY_THRESHOLD, NEAR_TIE = 85, 8
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+MONTH = r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+RANGE_SEPARATOR = r"\s*(?:-|–|—|to|till|until)\s*"
+NAMED_RANGE = rf"(?i)(\d{{1,2}})\s*({MONTH})?\s*{RANGE_SEPARATOR}(\d{{1,2}})\s*({MONTH})\s*,?\s*(\d{{4}})?"
+NUMERIC_RANGE = rf"(\d{{1,2}})/(\d{{1,2}})(?:/(\d{{2,4}}))?{RANGE_SEPARATOR}(\d{{1,2}})/(\d{{1,2}})(?:/(\d{{2,4}}))?"
 KEYWORDS = r"APPLIANCE|REFRIGERAT|FRIDGE|FREEZER|WASHER|WASHING\s*MACHINE|DRYER|DISHWASH"
 KEYWORD_QUORUM = 3
 CROSSWALK = {

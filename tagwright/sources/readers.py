@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright import reference_data as R
+from tagwright.sources.staging import exists
 
 TOKENS = "file string, page int, tok_id long, text string, conf double, x0 double, y0 double, x1 double, y1 double"
 LEDGER = "file string, status string, n_rows long, year_week string, ts timestamp, error string"
@@ -14,23 +15,40 @@ CATALOG_NAMES = {"Brand": "brand_raw", "Product Category": "category_raw", "Sub
 
 
 def text_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 if the bytes are valid; else Windows-1252 unless a byte has no meaning there; else Windows-1256, which gives every byte one."""
-    content = spark.read.format("binaryFile").load(path).select("content")
-    if content.where(~F.is_valid_utf8(F.col("content").cast("string"))).isEmpty():
-        return "UTF-8"
-    undefined = F.hex("content").rlike("^(..)*(81|8D|8F|90|9D)")
-    return "windows-1252" if content.where(undefined).isEmpty() else "windows-1256"
+    """UTF-8 if the bytes are valid; else Windows-1252 unless a byte has no meaning there; else Windows-1256, which gives every byte one. Lines are looked at where they lie."""
+    lines = spark.read.text(path).where(~F.is_valid_utf8("value"))
+    undefined = F.hex(F.col("value").cast("binary")).rlike("^(..)*(81|8D|8F|90|9D)")
+    odd = lines.agg(F.count(F.lit(1)), F.count_if(undefined)).first()
+    return "UTF-8" if not odd[0] else "windows-1256" if odd[1] else "windows-1252"
 
 
 def read_catalog(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """A raw catalog in CSV, all text, with ord in reading order of each file. A Windows encoding makes the session accept all of Java's."""
-    if encoding and encoding.startswith("windows"):
+    """A raw catalog in CSV, all text, with ord in reading order of each file.
+
+    The encoding is found out where it is not given. A Windows encoding makes the session accept all of Java's.
+    """
+    encoding = encoding or text_encoding(spark, path)
+    if encoding.startswith("windows"):
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    raw = spark.read.options(header=True, encoding=encoding or "UTF-8", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(path)
-    raw = raw.select(*[F.col(f"`{c}`").alias(CATALOG_NAMES.get(c.strip().lstrip("﻿"), c)) for c in raw.columns])
+    raw = spark.read.options(header=True, encoding=encoding, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(path)
+    raw = raw.select(*[F.col(f"`{c}`").alias(CATALOG_NAMES.get(c.strip().lstrip("\ufeff"), c)) for c in raw.columns])
     return raw.withColumn("ord", F.monotonically_increasing_id())
 
 
+def find_source(spark: SparkSession, folder: str, names: tuple[str, ...] = ("Model List.csv",), default: str | None = None) -> str:
+    """Path of the first name that is there, else the default (the last name)."""
+    for name in names:
+        if exists(spark, f"{folder}/{name}"):
+            return f"{folder}/{name}"
+    return f"{folder}/{default or names[-1]}"
+
+
+def read_outputs(spark: SparkSession, *paths: str) -> DataFrame:
+    """The rows of output files, with or without a byte order mark, one after the other; all text, empty and not null."""
+    schema = ", ".join(f"`{h}` string" for h in R.HEADERS)
+    return spark.read.schema(schema).options(header=True, enforceSchema=True, escape='"', multiLine=True).csv(list(paths)).na.fill("")
+
+
 def read_tokens(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A token cache; blank tokens are dropped."""
     return spark.read.schema(TOKENS).options(header=True).format(fmt).load(path).where("trim(text) <> ''")

@@ -1,4 +1,9 @@
-"""Incremental intake: files that arrive are processed once and merged by file."""
+"""Incremental intake: files that arrive are processed once and merged by file.
+
+The store is a base and a delta a batch. A delta holds the rows of its batch and
+the list of its files; a file's rows are those of its last batch. So a batch
+writes what it brings and no more; fold makes a new base of all.
+"""
 
 from __future__ import annotations
 
@@ -6,48 +11,108 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from tagwright.operators.store import merge_by_file
+from tagwright.operators.store import todo
+from tagwright.sources.readers import LEDGER, list_files, read_ledger
+from tagwright.sources.staging import exists, keep
+from tagwright.sources.writers import append_log
+
+_COMMIT = "batch long, base long"
+
+
+def _state(spark: SparkSession, store: str) -> tuple[int | None, int | None]:
+    """Last committed batch and last base."""
+    if not exists(spark, f"{store}/commits"):
+        return None, None
+    return tuple(spark.read.schema(_COMMIT).json(f"{store}/commits").agg(F.max("batch"), F.max("base")).first())
 
 
 def last_batch(spark: SparkSession, store: str) -> int | None:
-    try:
-        return spark.read.json(f"{store}/commits").agg(F.max("batch")).first()[0]
-    except AnalysisException:
-        return None
+    return _state(spark, store)[0]
 
 
 def current(spark: SparkSession, store: str) -> DataFrame | None:
-    """The rows of the store's last committed batch, None if there is none."""
-    last = last_batch(spark, store)
-    return None if last is None else spark.read.parquet(f"{store}/data/batch={last}")
+    """The rows of the store as of its last committed batch, None if there is none."""
+    last, base = _state(spark, store)
+    if last is None:
+        return None
+    new = f"batch <= {last}" if base is None else f"batch > {base} and batch <= {last}"
+    rows = None if base is None else spark.read.parquet(f"{store}/base/batch={base}")
+    if base == last:
+        return rows
+    files = spark.read.parquet(f"{store}/files").where(new).groupBy("file").agg(F.max("batch").alias("batch"))
+    deltas = spark.read.parquet(f"{store}/data").where(new).join(files, ["file", "batch"], "left_semi").drop("batch")
+    return deltas if rows is None else rows.join(files, "file", "left_anti").unionByName(deltas, allowMissingColumns=True)
+
 
+def merge_batch(rows: DataFrame, store: str, batch: int, files: DataFrame | None = None) -> None:
+    """Write the rows of a batch that have a brand as its delta, then commit it. A batch that was committed is not merged again.
 
-def merge_batch(rows: DataFrame, store: str, batch: int) -> None:
-    """Write the merged store of a batch beside the old one, then commit it. A batch that was committed is not merged again."""
+    files: all files of the batch, so that one which yields nothing loses its old rows; by default those of rows.
+    """
     spark = rows.sparkSession
-    if last_batch(spark, store) == batch:
+    last = last_batch(spark, store)
+    if last is not None and last >= batch:
         return
-    existing = current(spark, store)
-    merged = rows.where("coalesce(brand, '') <> ''") if existing is None else merge_by_file(existing, rows)
-    merged.write.mode("overwrite").parquet(f"{store}/data/batch={batch}")
-    spark.createDataFrame([(batch,)], "batch long").write.mode("append").json(f"{store}/commits")
+    rows.where("coalesce(brand, '') <> ''").write.mode("overwrite").parquet(f"{store}/data/batch={batch}")
+    (rows if files is None else files).select("file").distinct().write.mode("overwrite").parquet(f"{store}/files/batch={batch}")
+    append_log(spark.createDataFrame([(batch, None)], _COMMIT), f"{store}/commits")
+
+
+def fold(spark: SparkSession, store: str) -> None:
+    """Write the store as one base, which later reads start from."""
+    last, base = _state(spark, store)
+    if last is not None and base != last:
+        current(spark, store).write.mode("overwrite").parquet(f"{store}/base/batch={last}")
+        append_log(spark.createDataFrame([(last, last)], _COMMIT), f"{store}/commits")
+
+
+def planned(spark: SparkSession, source: str, ledger: str, week: str | None = None, force: bool = False, pattern: str = "*.pdf") -> DataFrame:
+    """path, file of what a run would process: a dry run."""
+    done = read_ledger(spark, ledger) if exists(spark, ledger) else spark.createDataFrame([], LEDGER)
+    return todo(list_files(spark, source, pattern), done, force, week).select("path", "file")
+
+
+def _processed(rows: DataFrame, process: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[tuple[str, str, str | None]]]:
+    """Rows of the files that could be processed, and file, status, error of all. If a batch fails, its files (few) are tried one by one."""
+    files = [r[0] for r in rows.select("file").distinct().collect()]
+    try:
+        return keep(process(rows), "intake"), [(f, "done", None) for f in files]
+    except Exception as error:
+        if len(files) == 1:
+            return rows.limit(0), [(files[0], "failed", f"{type(error).__name__}: {str(error).splitlines()[0]}")]
+    good, said = None, []
+    for f in files:
+        some, status = _processed(rows.where(F.col("file") == f), process)
+        said += status
+        if status[0][1] == "done":
+            good = some if good is None else good.unionByName(some, allowMissingColumns=True)
+    return rows.limit(0) if good is None else good, said
 
 
-def intake(spark: SparkSession, source: str, schema: str, store: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], files_per_batch: int = 100) -> int:
+def intake(
+    spark: SparkSession, source: str, schema: str, store: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], files_per_batch: int = 100, ledger: str | None = None
+) -> int:
     """Process what is new in source and merge it; the number of input rows.
 
     The checkpoint remembers the files that are done, so a run that was killed
-    goes on where it stopped.
+    goes on where it stopped. A file that cannot be processed keeps its old rows
+    and is noted in the ledger (a folder of JSON lines) with its error; the
+    others go on.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    counted = [0]
 
     def merge(rows: DataFrame, batch: int) -> None:
-        rows = rows.persist()
-        merge_batch(process(rows), store, batch)
-        rows.unpersist()
+        rows = keep(rows, "arrivals")
+        counted[0] += rows.count()
+        good, said = _processed(rows, process)
+        status = spark.createDataFrame(said, "file string, status string, error string")
+        merge_batch(good, store, batch, status.where("status = 'done'"))
+        if ledger:
+            per = good.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"))
+            append_log(status.join(per, "file", "left").withColumns({"n_rows": F.coalesce("n_rows", F.lit(0)), "ts": F.current_timestamp()}), ledger)
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return counted[0]

@@ -7,16 +7,13 @@ share one partitioning by (file, page).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagwright import reference_data as R
 from tagwright.functions.prices import rescued_price, resolve_prices
-from tagwright.functions.text import capacity, flag, flags, is_code_shaped, is_strong_code, normalize_code, percents, price_value, stripped
+from tagwright.functions.text import bound, capacity, flag, flags, is_code_shaped, is_strong_code, normalize_code, percents, price_value, stripped
 from tagwright.operators.catalog import code_metadata
 from tagwright.operators.matching import match
 from tagwright.sources.staging import keep
@@ -90,32 +87,29 @@ def price_tokens(tokens: DataFrame, chips: DataFrame) -> DataFrame:
 
 
 def price_clusters(prices: DataFrame) -> DataFrame:
-    """prices with cluster. Each token in turn joins the first cluster whose mean center is near; the means move, so a page is folded in order.
-
-    Pages are dealt whole to tasks and folded one after the other as they
-    stream by; only the clusters of the page at hand are held.
-    """
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        page, sums = None, []
-        for batch in batches:
-            number = []
-            for file, no, x, y in zip(batch["file"], batch["page"], batch["cx"], batch["cy"], strict=True):
-                if page != (file, no):
-                    page, sums = (file, no), []
-                for k, (sx, sy, n) in enumerate(sums):
-                    if abs(x - sx / n) <= R.CLUSTER_DX and abs(y - sy / n) <= R.CLUSTER_DY:
-                        sums[k] = (sx + x, sy + y, n + 1)
-                        break
-                else:
-                    k = len(sums)
-                    sums.append((x, y, 1))
-                number.append(k)
-            yield batch.assign(cluster=number)
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prices.schema) + ", cluster int"
-    found = prices.repartition(*PAGE).sortWithinPartitions(*PAGE, "tok_id", "part").mapInPandas(fold, schema)
-    return found.withColumn("price", price_value(F.col("text")))
+    """prices with cluster and price. Each token in turn joins the first cluster whose mean center is near, or begins one; the means move, so a page is folded in order."""
+    rest = [c for c in prices.columns if c not in PAGE]
+    order = ["tok_id", "part", *[c for c in rest if c not in ("tok_id", "part")]]
+    pages = prices.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_t"))
+    start = F.struct(F.array().cast("array<struct<x:double,y:double,n:int>>").alias("sums"), F.array().cast("array<int>").alias("numbers"))
+
+    def joined(state: Column, t: Column) -> Column:
+        near = lambda c: (F.abs(t["cx"] - c["x"] / c["n"]) <= R.CLUSTER_DX) & (F.abs(t["cy"] - c["y"] / c["n"]) <= R.CLUSTER_DY)
+        one = F.struct(t["cx"].alias("x"), t["cy"].alias("y"), F.lit(1).alias("n"))
+        more = lambda c: F.struct((c["x"] + t["cx"]).alias("x"), (c["y"] + t["cy"]).alias("y"), (c["n"] + 1).alias("n"))
+
+        def put(at: Column) -> Column:
+            """at: number of the cluster that is met, from 1; 0 for none."""
+            met = F.transform(state["sums"], lambda c, k: F.when(k + 1 == at, more(c)).otherwise(c))
+            sums = F.when(at > 0, met).otherwise(F.concat(state["sums"], F.array(one)))
+            number = F.when(at > 0, at - 1).otherwise(F.size(state["sums"])).cast("int")
+            return F.struct(sums.alias("sums"), F.concat(state["numbers"], F.array(number)).alias("numbers"))
+
+        return bound(F.array_position(F.transform(state["sums"], near), True), put)
+
+    folded = pages.withColumn("_n", F.aggregate("_t", start, joined, lambda state: state["numbers"]))
+    found = folded.select(*PAGE, F.explode(F.arrays_zip("_t", "_n")).alias("_z")).select(*PAGE, "_z._t.*", F.col("_z._n").alias("cluster"))
+    return found.select(*prices.columns, "cluster").withColumn("price", price_value(F.col("text")))
 
 
 def cluster_table(clustered: DataFrame) -> DataFrame:

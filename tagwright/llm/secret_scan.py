@@ -2,11 +2,15 @@
 
 Candidates are runs of 12 or more token characters that hold a digit, and of any
 length and kind: the whole value that is assigned or follows a secret word, and
-runs that begin with a known prefix. Their features are length, character classes, entropy, character transitions,
-dictionary coverage, path (the source) and neighbouring words. The forest is
-trained from labelled findings: by default a bounded set made from a seed, whose
-true findings follow public credential formats and whose false ones are what
-such scans wrongly report (identifiers, checksums, versions, placeholders).
+runs that begin with a known prefix. Their features are length, character
+classes, entropy, character transitions, dictionary coverage, path (the source)
+and neighbouring words. Transitions and dictionary are learned from all the
+documents that are scanned: the share of each letter after each other, and the
+words that make up a share of all words. The forest is trained from labelled
+findings: by default a bounded set made from a seed, whose true findings follow
+public credential formats and whose false ones are what such scans wrongly report
+(identifiers, checksums, versions, placeholders). Either kind stands in either
+kind of path and next to secret or harmless words, only not equally often.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -26,12 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright.llm.arrays import slices, text_bytes, words
+from tagwright.llm.common import keep
 
 LEAST = 12
 #: Labelled findings made for training; the bound on what is fitted on the driver's side.
 FINDINGS = 4000
 #: Bytes before a candidate that are looked at for neighbouring words.
 NEIGHBOURHOOD = 48
+#: A word of the documents is in the dictionary if it is this share of all words, so there are at most 1 / share of them.
+DICTIONARY_SHARE = 1e-5
 
 _bytes = np.arange(256)
 NOT_TOKEN = ~(((_bytes >= 48) & (_bytes <= 57)) | ((_bytes >= 65) & (_bytes <= 90)) | ((_bytes >= 97) & (_bytes <= 122)) | np.isin(_bytes, [ord(c) for c in "+/_-."]))
@@ -51,7 +59,7 @@ PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "xoxb-", "xoxp-", "sk-", "sk_live_",
 
 FEATURES = ("length", "digits", "upper", "lower", "entropy", "transitions", "bigrams", "dictionary", "prefix", "assigned", "secret_words", "harmless_words", "path", "run", "separators", "hex")
 _WORD = re.compile(r"[a-z0-9]+")
-_PARTS = re.compile("|".join(sorted((w for w in DICTIONARY if len(w) > 2), key=lambda w: -len(w))))
+_LETTERS = re.compile(r"[a-z]+")
 
 #: What is assigned, quoted or up to a gap; what follows a secret word; what begins with a known prefix (these two in lower case, and as it is).
 _ASSIGNED = re.compile(rb"""[=:][ \t]*(?:"([^"\r\n]+)"|'([^'\r\n]+)'|["']?([^\s"']+))""")
@@ -63,19 +71,67 @@ def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
 
 
-_pairs = Counter(p for w in DICTIONARY for p in zip(w, w[1:], strict=False))
-_firsts = Counter(a for w in DICTIONARY for a in w[:-1])
+class Lexicon(NamedTuple):
+    """What is learned from texts: log2 of the share of each letter after each other (a to z), and a dictionary."""
 
+    transitions: np.ndarray
+    words: frozenset[str]
 
-def _transition(a: str, b: str) -> float:
-    return float(np.log2((_pairs[a, b] + 0.1) / (_firsts[a] + 2.6)))
 
+class Model(NamedTuple):
+    lexicon: Lexicon
+    forest: RandomForestClassificationModel
 
-def features(candidate: str, before: str, path: str) -> list[float]:
+
+def lexicon_of(pairs: np.ndarray, words: set[str]) -> Lexicon:
+    """pairs: counts of letter after letter. The words of DICTIONARY are counted once more, so that nothing is unheard of."""
+    counts = np.array(pairs, float)
+    for w in DICTIONARY:
+        np.add.at(counts, ([ord(c) - 97 for c in w[:-1]], [ord(c) - 97 for c in w[1:]]), 1)
+    return Lexicon(np.log2((counts + 0.1) / (counts.sum(1, keepdims=True) + 2.6)), frozenset({w for w in DICTIONARY if len(w) > 2} | words))
+
+
+def learn(docs: DataFrame) -> Lexicon:
+    """The lexicon of all texts of docs."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(27 * 27, np.int64)
+        for batch in slices(batches, "text"):
+            data, offsets = text_bytes(batch.column("text"))
+            lowered = data | 0x20
+            letter = np.where((lowered >= 97) & (lowered <= 122), lowered - 97, 26).astype(np.int64)
+            after = np.ones(max(len(data) - 1, 0), bool)
+            after[offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))] - 1] = False
+            counts += np.bincount((letter[:-1] * 27 + letter[1:])[after], minlength=27 * 27)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(27 * 27)), pa.array(counts)], ["pair", "n"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    pairs = np.zeros(27 * 27)
+    for r in texts.mapInArrow(rows, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 729 rows
+        pairs[r.pair] = r.n
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,16}"), 0)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = keep(words, "secret-words")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    often = words.where(F.col("n") >= max(2, DICTIONARY_SHARE * total)).toArrow().column("word").to_pylist()  # at most 1 / share rows
+    return lexicon_of(pairs.reshape(27, 27)[:26, :26], set(often))
+
+
+def covered(run: str, words: frozenset[str]) -> int:
+    """Letters of a run that dictionary words cover, the longest first from each place."""
+    at = total = 0
+    while at < len(run):
+        n = next((n for n in range(min(16, len(run) - at), 2, -1) if run[at : at + n] in words), 0)
+        total += n
+        at += n or 1
+    return total
+
+
+def features(candidate: str, before: str, path: str, lexicon: Lexicon) -> list[float]:
     """Numbers that describe a candidate, in the order of FEATURES."""
     n, kinds, lowered = len(candidate), [_kind(c) for c in candidate], candidate.lower()
     share = np.array(list(Counter(candidate).values())) / n
-    letters = [(a, b) for a, b in zip(lowered, lowered[1:], strict=False) if a.isalpha() and b.isalpha()]
+    letters = [ord(c) - 97 if "a" <= c <= "z" else -1 for c in lowered]
+    steps = [lexicon.transitions[a, b] for a, b in zip(letters, letters[1:], strict=False) if a >= 0 and b >= 0]
     near = _WORD.findall(before.lower())[-4:]
     runs = max((len(m.group()) for m in re.finditer(r"(.)\1*", candidate)), default=0)
     return [
@@ -85,8 +141,8 @@ def features(candidate: str, before: str, path: str) -> list[float]:
         kinds.count(2) / n,
         float(-(share * np.log2(share)).sum()),
         sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(n - 1, 1),
-        float(np.mean([_transition(*p) for p in letters])) if letters else -8.0,
-        sum(len(m) for m in _PARTS.findall(lowered)) / n,
+        float(np.mean(steps)) if steps else -8.0,
+        sum(covered(run, lexicon.words) for run in _LETTERS.findall(lowered)) / n,
         float(candidate.startswith(PREFIXES)),
         float(bool(re.search(r"[=:]\s*[\"']?$", before))),
         float(sum(w in SECRET_WORDS for w in near)),
@@ -152,16 +208,22 @@ def labelled_findings(n: int = FINDINGS, seed: int = 7) -> pd.DataFrame:
     rows = []
     for i in range(n):
         candidate, before = true() if i % 2 else false()
-        rows.append((candidate, before, pick(("src7", "web", "repo/src/app.py", "docs/example.md" if i % 2 == 0 else "config/app.yml")), float(i % 2)))
+        telling = rng.random() < (0.2 if i % 2 else 0.4)
+        path = pick(("docs/guide.md", "tests/login.py", "src/sample.py", "fixtures/a.json")) if telling else pick(("src7", "web", "repo/src/app.py", "config/app.yml", "deploy/values.yaml"))
+        if rng.random() < 0.1:  # a harmless word nearby says little by itself
+            before = pick(("test ", "example ", "version ", "id ")) + before
+        rows.append((candidate, before, path, float(i % 2)))
     return pd.DataFrame(rows, columns=["candidate", "before", "path", "label"])
 
 
-def train(spark: SparkSession, findings: pd.DataFrame | None = None, trees: int = 40, depth: int = 8, seed: int = 7) -> RandomForestClassificationModel:
+def train(spark: SparkSession, findings: pd.DataFrame | None = None, trees: int = 40, depth: int = 8, seed: int = 7, lexicon: Lexicon | None = None) -> Model:
+    """findings: candidate, before, path, label. lexicon: of the texts to be scanned; by default that of DICTIONARY alone."""
     findings = labelled_findings() if findings is None else findings
-    rows = [features(*r) for r in findings[["candidate", "before", "path"]].itertuples(index=False)]
+    lexicon = lexicon_of(np.zeros((26, 26)), set()) if lexicon is None else lexicon
+    rows = [features(*r, lexicon) for r in findings[["candidate", "before", "path"]].itertuples(index=False)]
     table = pd.DataFrame(rows, columns=list(FEATURES)).assign(label=findings["label"].to_numpy())
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(spark.createDataFrame(table))
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assembled.select("features", "label"))
+    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(spark.createDataFrame(pa.Table.from_pandas(table, preserve_index=False)))
+    return Model(lexicon, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(assembled.select("features", "label")))
 
 
 def marked_spans(text: bytes) -> set[tuple[int, int]]:
@@ -179,8 +241,9 @@ def marked_spans(text: bytes) -> set[tuple[int, int]]:
     return {(start, end) for start, end in spans if end > start}
 
 
-def candidates(docs: DataFrame) -> DataFrame:
+def candidates(docs: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
     """doc_id, at and length (bytes), secret_sha256 and features of the candidates of whole texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon_of(np.zeros((26, 26)), set()) if lexicon is None else lexicon)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -202,7 +265,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                 for start, end in sorted(chosen_spans):
                     candidate = data[first + start : first + end].tobytes()
                     before = data[first + max(0, start - NEIGHBOURHOOD) : first + start].tobytes().decode(errors="ignore")
-                    row = features(candidate.decode(errors="replace"), before, paths[document] or "")
+                    row = features(candidate.decode(errors="replace"), before, paths[document] or "", shared.value)
                     out.append((document, start, len(candidate), hashlib.sha256(candidate).hexdigest(), *row))
             columns = list(zip(*out, strict=True)) or [()] * (4 + len(FEATURES))
             kinds = [pa.int64(), pa.int32(), pa.string(), *[pa.float64()] * len(FEATURES)]
@@ -216,15 +279,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     return docs.select(*columns).mapInArrow(rows, schema)
 
 
-def secret_scan(docs: DataFrame, model: RandomForestClassificationModel | None = None, least: float = 0.5) -> DataFrame:
+def secret_scan(docs: DataFrame, model: Model | None = None, least: float = 0.5) -> DataFrame:
     """doc_id, at, size, secret_sha256, score: candidates that the forest takes for secrets.
 
     at counts bytes from the start of the text. The secret itself is not
     returned. Null and empty texts hold none; a null source counts as empty.
     Repeated rows and null ids come out each. An empty table gives an empty
-    result. Other columns are ignored.
+    result. Other columns are ignored. model: by default one with the lexicon
+    of docs, trained on the made findings.
     """
-    model = model or train(docs.sparkSession)
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(candidates(docs))
-    judged = model.transform(assembled).withColumn("score", vector_to_array("probability")[1])
+    model = model or train(docs.sparkSession, lexicon=learn(docs))
+    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(candidates(docs, model.lexicon))
+    judged = model.forest.transform(assembled).withColumn("score", vector_to_array("probability")[1])
     return judged.where(F.col("score") >= least).select("doc_id", "at", "size", "secret_sha256", "score")

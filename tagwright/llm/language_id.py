@@ -132,10 +132,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             n, column = batch.num_rows, batch.column("text")
             margins, total = np.zeros((n, model.code.shape[1])), np.zeros(n)
             for features, documents in grams(column):
-                for bit in range(margins.shape[1]):
-                    margins[:, bit] += np.bincount(documents, model.weights[features, bit], n)
+                some, first = np.unique(documents, return_index=True)  # documents are in order
+                if len(some):
+                    margins[some] += np.add.reduceat(model.weights[features], first, axis=0, dtype=np.float64)
                 total += np.bincount(documents, minlength=n)
-            lettered = np.array([bool(t) and bool(LETTER.search(t)) for t in column.to_pylist()], bool)
+            lettered = pc.fill_null(pc.match_substring_regex(column, "[A-Za-z]"), False).to_numpy(zero_copy_only=False).copy()
+            for k in np.flatnonzero(~lettered & (total > 0)).tolist():  # letters beyond ASCII
+                lettered[k] = bool(LETTER.search(column[k].as_py()))
             if len(model.languages):
                 best, score, second = decode(model, margins / np.maximum(total, 1)[:, None])
                 names = np.array(model.languages, object)[best]

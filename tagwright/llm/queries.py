@@ -37,9 +37,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = remainder("doc_id", 5) == 0
+    """A row without an id is not held out, and does not teach."""
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
     docs = documents(spark, sf_dir)
-    model = language_id.train(docs, ~held_out)
+    model = language_id.train(docs, ~held_out & F.col("doc_id").isNotNull())
     return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 

@@ -230,6 +230,63 @@ def test_lm_next_symbol_distribution_sums_to_one(spark, prose):
     assert total == pytest.approx(1.0, abs=1e-6)
 
 
+def plain_scores(texts, taught, max_depth, context_share, joint_share):
+    """log10 probability of each text by dictionaries of counts, depth by depth."""
+    end, total = "</s>", sum(len(t) + 1 for t, teach in zip(texts, taught, strict=True) if teach)
+    counts = [collections.Counter() for _ in range(max_depth + 2)]  # of runs of so many symbols within a text and its end
+    for text, teach in zip(texts, taught, strict=True):
+        run = [*text, end]
+        for n in range(1, max_depth + 2):
+            counts[n].update(tuple(run[i : i + n]) for i in range(len(run) - n + 1) if teach)
+    once, twice = sum(n == 1 for n in counts[1].values()), sum(n == 2 for n in counts[1].values())
+    discount = once / (once + 2 * twice) if once else 0.5
+    states = {}  # context -> kept symbols' probabilities, factor of the rest
+
+    def p(context, symbol):
+        """Of a symbol after a context, by its longest retained suffix."""
+        if not context:
+            n = counts[1][symbol,]
+            return max(n - discount, 1e-9) / total if n else discount * len(counts[1]) / total
+        kept, rest = states.get(context, ({}, None))
+        if rest is None:
+            return p(context[1:], symbol)
+        return kept[symbol] if symbol in kept else rest * p(context[1:], symbol)
+
+    alphabet = {s for (s,), n in counts[1].items() if n >= joint_share * total}
+    often = {c for c in counts[1] if c[0] in alphabet and c != (end,)}
+    for depth in range(1, max_depth + 1):
+        often = {c for c in often if counts[depth][c] >= context_share * total}
+        entries = collections.defaultdict(dict)
+        for run, n in counts[depth + 1].items():
+            if run[:-1] in often and run[-1] in alphabet and n >= max(joint_share * total, lm_scoring.LEAST_COUNT):
+                entries[run[:-1]][run[-1]] = n
+        new = {}
+        for context, some in entries.items():
+            seen = counts[depth][context]
+            mine = {s: max(n - lm_scoring.DISCOUNT, 1e-9) / seen for s, n in some.items()}
+            parent = {s: p(context[1:], s) for s in some}
+            rest = max(1 - sum(mine.values()), 1e-9) / max(1 - sum(parent.values()), 1e-9)
+            gain = sum(n * math.log(mine[s] / parent[s]) for s, n in some.items()) + (seen - sum(some.values())) * math.log(rest)
+            if gain >= lm_scoring.GAIN * len(some):
+                new[context] = (mine, rest)
+        states.update(new)
+        often = {(*c, s) for c, some in entries.items() for s in some if s != end}
+    return [sum(math.log10(p(tuple(([*t, end])[max(0, i - max_depth) : i]), s)) for i, s in enumerate([*t, end])) for t in texts], len(states)
+
+
+@pytest.mark.parametrize(("context_share", "joint_share"), [(1e-3, 2e-4), (1e-5, 1e-6)])
+def test_lm_score_against_dictionaries(spark, context_share, joint_share):
+    """Texts in which some words follow each other, so that contexts of every depth are retained."""
+    rng = np.random.default_rng(8)
+    phrases = ["the red fox runs", "a red hen sits", "the old red fox sleeps now", "every hen runs home"]
+    texts = [" ".join(x for _ in range(int(rng.integers(1, 9))) for x in (phrases[int(rng.integers(4))], f"w{int(rng.integers(30))}")).split() for _ in range(150)]
+    taught = [i % 5 != 0 for i in range(150)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs, F.col("doc_id") % 5 == 0, 3, context_share, joint_share).collect()}
+    want, states = plain_scores(texts, taught, 3, context_share, joint_share)
+    assert states > 20 and [got[i] for i in range(150)] == pytest.approx(want, rel=1e-6)
+
+
 def test_lm_takes_odd_rows(odd):
     out = lm_scoring.lm_scores(odd, remainder("doc_id", 5) == 1)
     assert out.count() == len(ODD) and out.where("score is null or base_score is null").isEmpty()
@@ -244,6 +301,36 @@ def test_language_id_on_held_out_documents(prose, odd):
     assert all(0 <= r.score <= 1 for r in out.values())
 
 
+def test_language_decoding_equals_a_plain_one(prose):
+    """Margins and losses bit by bit and gram by gram."""
+    model = language_id.train(prose, F.lit(True))
+    rows = prose.limit(40).collect()
+    for r in language_id.predict(prose, model).where(F.col("doc_id").isin([r.doc_id for r in rows])).collect():
+        votes = np.zeros(model.code.shape[1])
+        n = 0
+        for features, _ in language_id.grams(pa.array([r.text])):
+            for f in features.tolist():
+                votes += model.weights[f].astype(float)
+                n += 1
+        losses = []
+        for k in range(len(model.languages)):
+            agree = [max(-4.0, min(4.0, model.code[k, b] * votes[b] / max(n, 1) / model.scale[b])) for b in range(len(votes))]
+            losses.append(sum(model.trust[k, b] * math.exp(-a) for b, a in enumerate(agree)))
+        shares = [math.exp(-language_id.SHARPNESS * (x - min(losses))) for x in losses]
+        assert r.lang_pred == model.languages[int(np.argmin(losses))] and r.score == pytest.approx(max(shares) / sum(shares), rel=1e-5)
+
+
+def test_language_id_on_the_documents(spark):
+    """The contract's split: held-out accuracy, and rows without an id."""
+    from tagwright.llm.queries import QUERIES
+    from tests.oracle import SF_DIR
+
+    lang = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("lang is not null").select("doc_id", "lang")
+    held = QUERIES["op6_language_id"](spark, SF_DIR).where("held_out and lang_pred <> 'und'").join(lang, "doc_id")
+    right = held.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert held.count() > 20 and right > 0.95
+
+
 @pytest.mark.parametrize("n", [1, 2, 4, 6, 9, 40])
 def test_codewords_differ(n):
     code = language_id.codewords(n)

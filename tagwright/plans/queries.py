@@ -162,11 +162,21 @@ r AS (SELECT regime, truth, CASE WHEN length(norm) < 3 THEN NULL WHEN stem IS NO
 SELECT regime, count(*) AS n, count(*) FILTER (code = truth) AS n_correct, count(*) FILTER (code IS NULL) AS n_flagged, count(*) FILTER (code <> truth) AS n_wrong FROM r GROUP BY 1"""))
 def match_eval(spark, sf_dir):
     clean = catalog_clean(spark, sf_dir)
+    return matching.match_report(matching.match_fast(_noisy(clean), clean))
+
+
+@query()
+def match_eval_ladder(spark, sf_dir):
+    """The same tokens through the whole ladder, so that dropped characters meet the similarity."""
+    clean = catalog_clean(spark, sf_dir)
+    return matching.match_report(matching.match(_noisy(clean), clean))
+
+
+def _noisy(clean: DataFrame) -> DataFrame:
     s = F.col("stem")
     one = lambda name, c: F.struct(F.lit(name).alias("regime"), s.alias("truth"), c.alias("norm"))
     kinds = F.array(one("clean", s), one("confusion", F.translate(s, "05182", "OSIBZ")), one("dropped", F.substr(s, F.lit(1), F.length(s) - 1)))
-    noisy = clean.select("stem").distinct().select(F.explode(kinds).alias("k")).select("k.*")
-    return matching.match_report(matching.match_fast(noisy, clean))
+    return clean.select("stem").distinct().select(F.explode(kinds).alias("k")).select("k.*")
 
 
 # Prices

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright.llm import decontaminate, language_id, mixing, near_duplicates, sharding
@@ -12,21 +12,28 @@ from tagwright.llm.common import keep, new_path, remainder
 LEAST_SCORE = 0.4
 
 
+def _aside(docs: DataFrame, *taken: str) -> tuple[DataFrame, list[Column]]:
+    """docs with columns of names that an operator adds put aside, and what gives all columns back."""
+    own = {c: f"__own_{c}" for c in docs.columns if c in taken}
+    return docs.withColumnsRenamed(own), [F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, or that are near no learned language, go."""
+    """Texts that are null or without a letter, or that are near no learned language, go. Rows without an id do not teach."""
     model = language_id.train(docs, remainder("doc_id", 5) != 0)
-    rows = language_id.predict(docs.select("*"), model)
-    return rows.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    rows, columns = _aside(docs, "lang_pred", "score", "ambiguous")
+    rows = language_id.predict(rows, model)
+    return rows.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that share 0.8 of their five-word shingles the smallest id stays, once."""
+    """Of each group of texts that share 0.8 of their five-word shingles the smallest id stays, once; null and empty texts are one group."""
     rows = keep(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     return near_duplicates.without_near_duplicates(rows).select(docs.columns)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold half of a benchmark item go. A clean row stays, also if it shares its id with one that goes."""
+    """Rows that hold half of a benchmark item go. A clean row stays, also if it shares its id with one that goes or has none; null texts stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows = keep(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     named = rows.select(F.col("__row").alias("doc_id"), "text")
@@ -35,8 +42,9 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every source gets the same share of characters; documents repeat or drop out accordingly."""
-    return mixing.mixed(docs).select(docs.columns)
+    """Every source (null is one) gets the same share of characters; documents repeat or drop out accordingly. Rows without an id are drawn by their text."""
+    rows, columns = _aside(docs, "copy", "rate", "shuffle_key")
+    return mixing.mixed(rows).select(columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,7 +84,7 @@ def train(docs: DataFrame, trained: Column) -> Model:
                     totals[name] = totals.get(name, 0) + counts
         for name, counts in totals.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(counts[at])], ["lang", "feature", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["lang", "feature", "n"])
 
     sums = rows.mapInArrow(counted, "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     table = sums.toArrow()  # at most 2**FEATURE_BITS rows a language

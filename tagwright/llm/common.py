@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tagwright.sources.staging import discard, exists, file_system, keep, new_path, shared_dir
 
-__all__ = ["broadcast_up_to", "discard", "exists", "file_system", "hub_join", "keep", "new_path", "remainder", "shared_dir", "unit_hash"]
+__all__ = ["bit_words", "broadcast_up_to", "discard", "exists", "file_system", "filter_bits", "hub_join", "keep", "new_path", "passing", "remainder", "shared_dir", "unit_hash"]
 
 #: Keys that hub_join broadcasts at most; a key has more than this share of all rows, or more than HUB_ROWS of them.
 HUBS, HUB_ROWS = 100_000, 128
+#: Bits of a filter a key, and the least and most bits of one: at most 2**20 words of 64 bits are broadcast. A full filter lets more rows through to what is exact.
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 26
 
 
 def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
@@ -39,6 +41,30 @@ def hub_join(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return rows.join(hub_facts, key).unionByName(rows.join(F.broadcast(hubs), key, "left_anti").join(facts, key))
 
 
+def filter_bits(n_keys: int) -> int:
+    """Bits of a filter for so many keys, a power of two."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_KEY * n_keys - 1).bit_length()))
+
+
+def _place(key: str, bits: int) -> tuple[Column, Column]:
+    """Word of a key in a filter, and its bit there."""
+    slot = F.xxhash64(key).bitwiseAND(F.lit(bits - 1))
+    return F.shiftright(slot, 6), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bit_words(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """word, bits: the filter of keys."""
+    word, bit = _place(key, bits)
+    return keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def passing(rows: DataFrame, words: DataFrame, key: str, bits: int, how: bool = True) -> DataFrame:
+    """rows that a filter lets through, or those that it does not. At most MOST_BITS / 64 words are broadcast."""
+    word, bit = _place(key, bits)
+    words = words.select(F.col("word").alias("__word"), F.col("bits").alias("__bits"))
+    return rows.join(F.broadcast(words), (word == F.col("__word")) & (F.col("__bits").bitwiseAND(bit) != 0), "left_semi" if how else "left_anti")
+
+
 def unit_hash(*parts: Column) -> Column:
     """52 bits of an MD5 over the parts, as an integer; the same in any engine."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("long")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tagwright.llm import simhash
 from tagwright.llm.arrays import mixed, slices
-from tagwright.llm.common import broadcast_up_to, keep
+from tagwright.llm.common import bit_words, broadcast_up_to, discard, filter_bits, keep, passing
 from tagwright.llm.components import components
 
 SHINGLE = 5
@@ -33,6 +33,8 @@ BANDS, ROWS = 32, 7
 CELL = 1024
 #: Keys of bands that several texts share are broadcast up to this many, else joined by a shuffle.
 BROADCAST_KEYS = 200_000
+#: Rows of the cells' members (40 bytes each) that are broadcast to the texts, else joined by a shuffle.
+BROADCAST_CELLS = 400_000
 #: Shingles whose minima are taken at once.
 _CHUNK = 2048
 
@@ -72,14 +74,15 @@ def prints(rows: DataFrame) -> DataFrame:
     return rows.select(*columns).mapInArrow(made, "__row long, doc_id long, digest binary, fp long, keys array<long>")
 
 
-def candidates(members: DataFrame) -> DataFrame:
-    """u, v: links between members (node, fp, keys) that may be similar; fewer than there are pairs."""
-    keyed = keep(members.select(F.col("node").alias("u"), F.explode("keys").alias("key")), "near-keys")
+def candidates(members: DataFrame, used: list[DataFrame]) -> DataFrame:
+    """u, v: links between members (node, fp, keys) that may be similar; fewer than there are pairs. used gets the tables that they are read from."""
+    keyed = members.select(F.col("node").alias("u"), F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("u").alias("v"), F.max("u").alias("last")).where("v < last").drop("last")
-    bands = keyed.join(broadcast_up_to(keep(shared, "near-shared"), BROADCAST_KEYS), "key").where("u <> v").select("u", "v")
-    firsts = keep(members.groupBy("fp").agg(F.min("node").alias("first_node")), "near-firsts")
+    shared, firsts = keep(shared, "near-shared"), keep(members.groupBy("fp").agg(F.min("node").alias("first_node")), "near-firsts")
+    used += [shared, firsts]
+    bands = keyed.join(broadcast_up_to(shared, BROADCAST_KEYS), "key").where("u <> v").select("u", "v")
     named = lambda end: firsts.select(F.col("fp").alias(end), F.col("first_node").alias(f"{end}_node"))
-    anchors = simhash.links(firsts).join(named("u"), "u").join(named("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
+    anchors = simhash.links(firsts, used=used).join(named("u"), "u").join(named("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
     same = members.join(firsts, "fp").where("node <> first_node").select(F.col("node").alias("u"), F.col("first_node").alias("v"))
     return bands.unionByName(anchors).unionByName(same)
 
@@ -143,9 +146,14 @@ def verified(rows: DataFrame, groups: DataFrame, cell: int = CELL) -> DataFrame:
     placed = groups.join(parts, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     cells = placed.select("root", "node", "part", other).select("root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "node", "part")
-    texts = rows.select(F.col("__row").alias("node"), F.col("text").cast("string").alias("text"))
+    cells = keep(cells, "near-cells")
+    # only texts of groups travel: a filter stops most others before the join
+    bits = filter_bits(groups.count())
+    words = keep(bit_words(groups, "node", bits), "near-filter")
+    texts = passing(rows.select(F.col("__row").alias("node"), F.col("text").cast("string").alias("text")), words, "node", bits)
     key = "root", "low", "high"
-    return cells.join(texts, "node").select(*key, "node", "part", "text").repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare, "u long, v long")
+    met = texts.join(broadcast_up_to(cells, BROADCAST_CELLS), "node").select(*key, "node", "part", "text")
+    return met.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare, "u long, v long")
 
 
 def without_near_duplicates(rows: DataFrame, cell: int = CELL) -> DataFrame:
@@ -159,9 +167,16 @@ def without_near_duplicates(rows: DataFrame, cell: int = CELL) -> DataFrame:
     found = keep(prints(rows), "near-prints")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")
     members = found.groupBy("digest").agg(F.min("__row").alias("node"), F.min(first).alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys"))
-    members = keep(members, "near-members")
-    groups = keep(components(candidates(members)), "near-groups")
+    members, used = keep(members, "near-members"), []
+    groups = keep(components(candidates(members, used)), "near-groups")
+    discard(*used)
     roots = components(verified(rows, groups, cell))
     rooted = members.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = keep(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row")), "near-kept")
-    return rows.join(kept, "__row", "left_semi").select(rows.columns)
+    gone = keep(found.select("__row").join(kept, "__row", "left_anti"), "near-gone")
+    discard(found, members, groups)
+    # rows that a filter of those that go does not know stay where they are
+    bits = filter_bits(gone.count())
+    words = keep(bit_words(gone, "__row", bits), "near-gone-filter")
+    asked = passing(rows, words, "__row", bits).join(gone, "__row", "left_anti")
+    return passing(rows, words, "__row", bits, False).unionByName(asked).select(rows.columns)

@@ -204,9 +204,11 @@ def _compare(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.Re
         yield links(rest)
 
 
-def links(fps: DataFrame, cell: int = CELL, max_bits: int = MAX_BITS, layout: Layout = SHORT) -> DataFrame:
-    """u, v: links between distinct fingerprints that keep the components of all links of at most max_bits bits."""
+def links(fps: DataFrame, cell: int = CELL, max_bits: int = MAX_BITS, layout: Layout = SHORT, used: list[DataFrame] | None = None) -> DataFrame:
+    """u, v: links between distinct fingerprints that keep the components of all links of at most max_bits bits. used gets the tables that they are read from."""
     placed = keep(replicas(fps, max_bits, layout), "simhash-replicas")
+    if used is not None:
+        used.append(placed)
     sizes = placed.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("others"))
     parts = lambda n: F.ceil(F.col(n) / cell).cast("int")
     met = sizes.where("homes > 0 and others > 1")
@@ -245,9 +247,10 @@ def simhash_groups(docs: DataFrame, cell: int = CELL, max_bits: int = MAX_BITS,
     """
     prints = keep(fingerprints(docs), "simhash-prints")
     distinct = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_docs")), "simhash-distinct")
-    roots = components(links(distinct, cell, max_bits, layout)).select(F.col("node").alias("fp"), "root")
+    used: list[DataFrame] = []
+    roots = components(links(distinct, cell, max_bits, layout, used)).select(F.col("node").alias("fp"), "root")
     rooted = keep(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
     per_root = keep(rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_rows")), "simhash-components")
     named = keep(hub_join(rooted, per_root, "root").select("fp", "component_id", F.col("n_docs").alias("n_rows")), "simhash-named")
-    discard(distinct, rooted, per_root)
+    discard(distinct, rooted, per_root, *used)
     return hub_join(prints, named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

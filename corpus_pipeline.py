@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright.llm import decontaminate, language_id, mixing, near_duplicates, sharding
-from tagwright.llm.common import keep, new_path, remainder
+from tagwright.llm.common import broadcast_up_to, keep, new_path, remainder
 
 #: A text is rejected if no language reaches this score, so that mere mixtures of two languages stay.
 LEAST_SCORE = 0.4
+#: Hashes of contaminated texts that are broadcast, else joined by a shuffle.
+BROADCAST_TEXTS = 1_000_000
 
 
 def _aside(docs: DataFrame, *taken: str) -> tuple[DataFrame, list[Column]]:
@@ -35,10 +37,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold half of a benchmark item go. A clean row stays, also if it shares its id with one that goes or has none; null texts stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = keep(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    named = rows.select(F.col("__row").alias("doc_id"), "text")
-    gone = keep(decontaminate.contaminated(named, benchmark).select(F.col("doc_id").alias("__row")).distinct(), "contaminated")
-    return rows.join(gone, "__row", "left_anti").select(docs.columns)
+    text_hash = F.xxhash64(F.col("text").cast("string"))  # what decides is the text, so equal ones are looked at once
+    texts = docs.select(text_hash.alias("doc_id"), "text").where("text is not null")
+    gone = keep(decontaminate.contaminated(texts, benchmark).select(F.col("doc_id").alias("__text")).distinct(), "contaminated")
+    rows = docs.withColumn("__text", F.when(F.col("text").isNotNull(), text_hash))
+    return rows.join(broadcast_up_to(gone, BROADCAST_TEXTS), "__text", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

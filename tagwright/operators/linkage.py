@@ -194,24 +194,40 @@ def column_pools(codes: DataFrame, clusters: DataFrame) -> DataFrame:
     return spans.join(clusters.select(*PAGE, "cluster", "cl_cx"), PAGE).where("cl_cx between _lo and _hi").select(*PAGE, "tok_id", "cluster")
 
 
-def link(pairs: DataFrame) -> DataFrame:
+def _chosen(items: Column) -> Column:
+    """struct(cluster, weak) of one code's clusters (sorted by dx, cluster), null if there are none."""
+
+    def among(some: Column, weak: Column) -> Column:
+        best = F.array_max(F.transform(some, lambda i: i["over"]))
+        shared = F.filter(some, lambda i: i["over"] > 0.6 * best)
+        by_overlap = F.array_min(F.transform(shared, lambda i: F.struct(i["dy"], i["cluster"])))["cluster"]
+        closer = lambda nearest, i: F.when((i["dx"] - nearest["dx"] <= R.TIE_DX) & (i["dy"] < nearest["dy"]), i).otherwise(nearest)
+        by_column = F.aggregate(F.slice(some, 2, 1 << 20), F.get(some, 0), closer)["cluster"]
+        return F.struct(F.when(best > 30, by_overlap).otherwise(by_column).alias("cluster"), weak.alias("weak"))
+
+    strong = F.filter(items, lambda i: i["strong"])
+    return F.when(F.size(strong) > 0, bound(strong, lambda some: among(some, F.lit(False)))).when(F.size(items) > 0, among(items, F.lit(True)))
+
+
+def link(pairs: DataFrame, pools: DataFrame | None = None) -> DataFrame:
     """file, page, tok_id, cluster, weak: the cluster of each code.
 
     pairs: code (cx, cy, t_x0, t_x1: range of the tile) with clusters of its page
     on the right side of it and near enough. Strong clusters go first; then
     those that overlap the tile, the vertically nearest; else the nearest by
-    column, ties within a few pixels to the vertically nearest.
+    column, ties within a few pixels to the vertically nearest. pools (file,
+    page, tok_id, cluster): clusters among which a code is linked if it has any
+    of them.
     """
-    mine = Window.partitionBy(*PAGE, "tok_id")
-    pairs = pairs.withColumn("_any", F.max("strong").over(mine)).where("strong or not _any")
-    pairs = pairs.withColumn("_over", overlap(F.col("t_x0"), F.col("t_x1"), F.col("cl_x0"), F.col("cl_x1")))
-    item = F.struct(F.abs(F.col("cl_cx") - F.col("cx")).alias("dx"), "cluster", F.abs(F.col("cy") - F.col("cl_cy")).alias("dy"), "_over")
-    per = pairs.groupBy(*PAGE, "tok_id").agg(F.array_sort(F.collect_list(item)).alias("c"), F.max("_over").alias("best"), (~F.bool_or("strong")).alias("weak"))
-    shared = F.filter("c", lambda i: i["_over"] > 0.6 * F.col("best"))
-    by_overlap = F.array_min(F.transform(shared, lambda i: F.struct(i["dy"], i["cluster"])))["cluster"]
-    closer = lambda best, i: F.when((i["dx"] - best["dx"] <= R.TIE_DX) & (i["dy"] < best["dy"]), i).otherwise(best)
-    by_column = F.aggregate(F.slice("c", 2, 1 << 20), F.get("c", 0), closer)["cluster"]
-    return per.select(*PAGE, "tok_id", F.when(F.col("best") > 30, by_overlap).otherwise(by_column).alias("cluster"), "weak")
+    if pools is None:
+        pairs = pairs.withColumn("_pooled", F.lit(False))
+    else:
+        pairs = pairs.join(pools.select(*PAGE, "tok_id", "cluster", F.lit(True).alias("_pooled")), [*PAGE, "tok_id", "cluster"], "left")
+    over = overlap(F.col("t_x0"), F.col("t_x1"), F.col("cl_x0"), F.col("cl_x1"))
+    item = F.struct(F.abs(F.col("cl_cx") - F.col("cx")).alias("dx"), "cluster", F.abs(F.col("cy") - F.col("cl_cy")).alias("dy"), over.alias("over"), "strong", "_pooled")
+    per = pairs.groupBy(*PAGE, "tok_id").agg(F.array_sort(F.collect_list(item)).alias("_c"))
+    pooled = F.filter("_c", lambda i: i["_pooled"])
+    return per.select(*PAGE, "tok_id", F.coalesce(_chosen(pooled), _chosen(F.col("_c"))).alias("_l")).select(*PAGE, "tok_id", "_l.cluster", "_l.weak")
 
 
 def code_cluster_pairs(codes: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -246,7 +262,7 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     Columns: file, page, tok_id, model, matched_code, brand, category, sub,
     capacity, rrp, promo, badge, confidence, flags, member, cluster_dy,
     out_of_category. What several joins read (tokens, catalog, chips, clusters,
-    codes, pairs) is written on the way, so that it is planned and computed
+    codes) is written on the way, so that it is planned and computed
     once and survives lost executors.
     """
     tokens, catalog = keep(placed(tokens), "page-tokens"), keep(catalog, "page-catalog")
@@ -262,11 +278,8 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     codes = codes.join(capacity_near(codes, capacity_sources(tokens, chips)), [*PAGE, "tok_id"], "left")
     codes = codes.withColumns({"t_x0": F.least("x0", F.coalesce("a_x0", "x0")), "t_x1": F.greatest("x1", F.coalesce("a_x1", "x1")), "capacity": F.coalesce("capacity", F.lit(""))})
     codes = keep(codes, "page-placed-codes")
-    pairs = keep(code_cluster_pairs(codes, clusters), "page-pairs")
     keys = [*PAGE, "tok_id"]
-    pooled = link(pairs.join(column_pools(codes, clusters), [*keys, "cluster"], "left_semi")).select(*keys, F.struct("cluster", "weak").alias("_pooled"))
-    linked = link(pairs).join(pooled, keys, "left").withColumn("_l", F.coalesce("_pooled", F.struct("cluster", "weak"))).select(*keys, "_l.cluster", "_l.weak")
-    linked = keep(linked, "page-links")
+    linked = keep(link(code_cluster_pairs(codes, clusters), column_pools(codes, clusters)), "page-links")
     values = keep(resolve_prices(cluster_values(clusters, tokens.where(F.col("text").rlike(R.MEMBER)))), "page-prices")
     rows = codes.join(linked, keys, "left").join(values.select(*PAGE, "cluster", "cl_cy", "notes", "resolution"), [*PAGE, "cluster"], "left")
     rows = code_metadata(rows, catalog)

@@ -21,3 +21,33 @@ def test_pipeline_keeps_what_it_should(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     assert set(docs.columns) <= set(out.columns)
     assert out.join(kept.select("doc_id").distinct(), "doc_id", "left_anti").isEmpty()
+
+
+def test_sharding_query_returns_every_document_once(spark):
+    import hashlib
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    rows = QUERIES["op4_sharding"](spark, SF_DIR).collect()
+    md5 = lambda t: None if t is None else hashlib.md5(t.encode()).hexdigest()
+    assert sorted((r.doc_id, r.text_md5) for r in rows) == sorted((r.doc_id, md5(r.text)) for r in docs)
+    assert all(r.shard_id.startswith("data/") and r.shard_tier >= 0 for r in rows)
+
+
+def test_secret_candidates_by_plain_expressions(spark):
+    """Every run of token characters with a digit, and every marked value, of each whole text."""
+    import re
+
+    from tagwright.llm import secret_scan
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    want = set()
+    for r in docs.collect():
+        text = (r.text or "").encode()
+        spans = secret_scan.marked_spans(text)
+        for m in re.finditer(rb"[A-Za-z0-9+/_.\-]{12,}", text):
+            size = len(m.group().rstrip(b".-"))
+            if size >= secret_scan.LEAST and re.search(rb"\d", m.group()):
+                spans.add((m.start(), m.start() + size))
+        want |= {(r.doc_id, a, b - a) for a, b in spans}
+    got = {(r.doc_id, r.at, r.size) for r in secret_scan.candidates(docs).select("doc_id", "at", "size").collect()}
+    assert got == want and len(want) > 10

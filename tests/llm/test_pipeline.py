@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline
 from tagwright.llm import decontaminate
 from tagwright.llm.common import keep
-from tests.llm.test_operators import plain_fingerprint
+from tests.llm.test_near_duplicates import plain
 from tests.oracle import SF_DIR
 
 
@@ -33,14 +33,9 @@ def test_language_id_rejects_what_has_no_letter_and_keeps_prose(stages):
 
 
 def test_near_duplicates_by_all_pairs(stages):
-    rows = sorted((r.doc_id, plain_fingerprint(r.text)) for r in stages[1])
-    group = [i for i, _ in rows]
-    for at, (_, a) in enumerate(rows):
-        for before, (_, b) in enumerate(rows[:at]):
-            if (a ^ b).bit_count() <= 4:
-                low, high = sorted((group[at], group[before]))
-                group = [low if g == high else g for g in group]
-    assert sorted(r.doc_id for r in stages[2]) == sorted(i for (i, _), g in zip(rows, group, strict=True) if i == g)
+    """The rule of the stage: five words, similarity 0.8, compared for all pairs."""
+    want = plain([(r.doc_id, r.text) for r in stages[1]])
+    assert sorted((r.doc_id, r.text) for r in stages[2]) == sorted((i, t) for i, t in want)
 
 
 def test_decontamination_by_all_pairs(spark, stages):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.llm import decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_scoring, mixing, resampling, secret_scan, sharding, simhash
+from tagwright.llm import conversations, decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_scoring, mixing, resampling, secret_scan, sharding, simhash
 from tagwright.llm.common import new_path, remainder
 
 
@@ -62,6 +62,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.importance_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8,
     "op9_lm_scoring": op9,
     "op10_simhash": op10,
+    "op12_conversation_repair": op12,
     "op13_importance_resampling": op13,
 }
 
@@ -84,5 +89,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op12_conversation_repair": conversations.ORACLE,
     "op13_importance_resampling": resampling.ORACLE,
 }

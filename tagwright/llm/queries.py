@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.llm import conversations, decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_scoring, mixing, resampling, secret_scan, sharding, simhash
+from tagwright.llm import conversations, decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_scoring, mixing, resampling, secret_scan, sharding, simhash, toxicity
 from tagwright.llm.common import new_path, remainder
 
 
@@ -62,6 +62,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row without an id is not held out, and has no label."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = toxicity.toxicity(documents(spark, sf_dir), labels, remainder("doc_id", 5) == 0)
+    return rows.withColumns({"n_spans": F.size("spans"), "first_at": F.get("spans", F.lit(0))["at"], "first_size": F.get("spans", F.lit(0))["size"]}).drop("spans")
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -81,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8,
     "op9_lm_scoring": op9,
     "op10_simhash": op10,
+    "op11_toxicity": op11,
     "op12_conversation_repair": op12,
     "op13_importance_resampling": op13,
 }

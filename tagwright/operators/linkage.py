@@ -164,10 +164,10 @@ def cluster_values(table: DataFrame, member_marks: DataFrame) -> DataFrame:
 
 
 def model_codes(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
-    """tok_id with norm and its match: the first word of a token that matches or is code-shaped enough to report."""
+    """tok_id with norm and its match: the first word of a token that matches or is code-shaped enough to report. Only the latter are told their nearest stems."""
     words = tokens.select(*PAGE, "tok_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "word")).withColumn("norm", normalize_code(F.col("word")))
     words = words.where(is_code_shaped(F.col("norm")))
-    known = match(words.select("norm").distinct(), catalog)
+    known = match(words.select("norm").distinct(), catalog, is_strong_code(F.col("norm")))
     ended = words.join(known, "norm").where(F.col("matched_code").isNotNull() | is_strong_code(F.col("norm")))
     first = F.min_by(F.struct("norm", "matched_code", "confidence", "flag", "best_guess"), "pos").alias("m")
     found = ended.groupBy(*PAGE, "tok_id").agg(first).select(*PAGE, "tok_id", "m.*")

@@ -11,10 +11,10 @@ from pyspark.sql.window import Window
 from tagwright import reference_data as R
 from tagwright.functions import dates, text
 from tagwright.functions.prices import rescued_price, resolve_prices
-from tagwright.operators import catalog, context, linkage, matching, prefilter, quality, store
+from tagwright.operators import catalog, context, linkage, matching, prefilter, quality, similarity, store
 from tagwright.plans.views import oracle, view
 from tagwright.sources import readers, writers
-from tagwright.sources.staging import new_path
+from tagwright.sources.staging import keep, new_path
 from tagwright.streaming.intake import current, intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,13 +138,29 @@ def match_metadata(spark, sf_dir):
     return catalog.code_metadata(rows, catalog_clean(spark, sf_dir)).drop("norm_code")
 
 
-@query()
+#: The five best stems of each norm of `rs`: the longest common subsequence as bit-vectors of 40 places, one step a character.
+_TOP = """,
+rc AS MATERIALIZED (SELECT norm, list_transform(range(1, length(norm) + 1), lambda i: ascii(substr(norm, i::INT, 1))) AS cs FROM rs),
+sv AS MATERIALIZED (SELECT stem, (1::BIGINT << length(stem)) - 1 AS inside, list_transform(range(128), lambda a: list_sum(list_transform(range(1, length(stem) + 1), lambda i: CASE WHEN ascii(substr(stem, i::INT, 1)) = a THEN 1::BIGINT << (i - 1) ELSE 0::BIGINT END))::BIGINT) AS places FROM pool WHERE NOT is_short),
+pr AS (SELECT norm, stem, 200.0::DOUBLE * bit_count(inside & ~ list_reduce(cs, lambda v, x: ((v + (v & places[x + 1])) & 1099511627775) | (v - (v & places[x + 1])), 1099511627775::BIGINT)) / (length(norm) + length(stem)) AS score FROM rc, sv),
+tp AS MATERIALIZED (SELECT * FROM (SELECT norm, row_number() OVER (PARTITION BY norm ORDER BY score DESC, stem) AS rank, stem, score FROM pr) WHERE rank <= 5),
+nr AS (SELECT norm, first(stem ORDER BY rank) AS best, max(score) AS score, list(stem ORDER BY rank) FILTER (score >= top - 8) AS near FROM (SELECT *, max(score) OVER (PARTITION BY norm) AS top FROM tp) GROUP BY 1)
+"""
+_LADDER = """CASE WHEN method IN ('exact', 'confusion') THEN method WHEN method = 'residue' AND score >= 85 AND len(near) = 1 THEN 'fuzzy' ELSE 'none' END"""
+
+
+@query(oracle("token_obs catalog_clean", _MATCH + ", rs AS (SELECT DISTINCT norm FROM mf WHERE method = 'residue')" + _TOP + "SELECT norm, rank, stem, score FROM tp"))
 def match_fuzzy_topk(spark, sf_dir):
-    residue = _matched(spark, sf_dir).where("method = 'residue'").select("norm").distinct()
-    return matching.fuzzy_top(residue, matching.stems(catalog_clean(spark, sf_dir)).where("not is_short"))
+    residue = keep(_matched(spark, sf_dir).where("method = 'residue'").select("norm").distinct(), "residue")
+    return similarity.fuzzy_top(residue, matching.stems(catalog_clean(spark, sf_dir)).where("not is_short"))
 
 
-@query()
+@query(oracle("token_obs catalog_clean", _MATCH + """, u AS (SELECT DISTINCT norm, method, legal, matched_code, flag FROM (SELECT m.norm, m.method, m.legal, mf.matched_code, mf.flag FROM m JOIN mf USING (l_orderkey, l_linenumber, l_partkey, l_suppkey))),
+rs AS (SELECT norm FROM u WHERE method = 'residue')""" + _TOP + f""", w AS (SELECT u.*, best, score, near, {_LADDER} AS step FROM u LEFT JOIN nr USING (norm))
+SELECT norm, step AS method, CASE WHEN step = 'fuzzy' THEN best ELSE matched_code END AS matched_code,
+ CASE method WHEN 'exact' THEN 0.99::DOUBLE WHEN 'confusion' THEN 0.92::DOUBLE WHEN 'residue' THEN round(score / 100, 4) ELSE 0.0::DOUBLE END AS confidence,
+ CASE WHEN step = 'fuzzy' THEN '' WHEN method = 'residue' AND score >= 85 THEN 'ambiguous: ' || array_to_string(near, ', ') WHEN method = 'residue' THEN 'below fuzzy threshold (' || round_even(score, 0)::INT || '<85)' ELSE flag END AS flag,
+ CASE WHEN method = 'residue' AND step <> 'fuzzy' THEN best WHEN method = 'ambiguous' THEN legal[1] END AS best_guess FROM w"""))
 def match_ladder(spark, sf_dir):
     tokens = token_normalize(spark, sf_dir).select("norm").distinct()
     return matching.match(tokens, catalog_clean(spark, sf_dir)).select("norm", "method", "matched_code", F.round("confidence", 4).alias("confidence"), "flag", "best_guess")
@@ -165,11 +181,41 @@ def match_eval(spark, sf_dir):
     return matching.match_report(matching.match_fast(_noisy(clean), clean))
 
 
-@query()
+def _hash(what: str, begin: int) -> str:
+    return f"('0x' || substr(md5('{_SEED}|{what}|' || stem), {begin}, 6))::BIGINT"
+
+
+def _edit(code: str, k: int) -> str:
+    """SQL of one edit of the heavy noise."""
+    at, kind, other = (_hash(f"edit{k}", b) for b in (1, 7, 13))
+    return f"substr({code}, 1, ({at} % length({code}))::INT) || CASE WHEN {kind} % 2 = 0 AND length({code}) > 4 THEN '' ELSE substr('{R.CODE_CHARACTERS}', ({other} % {len(R.CODE_CHARACTERS)} + 1)::INT, 1) END || substr({code}, ({at} % length({code}) + 2)::INT)"
+
+
+_SEED = 20260715
+_HARMED = f""", pool AS (SELECT stem, min(length(stem) <= 5) AS is_short FROM catalog_clean GROUP BY 1),
+lg AS (SELECT stem FROM pool WHERE NOT is_short), e1 AS (SELECT stem, {_edit("stem", 1)} AS once FROM lg),
+sw AS (SELECT stem, list_sort(list_filter(list_transform(range(length(stem)), lambda i: {{h: md5('{_SEED}|swap|' || i || '|' || stem), i: i, c: substr(stem, i::INT + 1, 1)}}), lambda s: contains('{R.CONFUSED}{R.READ_AS}', s.c)))[:2] AS spots FROM lg),
+noisy AS (SELECT 'clean' AS regime, stem AS truth, stem AS norm FROM lg
+ UNION ALL SELECT 'confusion', stem, array_to_string(list_transform(range(length(stem)), lambda i: CASE WHEN list_contains(list_transform(spots, lambda s: s.i), i) THEN translate(substr(stem, i::INT + 1, 1), '{R.CONFUSED}015826', '{R.READ_AS}OISBZG') ELSE substr(stem, i::INT + 1, 1) END), '') FROM sw
+ UNION ALL SELECT 'heavy', stem, CASE WHEN {_hash("edits", 1)} % 2 = 0 THEN once ELSE {_edit("once", 2)} END FROM e1),
+grp AS (SELECT translate(stem, 'OILSBZG', '0115826') AS ck, list(stem ORDER BY stem) AS legal FROM pool WHERE NOT is_short GROUP BY 1),
+m AS (SELECT regime, truth, norm, CASE WHEN length(norm) < 3 THEN 'short_token' WHEN stem IS NOT NULL THEN 'exact' WHEN length(norm) <= 5 THEN 'short_code' WHEN len(legal) = 1 THEN 'confusion' WHEN len(legal) > 1 THEN 'ambiguous' ELSE 'residue' END AS method, legal, stem IS NOT NULL AS is_real
+ FROM noisy LEFT JOIN pool ON norm = stem LEFT JOIN grp ON translate(norm, 'OILSBZG', '0115826') = ck),
+rs AS (SELECT DISTINCT norm FROM m WHERE method = 'residue')"""
+
+
+@query(oracle("catalog_clean", _HARMED + _TOP + f""", w AS (SELECT m.*, best, {_LADDER} AS step FROM m LEFT JOIN nr USING (norm)),
+f AS (SELECT regime, truth, is_real, CASE step WHEN 'exact' THEN norm WHEN 'confusion' THEN legal[1] WHEN 'fuzzy' THEN best END AS code FROM w)
+SELECT regime, count(*) AS n, count_if(code IS NOT NULL AND code = truth) AS n_correct, count_if(code IS NULL) AS n_flagged, count_if(code <> truth AND is_real) AS n_collision, count_if(code <> truth AND NOT is_real) AS n_misjudged FROM f GROUP BY 1"""))
 def match_eval_ladder(spark, sf_dir):
-    """The same tokens through the whole ladder, so that dropped characters meet the similarity."""
+    """Long stems, whole and with seeded noise, through the whole ladder: swaps within a confusion class, and one or two destructive edits."""
     clean = catalog_clean(spark, sf_dir)
-    return matching.match_report(matching.match(_noisy(clean), clean))
+    s = F.col("stem")
+    one = lambda name, c: F.struct(F.lit(name).alias("regime"), s.alias("truth"), c.alias("norm"))
+    kinds = F.array(one("clean", s), one("confusion", matching.confused(s, _SEED)), one("heavy", matching.damaged(s, _SEED)))
+    noisy = matching.stems(clean).where("not is_short").select(F.explode(kinds).alias("k")).select("k.*")
+    told = F.lit(False)  # only the decision counts
+    return matching.noise_report(matching.match(noisy, clean, told), clean)
 
 
 def _noisy(clean: DataFrame) -> DataFrame:

@@ -26,6 +26,8 @@ DEFAULT_PROFILE = (3.0, "above")
 CONFUSED, READ_AS = "OILSBZG", "0115826"
 SHORT_CODE, LEAST_CODE = 5, 3
 FUZZY_THRESHOLD, NEAR_TIE = 85, 8
+#: What a misread character may become in noise tests.
+CODE_CHARACTERS = "ABCDEFGHJKLMNPQRSTUVWXYZ0123456789"
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 MONTH = r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
 RANGE_SEPARATOR = r"\s*(?:-|–|—|to|till|until)\s*"

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tagwright.functions.text import flag_text
 from tagwright.operators.catalog import clean_catalog
 from tagwright.operators.linkage import expand_glued, extract_rows
-from tagwright.operators.matching import Block, best_places, match
+from tagwright.operators.matching import match
+from tagwright.operators.similarity import Block
 
 CATALOG = [
     (1, "Samsung", "REF", "Top mount", "RT50CG6404S9/AE"),
@@ -122,9 +123,3 @@ def test_similarity_at_every_vector_width():
     block = Block(names)
     for code in ("R5", "RT50CG6404S9", "A1" * 8, "RS70F65Q1F" * 3 + "A1", "A1" * 31 + "Z", "RS70F65Q1F" * 8):
         assert block.lcs(code).tolist() == [lcs(code, n) for n in names], code
-
-
-def test_best_places_are_those_of_a_stable_sort():
-    for scores in ([], [1.0], [1.0] * 7 + [2.0], [3.0, 1.0, 3.0, 2.0, 2.0, 2.0, 1.0]):
-        scores = np.array(scores)
-        assert best_places(scores, 5).tolist() == np.argsort(-scores, kind="stable")[:5].tolist()

@@ -10,7 +10,6 @@ each language.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,7 +28,6 @@ MAX_LANGUAGES = 500
 SHARPNESS = 6.0
 #: A text is ambiguous if the second language is nearer than this to the first.
 AMBIGUOUS = 0.2
-LETTER = re.compile(r"[^\W\d_]")
 
 
 class Model(NamedTuple):
@@ -138,7 +136,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 total += np.bincount(documents, minlength=n)
             lettered = pc.fill_null(pc.match_substring_regex(column, "[A-Za-z]"), False).to_numpy(zero_copy_only=False).copy()
             for k in np.flatnonzero(~lettered & (total > 0)).tolist():  # letters beyond ASCII
-                lettered[k] = bool(LETTER.search(column[k].as_py()))
+                lettered[k] = any(map(str.isalpha, column[k].as_py()))
             if len(model.languages):
                 best, score, second = decode(model, margins / np.maximum(total, 1)[:, None])
                 names = np.array(model.languages, object)[best]

@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from tagwright.llm.arrays import slices, text_bytes, words
 from tagwright.llm.common import keep
 
-LEAST = 12
+#: Bytes of a candidate that only its characters mark; of one that is assigned or follows a secret word, and letters and digits in that.
+LEAST, LEAST_MARKED, LEAST_ALNUM = 12, 6, 4
 #: Labelled findings made for training; the bound on what is fitted on the driver's side.
 FINDINGS = 4000
 #: Bytes before a candidate that are looked at for neighbouring words.
@@ -63,7 +64,7 @@ _LETTERS = re.compile(r"[a-z]+")
 
 #: What is assigned, quoted or up to a gap; what follows a secret word; what begins with a known prefix (these two in lower case, and as it is).
 _ASSIGNED = re.compile(rb"""[=:][ \t]*(?:"([^"\r\n]+)"|'([^'\r\n]+)'|["']?([^\s"']+))""")
-_NAMED = re.compile(b"(?:" + "|".join(SECRET_WORDS).encode() + rb""")[ \t]+["']?([^\s"']+)""")
+_NAMED = re.compile(b"(?:" + "|".join(SECRET_WORDS).encode() + rb""")[ \t]+["'(\[{<]*([^\s"'=:(\[{<][^\s"']*)""")
 _PREFIXED = re.compile(b"(?:" + "|".join(re.escape(p) for p in PREFIXES).encode() + rb")[A-Za-z0-9+/_.\-]+")
 
 
@@ -227,7 +228,7 @@ def train(spark: SparkSession, findings: pd.DataFrame | None = None, trees: int
 
 
 def marked_spans(text: bytes) -> set[tuple[int, int]]:
-    """Start and end of the values that their neighbourhood or beginning marks, without closing punctuation if not quoted."""
+    """Start and end of the values that their neighbourhood or beginning marks, without closing punctuation if not quoted. Signs and short values are none."""
     spans = set()
     for m in _ASSIGNED.finditer(text):
         start, end = m.span(m.lastindex)
@@ -238,7 +239,8 @@ def marked_spans(text: bytes) -> set[tuple[int, int]]:
     for m in _PREFIXED.finditer(text):
         if not m.start() or NOT_TOKEN[text[m.start() - 1]]:
             spans.add((m.start(), m.start() + len(m.group().rstrip(b".-"))))
-    return {(start, end) for start, end in spans if end > start}
+    alnum = lambda value: sum(c >= 128 or chr(c).isalnum() for c in value)
+    return {(start, end) for start, end in spans if end - start >= LEAST_MARKED and alnum(text[start:end]) >= LEAST_ALNUM}
 
 
 def candidates(docs: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:

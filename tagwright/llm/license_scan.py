@@ -7,13 +7,16 @@ MinHashes in 16 bands of 2 retrieve templates: a window that holds 0.8 of a
 template and is off by a sixteenth of its length has a Jaccard similarity of
 0.584 or more, so it collides in some band with probability 0.9987 or more. A
 retrieved template is then verified by the exact share of its shingles in the
-window. Licenses of one family differ in a word or a number, which that share
-cannot see, so these telling words must stand in the window behind the same word
-as in the template.
+window. Licenses of one family differ in a word, a number or a clause, which that
+share cannot see. So where a template departs from a similar one of another
+license, the word that comes next must stand in the window behind the same word,
+and so must every word with a digit. Where a template lies within another's, the
+longer one counts if both match at a place.
 """
 
 from __future__ import annotations
 
+import difflib
 from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
@@ -33,41 +36,62 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "Apache License Version 2.0, January 2004",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ),
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ),
+    "MIT-0": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED",
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+        "GNU General Public License Version 2, June 1991",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU General Public License Version 3, 29 June 2007",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most software and other practical works are designed to take away your freedom to share and change the works.",
     ),
     "LGPL-2.1": (
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "GNU Lesser General Public License Version 2.1, February 1999",
     ),
     "LGPL-3.0": (
         "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU Lesser General Public License Version 3, 29 June 2007",
     ),
     "AGPL-3.0": (
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU Affero General Public License Version 3, 19 November 2007",
+        "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software.",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
         "Licensed under the Mozilla Public License, version 2.0.",
     ),
-    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.",),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS",
+    ),
     "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Licensed under the BSD 3-Clause License.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    "BSD-4-Clause": (
+        "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by",
+    ),
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE",
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -88,8 +112,38 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-NC-SA-4.0": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
     "all-rights-reserved": ("All rights reserved.",),
 }
-#: Words that tell licenses of a family apart, besides those with a digit.
-TELLING = ("affero", "attribution", "general", "lesser", "noncommercial", "sharealike")
+#: A machine-readable line that names a license.
+TAG = "SPDX-License-Identifier: {}"
+#: Templates whose words are this similar (difflib's ratio) are looked at for what tells them apart.
+ALIKE = 0.5
+#: Words that two templates share before they depart from each other, unless they begin so.
+COMMON = 3
+
+
+def notices(texts: Mapping[str, Sequence[str]] = TEMPLATES) -> list[tuple[str, list[str]]]:
+    """License and words of each template, with a tag for each license of an SPDX identifier. Templates without words are left out."""
+    out = []
+    for license_id, several in texts.items():
+        for text in (*several, *([TAG.format(license_id)] if license_id != "all-rights-reserved" else [])):
+            found = words(pa.array([text]), NOT_ALNUM)
+            named = [found.data[a:b].tobytes().decode(errors="replace") for a, b in zip(found.starts, found.ends, strict=True)]
+            out += [(license_id, named)] if named else []
+    return out
+
+
+def telling(named: list[tuple[str, list[str]]]) -> list[list[int]]:
+    """Places of each template's telling words: those with a digit, and the first after words that it shares with an alike template of another license."""
+    out = []
+    for license_id, mine in named:
+        places = {i for i, w in enumerate(mine) if i and any(c.isdigit() for c in w)}
+        for other_id, other in named:
+            if other_id != license_id:
+                match = difflib.SequenceMatcher(None, mine, other, autojunk=False)
+                if match.quick_ratio() >= ALIKE and match.ratio() >= ALIKE:
+                    ends = {m.a + m.size for m in match.get_matching_blocks() if m.size >= COMMON or m.size and not m.a}
+                    places |= {at for at in ends if at < len(mine)}
+        out.append(sorted(places))
+    return out
 
 
 class Template(NamedTuple):
@@ -97,6 +151,7 @@ class Template(NamedTuple):
     size: int  # words of a shingle
     shingles: np.ndarray  # sorted
     telling: np.ndarray  # telling words, each with the word before it
+    within: frozenset[str] = frozenset()  # licenses of longer templates that this one is a part of
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -105,17 +160,12 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def templates(texts: Mapping[str, Sequence[str]]) -> list[Template]:
-    """Templates without words are left out."""
-    out = []
-    for license_id, several in texts.items():
-        for text in several:
-            found = words(pa.array([text]), NOT_ALNUM)
-            hashes = found.hashes()
-            if len(hashes):
-                size = min(SHINGLE, len(hashes))
-                named = [found.data[a:b].tobytes().decode(errors="replace") for a, b in zip(found.starts, found.ends, strict=True)]
-                at = np.array([i for i, w in enumerate(named) if i and (w in TELLING or any(c.isdigit() for c in w))], np.int64)
-                out.append(Template(license_id, size, np.unique(shingles(hashes, size)), range_hashes(hashes, at - 1, at + 1)))
+    named, out = notices(texts), []
+    for (license_id, mine), at in zip(named, telling(named), strict=True):
+        hashes, size = words(pa.array([" ".join(mine)]), NOT_ALNUM).hashes(), min(SHINGLE, len(mine))
+        longer = frozenset(i for i, other in named if i != license_id and len(other) > len(mine) and any(other[k : k + len(mine)] == mine for k in range(len(other) - len(mine) + 1)))
+        at = np.array(at, np.int64)
+        out.append(Template(license_id, size, np.unique(shingles(hashes, size)), range_hashes(hashes, at - 1, at + 1), longer))
     return out
 
 
@@ -139,8 +189,16 @@ class Index:
             for key in band_keys(t.shingles):
                 self.bands.setdefault((t.size, len(t.shingles), key), []).append(number)
 
-    def matches(self, hashes: np.ndarray, least: float) -> Iterator[tuple[str, float, int]]:
-        """license, containment and first word of each window of a text that holds enough of a template."""
+    def matches(self, hashes: np.ndarray, least: float) -> list[tuple[str, float, int]]:
+        """license, containment and first word of each window of a text that holds enough of a template, and none of a longer one at the same place."""
+        found = list(self._windows(hashes, least))
+        spans: dict[str, list[tuple[int, int]]] = {}
+        for t, _, start, stop in found:
+            spans.setdefault(t.license_id, []).append((start, stop))
+        beaten = lambda t, start, stop: any(a <= stop and start <= b for other in t.within for a, b in spans.get(other, ()))
+        return [(t.license_id, held, start) for t, held, start, stop in found if not beaten(t, start, stop)]
+
+    def _windows(self, hashes: np.ndarray, least: float) -> Iterator[tuple[Template, float, int, int]]:
         pairs = shingles(hashes, 2)
         for size, known in self.known.items():
             mine = shingles(hashes, size)
@@ -157,7 +215,7 @@ class Index:
                         template, first, last = self.templates[number], max(0, start - step), start + length + step
                         held = float(np.isin(template.shingles, mine[first:last]).mean())
                         if held >= least and np.isin(template.telling, pairs[first : last + size - 2]).all():
-                            yield template.license_id, held, start
+                            yield template, held, start, last
 
 
 def license_scan(docs: DataFrame, texts: Mapping[str, Sequence[str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:

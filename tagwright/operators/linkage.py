@@ -255,6 +255,13 @@ def capacity_sources(tokens: DataFrame, chips: DataFrame) -> DataFrame:
     return printed.unionByName(stacked)
 
 
+def shared_with(rows: DataFrame) -> DataFrame:
+    """rows (tok_id, cluster, matched_code) with _shared: the code before it, in reading order, that is linked to the same cluster. Only matched codes share."""
+    matched = F.col("matched_code").isNotNull()
+    users = Window.partitionBy(*PAGE, "cluster", matched).orderBy("tok_id")
+    return rows.withColumn("_shared", F.when(matched & F.col("cluster").isNotNull(), F.lag("matched_code").over(users)))
+
+
 def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | None = None) -> DataFrame:
     """A row for each code of a page, matched or not.
 
@@ -284,9 +291,7 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     rows = codes.join(linked, keys, "left").join(values.select(*PAGE, "cluster", "cl_cy", "notes", "resolution"), [*PAGE, "cluster"], "left")
     rows = code_metadata(rows, catalog)
     matched = F.col("matched_code").isNotNull()
-    users = Window.partitionBy(*PAGE, "cluster", matched).orderBy("tok_id")
-    shared = F.when(matched & F.col("cluster").isNotNull(), F.lag("matched_code").over(users))
-    rows = rows.withColumn("_shared", shared)
+    rows = shared_with(rows)
     linked = F.col("cluster").isNotNull()
     none = F.array().cast("array<struct<code:string,detail:string>>")
     reason = F.when(F.col("flag") == "", "no candidates").otherwise(F.col("flag"))

@@ -66,3 +66,18 @@ def page_numbers(spec: Column, n_pages: Column) -> Column:
 def uncached(pages: DataFrame, cached: DataFrame) -> DataFrame:
     """Pages whose tokens are not there yet."""
     return pages.join(cached, ["file", "page"], "left_anti")
+
+
+def content_key(content: Column, version: str) -> Column:
+    """Key of a cached result: what it was made from, and the version of what made it."""
+    return F.sha2(F.concat(F.lit(f"{version}|"), F.coalesce(content, F.lit(""))), 256)
+
+
+def unread(pages: DataFrame, cache: DataFrame) -> DataFrame:
+    """pages (file, page, key) without a cached result of their key: new ones, and those whose content or version has changed under their name."""
+    return pages.join(cache.select("file", "page", "key").distinct(), ["file", "page", "key"], "left_anti")
+
+
+def still_valid(cache: DataFrame, pages: DataFrame) -> DataFrame:
+    """cache without the results that no page has a use for: pages that are gone, or have another content or version now."""
+    return cache.join(pages.select("file", "page", "key").distinct(), ["file", "page", "key"], "left_semi")

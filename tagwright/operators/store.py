@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagwright import reference_data as R
 from tagwright.functions.dates import duration_days, file_week, iso_year
 from tagwright.functions.text import brand_display, fixed, flag, flag_text, mapped
+from tagwright.operators.ordering import ordinals
 
 
 def discount(rows: DataFrame) -> DataFrame:
@@ -83,6 +84,11 @@ def store_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy(*[F.coalesce(c, F.lit("")) for c in ("year_week", "country", "retailer", "file")])
 
 
+def store_positions(rows: DataFrame) -> DataFrame:
+    """rows with position (1, 2, ...) in the order of the store; rows that are equal in it keep the order of the input."""
+    return ordinals(rows, *[F.coalesce(c, F.lit("")).asc() for c in ("year_week", "country", "retailer", "file")], name="position")
+
+
 def weekly_counts(rows: DataFrame) -> DataFrame:
     week = F.when(F.coalesce("year_week", F.lit("")) == "", "unknown-week").otherwise(F.col("year_week"))
     return rows.groupBy(week.alias("week")).agg(F.count(F.lit(1)).alias("n"))

@@ -13,7 +13,7 @@ from tagwright.functions import dates, text
 from tagwright.functions.prices import rescued_price, resolve_prices
 from tagwright.operators import catalog, context, linkage, matching, prefilter, quality, similarity, store
 from tagwright.plans.views import oracle, view
-from tagwright.sources import readers, writers
+from tagwright.sources import readers, weekly, writers
 from tagwright.sources.staging import keep, new_path
 from tagwright.streaming.intake import current, intake
 
@@ -504,10 +504,13 @@ def column_islands(spark, sf_dir):
     return found.groupBy("page", "island").agg(F.count(F.lit(1)).alias("n"), F.min("cx").alias("lo"), F.max("cx").alias("hi"))
 
 
-@query(oracle("tiles", "SELECT page, slot, lag(l_partkey) OVER (PARTITION BY page, ry ORDER BY slot) AS shared_with FROM tiles"))
+@query(oracle("tiles", """, c AS (SELECT page, slot, ry, l_partkey, l_partkey % 7 <> 0 AS hit FROM tiles)
+SELECT page, slot, CASE WHEN hit AND ry < 2000 THEN lag(l_partkey::VARCHAR) OVER (PARTITION BY page, ry, hit ORDER BY slot) END AS shared_with FROM c"""))
 def shared_cluster(spark, sf_dir):
-    along = Window.partitionBy("page", "ry").orderBy("slot")
-    return view(spark, sf_dir, "tiles").select("page", "slot", F.lag("l_partkey").over(along).alias("shared_with"))
+    """Codes of a row of tiles share its cluster, those of the third row have none, some are unmatched."""
+    cluster, code = F.when(F.col("ry") < 2000, F.col("ry")), F.when(F.col("l_partkey") % 7 != 0, F.col("l_partkey").cast("string"))
+    rows = view(spark, sf_dir, "tiles").select(F.lit("f").alias("file"), "page", F.col("slot").alias("tok_id"), cluster.alias("cluster"), code.alias("matched_code"))
+    return linkage.shared_with(rows).select("page", F.col("tok_id").alias("slot"), F.col("_shared").alias("shared_with"))
 
 
 def page_tokens(spark, sf_dir) -> DataFrame:
@@ -713,10 +716,48 @@ def outputs_reread(spark, sf_dir):
     return readers.read_outputs(spark, *paths)
 
 
-@query(oracle("row_obs", f"SELECT {KEYS}, coalesce(year_week, '') AS year_week, file FROM row_obs ORDER BY coalesce(year_week, ''), currency, brand, file"))
+@query(oracle("row_obs", """SELECT row_number() OVER (ORDER BY coalesce(year_week, ''), currency, brand, file) AS position, coalesce(year_week, '') AS year_week, currency, brand, file FROM row_obs"""))
 def store_order(spark, sf_dir):
-    rows = view(spark, sf_dir, "row_obs").withColumns({"country": F.col("currency"), "retailer": F.col("brand")})
-    return store.store_order(rows).select(*KEY, F.coalesce("year_week", F.lit("")).alias("year_week"), "file")
+    """Each position of the store with what the order sees, so that a row in the wrong place is a difference."""
+    rows = view(spark, sf_dir, "row_obs").select("year_week", F.col("currency").alias("country"), F.col("brand").alias("retailer"), "file")
+    placed = store.store_positions(keep(rows, "store-rows"))
+    return placed.select("position", F.coalesce("year_week", F.lit("")).alias("year_week"), F.col("country").alias("currency"), F.col("retailer").alias("brand"), "file")
+
+
+@query(oracle("row_obs", f"""SELECT {KEYS}, file, CASE WHEN substr(file, 5)::INT % 5 = 0 THEN '2026-W01' ELSE year_week END AS year_week FROM row_obs WHERE brand <> '' AND substr(file, 5)::INT % 7 <> 1"""))
+def weekly_store(spark, sf_dir):
+    """All files are merged; then some move to another week, and some yield nothing any more. Only the weeks touched are written."""
+    root, rows = new_path(spark, "weekly"), view(spark, sf_dir, "row_obs").select(*KEY, "file", "brand", "year_week")
+    number = F.substring("file", 5, 10).cast("int")
+    weekly.merge_weeks(rows, root)
+    gone = rows.where(number % 7 == 1).select("file")
+    moved = rows.where((number % 5 == 0) & (number % 7 != 1)).withColumn("year_week", F.lit("2026-W01"))
+    weekly.merge_weeks(moved, root, moved.select("file").unionByName(gone))
+    return weekly.read_weeks(spark, root).select(*KEY, "file", "year_week")
+
+
+@query(oracle("catalog_raw", """SELECT ord AS part, rtrim(brand_raw) AS brand_raw, code_raw, CASE ord % 3 WHEN 0 THEN 'Kühl ' WHEN 1 THEN 'Küche ' ELSE 'پ' END || ord AS name_raw FROM catalog_raw"""))
+def catalog_folder(spark, sf_dir):
+    """Files of three encodings and two orders of columns in one folder: UTF-8, Windows-1252, and one that only Windows-1256 can be."""
+    root, rows = new_path(spark, "catalogs"), view(spark, sf_dir, "catalog_raw")
+    for k, (encoding, name) in enumerate((("UTF-8", "Kühl "), ("ISO-8859-1", "Küche "), ("ISO-8859-1", "\x81"))):
+        columns = {"Brand": F.concat(F.lit("b"), "brand_raw"), "Product Category": F.col("ord").cast("string"), "Model Code": F.col("code_raw"), "Model Local Name": F.concat(F.lit(name), F.col("ord").cast("string"))}
+        chosen = rows.where(F.col("ord") % 3 == k).select(*[c.alias(n) for n, c in (columns.items() if k else reversed(columns.items()))])
+        chosen.write.mode("append").options(header=True, encoding=encoding).csv(root)
+    read = readers.read_catalog(spark, root)
+    return read.select(F.col("category_raw").cast("long").alias("part"), F.substr("brand_raw", F.lit(2)).alias("brand_raw"), "code_raw", "name_raw")
+
+
+@query(oracle("word_pages", """SELECT file, page, page % 3 = 0 AS is_new, page % 3 <> 0 AND page % 5 = 0 AS is_changed FROM word_pages WHERE page % 3 = 0 OR page % 5 = 0"""))
+def unread_pages(spark, sf_dir):
+    """Pages that were never read, and pages with another text under their old name."""
+    pages = view(spark, sf_dir, "word_pages").select("file", "page", F.coalesce("text", F.lit("")).alias("text"))
+    then = pages.where("page % 3 <> 0").withColumn("text", F.when(F.col("page") % 5 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    keyed = lambda df: df.select("file", "page", prefilter.content_key(F.col("text"), "v1").alias("key"))
+    cache = keep(keyed(then), "page-cache")
+    left = prefilter.unread(keyed(pages), cache).withColumn("is_new", F.col("page") % 3 == 0)
+    names = cache.select("file", "page").distinct().withColumn("had", F.lit(True))
+    return left.join(names, ["file", "page"], "left").select("file", "page", F.col("had").isNull().alias("is_new"), F.col("had").isNotNull().alias("is_changed"))
 
 
 @query(oracle("row_obs", f""", c AS (SELECT *, matched_code <> '' AS m, l_partkey % 3 = 0 AS noted FROM row_obs)

@@ -126,3 +126,40 @@ def test_a_page_is_folded_as_a_whole_in_reading_order(spark):
 def test_run_counters(spark):
     rows = spark.createDataFrame([("f", "R1", []), ("f", "R1", ["x"]), ("f", None, ["x"]), ("f", "", [])], "file string, matched_code string, flag_codes array<string>")
     assert tuple(store.run_counters(rows).first()) == ("f", 1, 1, 2)
+
+
+def test_a_folder_of_four_encodings_in_one_read(spark, tmp_path):
+    head = HEAD.strip().split(",")
+    files = {"a.csv": ("utf-8", "Kühlgerät", head), "b.csv": ("utf-8-sig", "Größe", head[::-1]), "c.csv": ("cp1252", "Café €", head), "d.csv": ("cp1256", "گچ", head[2:] + head[:2])}
+    for name, (encoding, local, columns) in files.items():
+        row = {"Brand": "LG", "Product Category": "ref", "Sub Category": '"x, y"', "Model Code": f"0{name}", "Model Local Name": local}
+        text = ",".join(columns) + "\n" + "".join(",".join(row[c] + (str(k) if c == "Model Code" else "") for c in columns) + "\n" for k in range(3)) + "\n"
+        (tmp_path / name).write_bytes(text.encode(encoding))
+    before = spark.conf.get("spark.sql.legacy.javaCharsets", None)
+    got = readers.read_catalog(spark, str(tmp_path)).orderBy("ord").collect()
+    assert [(r.source_file, r.code_raw, r.name_raw, r.sub_raw, r.brand_raw) for r in got] == [(n, f"0{n}{k}", files[n][1], "x, y", "LG") for n in sorted(files) for k in range(3)]
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", None) == before
+    assert {r.encoding for r in readers.file_encodings(spark, str(tmp_path)).collect()} == {"UTF-8", "windows-1252", "windows-1256"}
+
+
+def test_a_changed_page_under_an_old_name_is_read_again(spark):
+    from tagwright.operators import prefilter
+
+    pages = spark.createDataFrame([("f", 1, "same"), ("f", 2, "new text"), ("f", 3, None), ("g", 1, "first")], "file string, page int, text string")
+    old = spark.createDataFrame([("f", 1, "same"), ("f", 2, "old text"), ("f", 3, ""), ("h", 1, "gone")], "file string, page int, text string")
+    keyed = lambda df, version: df.select("file", "page", prefilter.content_key(F.col("text"), version).alias("key"))
+    names = lambda df: {(r.file, r.page) for r in df.collect()}
+    assert names(prefilter.unread(keyed(pages, "v1"), keyed(old, "v1"))) == {("f", 2), ("g", 1)}
+    assert len(names(prefilter.unread(keyed(pages, "v2"), keyed(old, "v1")))) == 4
+    assert names(prefilter.still_valid(keyed(old, "v1"), keyed(pages, "v1"))) == {("f", 1), ("f", 3)}
+
+
+def test_positions_are_global_and_ties_keep_the_order_of_the_input(spark):
+    from tagwright.operators.ordering import ordinals
+
+    rows = [(i % 3 if i % 4 else None, i) for i in range(200)]
+    table = staging.keep(spark.createDataFrame(rows, "k int, i int").coalesce(1), "rows")
+    got = [(r.k, r.i) for r in sorted(ordinals(table, F.asc_nulls_first("k")).collect(), key=lambda r: r.ordinal)]
+    assert got == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(r.ordinal for r in ordinals(table, F.desc("k")).collect()) == list(range(1, 201))
+    assert ordinals(staging.keep(table.limit(0), "none"), F.asc("k")).count() == 0

@@ -30,13 +30,13 @@ def _pair(low: Column, high: Column, n: Column, middle: Column, pct: Column, gly
     return (
         F.when(
             pct.isNull() & (low < 0.25 * high),
-            _outcome(high, low, None, 0.40, flag("implausible_discount", "implausible discount (", text(low), " vs ", text(high), ") — possible stray token")),
+            _outcome(high, low, None, 0.40, flag("implausible_discount", "too large a reduction to believe: ", text(low), " from ", text(high))),
         )
         .when(pct.isNull() & (n == 2), _outcome(high, low, None, F.when(glyph, 0.88).otherwise(0.85)))
         .when(pct.isNull() & (n == 3), _outcome(high, middle, None, 0.82, None, low))
-        .when(pct.isNull(), _outcome(high, low, None, 0.60, flag("ambiguous_pair", text(n), " prices, no % badge — was/now pair ambiguous")))
+        .when(pct.isNull(), _outcome(high, low, None, 0.60, flag("ambiguous_pair", "which price is which is open: ", text(n), " prices and no percentage")))
         .when(error <= tolerance, _outcome(high, low, pct, 0.97))
-        .otherwise(_outcome(high, low, pct, 0.55, flag("badge_mismatch", "%-check mismatch: ", text(high), "*(1-", text(pct), "%)=", text(F.bround(implied).cast("long")), " vs promo ", text(F.bround(low).cast("long")))))
+        .otherwise(_outcome(high, low, pct, 0.55, flag("badge_mismatch", "the percentage does not fit: ", text(high), " less ", text(pct), "% is ", text(F.bround(implied).cast("long")), ", not ", text(F.bround(low).cast("long")))))
     )
 
 
@@ -54,13 +54,13 @@ def resolve_prices(df: DataFrame, prices: str = "prices", percents: str = "perce
     df = df.withColumn("_pair", F.when(n >= 2, _pair(low, high, n, middle, F.col("_pct"), F.col("_glyph"), tolerance)))
     has_member = F.col("_member").isNotNull()
     single = F.when(
-        F.col("_pct").isNull(), _outcome(None, low, None, 0.75, flag("single_price", "single price (no RRP shown)"))
-    ).otherwise(_outcome(None, low, F.col("_pct"), 0.75, flag("single_price", "single price shown; % badge present")))
+        F.col("_pct").isNull(), _outcome(None, low, None, 0.75, flag("single_price", "one price alone"))
+    ).otherwise(_outcome(None, low, F.col("_pct"), 0.75, flag("single_price", "one price with a percentage")))
     resolution = (
         F.when(has_member & (n >= 2), F.col("_pair").withField("member", F.col("_member")))
-        .when(has_member & (n == 1), _outcome(low, None, None, 0.5, flag("now_unreadable", "NOW price unreadable — member price present"), F.col("_member")))
-        .when(has_member, _outcome(None, None, None, 0.3, flag("only_member", "only member price readable"), F.col("_member")))
-        .when(n == 0, _outcome(None, None, None, 0.0, flag("no_price", "no price found")))
+        .when(has_member & (n == 1), _outcome(low, None, None, 0.5, flag("now_unreadable", "the price for all is missing, the one for members is there"), F.col("_member")))
+        .when(has_member, _outcome(None, None, None, 0.3, flag("only_member", "no price but the one for members"), F.col("_member")))
+        .when(n == 0, _outcome(None, None, None, 0.0, flag("no_price", "without a price")))
         .when(n == 1, single)
         .otherwise(F.col("_pair"))
     )

@@ -149,8 +149,8 @@ def cluster_values(table: DataFrame, member_marks: DataFrame) -> DataFrame:
     has = F.col("_rescued").isNotNull()
     shown = F.regexp_replace(F.col("_rescued").cast("string"), r"\.0$", "")
     notes = flags(
-        (F.col("_stacked") & has, flag("rescued", "NOW price ", shown, " rescued from garbled OCR token ", quoted, " (conf ", F.round("_garble.conf", 2).cast("string"), ")")),
-        (F.col("_stacked") & ~has, flag("unreadable", "NOW price unreadable (garbled token ", quoted, "); member/was kept")),
+        (F.col("_stacked") & has, flag("rescued", "restored the price ", shown, " from the unclear token ", quoted, ", read with ", F.round("_garble.conf", 2).cast("string"))),
+        (F.col("_stacked") & ~has, flag("unreadable", "could not restore a price from the unclear token ", quoted, "; the others stay")),
     )
     return table.withColumns(
         {
@@ -295,24 +295,24 @@ def extract_rows(tokens: DataFrame, catalog: DataFrame, positions: DataFrame | N
     linked = F.col("cluster").isNotNull()
     none = F.array().cast("array<struct<code:string,detail:string>>")
     reason = F.when(F.col("flag") == "", "no candidates").otherwise(F.col("flag"))
-    weak = (F.coalesce("weak", F.lit(False)), flag("weak_cluster", "weak price cluster (single bare number)"))
+    weak = (F.coalesce("weak", F.lit(False)), flag("weak_cluster", "its only price is one plain number"))
     notes = F.coalesce("notes", none)
     why = F.col("resolution.why")
     for_matched = F.concat(
         flags(
             (F.col("flag") != "", flag("match", F.col("flag"))),
             weak,
-            (~linked, flag("no_cluster", "no price cluster found above code")),
-            (F.col("_shared").isNotNull(), flag("shared_cluster", "price cluster shared with ", F.col("_shared"), " — layout ambiguity")),
+            (~linked, flag("no_cluster", "no prices in reach of the code")),
+            (F.col("_shared").isNotNull(), flag("shared_cluster", "takes its prices from the same place as ", F.col("_shared"))),
         ),
         notes,
         F.array_compact(F.array(why)),
     )
     for_unmatched = F.concat(
         flags(
-            (F.col("out_of_category"), flag("out_of_category", "out-of-category page (no master matches on page)")),
-            (F.lit(True), flag("unmatched", "code not matched in master (", reason, ")")),
-            (F.col("best_guess").isNotNull(), flag("nearest", "nearest: ", F.col("best_guess"))),
+            (F.col("out_of_category"), flag("out_of_category", "no code of this page is in the catalog")),
+            (F.lit(True), flag("unmatched", "not in the catalog: ", reason)),
+            (F.col("best_guess").isNotNull(), flag("nearest", "most alike: ", F.col("best_guess"))),
             weak,
         ),
         notes,

@@ -63,7 +63,7 @@ def test_financing_and_image_junk(found):
 def test_stack_with_garble_is_rescued(found):
     r = found["garble", "RS70F65Q1F"]
     assert (r.rrp, r.promo, r.member, r.capacity) == (5299.0, 4799.0, "Member price 4599", "650 L")
-    assert "rescued from garbled" in r.text
+    assert [f.code for f in r.flags] == ["rescued"] and "4799" in r.text and "'47999'" in r.text
 
 
 def test_prices_below_and_glued(found):
@@ -73,11 +73,12 @@ def test_prices_below_and_glued(found):
 
 def test_page_without_matches(found):
     r = found["foreign", "QQ99ZZ88X"]
-    assert r.matched_code is None and r.out_of_category and r.text.startswith("out-of-category page") and r.promo == 999.0
+    assert r.matched_code is None and r.out_of_category and r.flags[0].code == "out_of_category" and r.promo == 999.0
 
 
 def test_shared_cluster_is_flagged(found):
-    assert "shared" not in found["shared", "GRC342SLBB"].text and "shared with GRC342SLBB" in found["shared", "F4R5VYG2T"].text
+    shared = {code: [f.detail for f in found["shared", code].flags if f.code == "shared_cluster"] for code in ("GRC342SLBB", "F4R5VYG2T")}
+    assert shared["GRC342SLBB"] == [] and len(shared["F4R5VYG2T"]) == 1 and "GRC342SLBB" in shared["F4R5VYG2T"][0]
 
 
 def test_two_columns_pair_off(found):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagwright.llm.arrays import NOT_ALNUM, range_hashes, slices, windows, words
-from tagwright.llm.common import keep
+from tagwright.llm.common import hub_join, keep
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -82,14 +82,14 @@ def item_seeds(items: DataFrame, min_match: int, coverage: float) -> DataFrame:
 
 
 def telling_seeds(item_seed: DataFrame, hits: DataFrame) -> DataFrame:
-    """seed, item_id: an item's seeds but the most frequent in hits (seed), which together stay below `needed`.
+    """seed, item_id, n_rows (of the seed in hits): an item's seeds but the most frequent in hits (seed), which together stay below `needed`.
 
     Whatever document covers the item has a seed beyond them. Ties go to the smaller seed.
     """
     frequency = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("documents"))
     along = Window.partitionBy("item_id").orderBy(F.desc("documents"), "seed").rowsBetween(Window.unboundedPreceding, 0)
     spent = item_seed.join(frequency, "seed").withColumn("spent", F.sum("times").over(along))
-    return spent.where("spent >= needed").select("seed", "item_id")
+    return spent.where("spent >= needed").select("seed", "item_id", F.col("documents").alias("n_rows"))
 
 
 def bit_table(item_seed: DataFrame) -> np.ndarray:
@@ -195,11 +195,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     found = seeded_documents(docs.where("doc_id is not null"), bit_table(item_seed), widths)
     found = keep(found.withColumn("row", F.monotonically_increasing_id()), "seeded-documents")
     hits = found.select("row", F.explode("seeds").alias("seed"))
-    pairs = keep(hits.join(telling_seeds(item_seed, hits), "seed").select("row", "item_id").distinct(), "seeded-pairs")
+    telling = keep(telling_seeds(item_seed, hits), "telling-seeds")
+    pairs = keep(hub_join(hits, telling, "seed").select("row", "item_id").distinct(), "seeded-pairs")
     # a document travels once for a bundle of its items
     place = F.row_number().over(Window.partitionBy("row").orderBy("item_id"))
     item = F.struct("item_id", F.col("tokens").alias("item"))
-    bundles = pairs.withColumn("bundle", F.floor((place - 1) / BUNDLE)).join(items, "item_id").groupBy("row", "bundle").agg(F.collect_list(item).alias("items"))
+    leaked = keep(items.join(pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_rows")), "item_id"), "leaked-items")
+    bundles = hub_join(pairs.withColumn("bundle", F.floor((place - 1) / BUNDLE)), leaked, "item_id").groupBy("row", "bundle").agg(F.collect_list(item).alias("items"))
     met = found.select("row", "doc_id", "tokens").join(bundles, "row")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,8 @@ SPAN = 256
 TASK_BYTES = 16 << 20
 #: Up to so many merged files the plan is broadcast to the writers (some 200 bytes each), beyond that joined by a shuffle.
 BROADCAST_ROWS = 100_000
+#: Files that are named to a reader one by one.
+LISTED_FILES = 100_000
 
 #: Of the files; they are written twice and read often.
 COMPRESSION = "zstd"
@@ -86,12 +89,14 @@ def commit(spark: SparkSession, root: str, schema: StructType, added: DataFrame,
 
 
 def _rows(spark: SparkSession, schema: StructType, files: DataFrame) -> DataFrame:
-    """__row and __file of the rows of the folders that hold some of the files."""
-    folders = [r[0] for r in files.select(F.regexp_extract("file", _FOLDER, 1)).distinct().collect()]  # one a write
-    if not folders:
+    """__row and __file of the rows of the files, which alone are opened; of more than LISTED_FILES of the folders that hold some of them."""
+    paths = [unquote(r[0]) for r in files.select("file").limit(LISTED_FILES + 1).collect()]
+    if len(paths) > LISTED_FILES:
+        paths = [r[0] for r in files.select(F.regexp_extract("file", _FOLDER, 1)).distinct().collect()]  # one a write
+    if not paths:
         rows, file = spark.createDataFrame([], schema), F.lit("")
     else:
-        rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+        rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
         file = rows.metadataColumn("_metadata")["file_path"]
     return rows.select(F.struct(*[F.col(f"`{c}`") for c in schema.names]).alias("__row"), file.alias("__file"))
 

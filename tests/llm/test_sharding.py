@@ -134,3 +134,17 @@ def test_odd_rows_and_clashing_names(spark):
     assert dict(out.dtypes)["shard_tier"] == "int" and out.where("shard_id is null or shard_id = 'x'").isEmpty()
     empty = sharding.sharded(spark.createDataFrame([], SCHEMA), new_path(spark, "shards"))
     assert empty.count() == 0 and {"shard_id", "shard_tier"} <= set(empty.columns)
+
+
+def test_only_live_files_are_opened(spark, monkeypatch):
+    """After several appends the read opens the files of the version and no others; beyond a bound it goes by folders."""
+    root = new_path(spark, "shards")
+    for k in range(5):
+        sharding.append(spark.range(40).select((F.col("id") + 40 * k).alias("doc_id"), F.lit("t" * 50).alias("text")).repartition(2), root, arrival_rows=10)
+        sharding.compact(spark, root, tiers=(1 << 12, 1 << 14), fan_in=2)
+    live = {r.file for r in sharding.manifest(spark, root).collect()}
+    rows = sharding.read_shards(spark, root)
+    assert {f.rsplit("/", 1)[1] for f in rows.inputFiles() if "shard_tier" in f} == {f.rsplit("/", 1)[1] for f in live}
+    want = sorted((r.doc_id, r.shard_id) for r in rows.collect())
+    monkeypatch.setattr(sharding, "LISTED_FILES", 0)
+    assert sorted((r.doc_id, r.shard_id) for r in sharding.read_shards(spark, root).collect()) == want and len(want) == 200

@@ -12,7 +12,7 @@ from tagwright import reference_data as R
 from tagwright.functions import dates, text
 from tagwright.functions.prices import rescued_price, resolve_prices
 from tagwright.operators import catalog, context, linkage, matching, prefilter, quality, similarity, store
-from tagwright.plans.views import oracle, view
+from tagwright.plans.views import oracle, view, with_views
 from tagwright.sources import readers, weekly, writers
 from tagwright.sources.staging import keep, new_path
 from tagwright.streaming.intake import current, intake
@@ -530,9 +530,29 @@ def page_tokens(spark, sf_dir) -> DataFrame:
     )
 
 
-@query()
+#: Price tokens of a page in reading order, folded one after the other: each joins the first cluster whose mean is near, or begins one.
+_CLUSTERS = rf"""WITH RECURSIVE {{views}},
+tk AS (SELECT 'file' || (page % 20) AS file, page::INTEGER AS page, slot * 10 + list_position(['code', 'was', 'now', 'chip', 'unit', 'member', 'fin'], kind) AS tok_id, kind, val, slot, x, y,
+ CASE kind WHEN 'code' THEN code_raw WHEN 'was' THEN 'D' || val WHEN 'now' THEN val::VARCHAR WHEN 'chip' THEN val::VARCHAR WHEN 'unit' THEN CASE WHEN val = 1 THEN 'KG' ELSE 'LITRES' END WHEN 'member' THEN 'DG MEMBER' ELSE 'tabby' END AS text
+ FROM box_obs LEFT JOIN catalog_raw ON kind = 'code' AND val = ord),
+st AS (SELECT *, trim(text) AS word, y - 15 AS y0 FROM tk WHERE trim(text) <> ''),
+cp AS (SELECT DISTINCT n.page, n.tok_id FROM st n JOIN st u ON n.page = u.page AND u.kind = 'unit' AND regexp_matches(n.word, '^\d{{2,4}}$') AND greatest(0, least(n.x + 30, u.x + 30) - greatest(n.x - 30, u.x - 30)) > 10 AND u.y0 - n.y0 > 0 AND u.y0 - n.y0 < 80),
+pt AS (SELECT file, page, tok_id, 0 AS part, word AS text, x::DOUBLE AS cx, y::DOUBLE AS cy FROM st p
+ WHERE NOT EXISTS (SELECT 1 FROM cp WHERE cp.page = p.page AND cp.tok_id = p.tok_id) AND regexp_matches(word, '{_PRICE}')
+ AND NOT EXISTS (SELECT 1 FROM st f WHERE f.kind = 'fin' AND f.page = p.page AND abs(f.y - p.y) <= 45 AND abs(f.x - p.x) <= 300)),
+od AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY file, page ORDER BY tok_id, part) AS n FROM pt),
+fold AS (
+ SELECT file, page, 0::BIGINT AS n, []::STRUCT(x DOUBLE, y DOUBLE, k BIGINT)[] AS sums, 0::BIGINT AS cluster FROM (SELECT DISTINCT file, page FROM od)
+ UNION ALL
+ SELECT file, page, n, CASE WHEN spot > 0 THEN list_transform(sums, lambda c, i: CASE WHEN i = spot THEN {{x: c.x + cx, y: c.y + cy, k: c.k + 1}} ELSE c END) ELSE list_append(sums, {{x: cx, y: cy, k: 1}}) END, CASE WHEN spot > 0 THEN spot - 1 ELSE len(sums) END
+ FROM (SELECT o.file, o.page, o.n, o.cx, o.cy, f.sums, coalesce(list_position(list_transform(f.sums, lambda c: abs(o.cx - c.x / c.k) <= {R.CLUSTER_DX} AND abs(o.cy - c.y / c.k) <= {R.CLUSTER_DY}), true), 0) AS spot
+  FROM fold f JOIN od o ON o.file = f.file AND o.page = f.page AND o.n = f.n + 1))
+SELECT o.file, o.page, o.tok_id, o.part, o.text, f.cluster::INTEGER AS cluster, TRY_CAST(replace(regexp_extract(o.text, '{_PRICE}', 1), ',', '') || '.' || coalesce(nullif(regexp_extract(o.text, '{_PRICE}', 2), ''), '0') AS DOUBLE) AS price FROM od o JOIN fold f ON o.file = f.file AND o.page = f.page AND o.n = f.n"""
+
+
+@query(_CLUSTERS.replace("{views}", with_views("box_obs catalog_raw").removeprefix("WITH ")))
 def price_clusters(spark, sf_dir):
-    tokens = linkage.placed(page_tokens(spark, sf_dir)).cache()
+    tokens = keep(linkage.placed(page_tokens(spark, sf_dir)), "page-tokens")
     return linkage.price_clusters(linkage.price_tokens(tokens, linkage.capacity_chips(tokens))).select("file", "page", "tok_id", "part", "text", "cluster", "price")
 
 

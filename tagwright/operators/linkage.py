@@ -19,6 +19,8 @@ from tagwright.operators.matching import match
 from tagwright.sources.staging import keep
 
 PAGE = ["file", "page"]
+#: Height of the bands by which numbers, unit words and their marks meet: more than they may be apart.
+CHIP_BAND = 81.0
 
 
 def placed(tokens: DataFrame) -> DataFrame:
@@ -47,12 +49,29 @@ def expand_glued(tokens: DataFrame) -> DataFrame:
     return out.withColumn("cx", (F.col("x0") + F.col("x1")) / 2)
 
 
+def _cell(c: Column, size: float) -> Column:
+    return F.floor(c / size)
+
+
+def _around(c: Column, size: float, before: int = 1, after: int = 1) -> Column:
+    """Cells that hold everything within a size of c: the key of an equi-join in place of a page as a whole."""
+    return F.sequence(_cell(c, size) - before, _cell(c, size) + after)
+
+
 def near_marks(tokens: DataFrame, marks: DataFrame, dx: float, dy: float, how: str, inclusive: bool) -> DataFrame:
-    """tokens with (left_semi) or without (left_anti) a mark of their page that near."""
+    """tokens with (left_semi) or without (left_anti) a mark of their page that near.
+
+    They meet by cells of a grid over the page, a little larger than the reach,
+    so a page of very many tokens is no single key: each token meets the marks
+    of its neighbourhood.
+    """
+    wide, high = dx + 1, dy + 1
     m = marks.select(*[F.col(c).alias(f"_{c}") for c in PAGE], F.col("cx").alias("_cx"), F.col("cy").alias("_cy"))
+    m = m.withColumn("_gx", F.explode(_around(F.col("_cx"), wide))).withColumn("_gy", F.explode(_around(F.col("_cy"), high)))
     off_x, off_y = F.abs(F.col("cx") - F.col("_cx")), F.abs(F.col("cy") - F.col("_cy"))
     band = (off_x <= dx) & (off_y <= dy) if inclusive else (off_x < dx) & (off_y < dy)
-    return tokens.join(m, (F.col("file") == F.col("_file")) & (F.col("page") == F.col("_page")) & band, how)
+    here = (F.col("file") == F.col("_file")) & (F.col("page") == F.col("_page")) & (_cell(F.col("cx"), wide) == F.col("_gx")) & (_cell(F.col("cy"), high) == F.col("_gy"))
+    return tokens.join(m, here & band, how)
 
 
 def without_financing(tokens: DataFrame, marks: DataFrame) -> DataFrame:
@@ -64,15 +83,18 @@ def member_prices(tokens: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def capacity_chips(tokens: DataFrame) -> DataFrame:
-    """file, page, tok_id, chip: a number over a unit word, or a glued NET/GROSS chip."""
+    """file, page, tok_id, chip: a number over a unit word, or a glued NET/GROSS chip. They meet by bands of the page's height."""
+    numbers_at, gross_at = _cell(F.col("y0"), CHIP_BAND).alias("_g"), F.explode(_around(F.col("y0"), CHIP_BAND, 1, 0)).alias("_h")
     units = tokens.where(F.col("text").rlike(R.UNIT_WORD)).select(*PAGE, *[F.col(c).alias(f"u_{c}") for c in ("tok_id", "text", "x0", "x1", "y0")])
-    numbers = tokens.where(F.col("text").rlike(r"^\d{2,4}$")).select(*PAGE, "tok_id", "text", "x0", "x1", "y0")
+    units = units.withColumn("_h", _cell(F.col("u_y0"), CHIP_BAND))
+    numbers = tokens.where(F.col("text").rlike(r"^\d{2,4}$")).select(*PAGE, "tok_id", "text", "x0", "x1", "y0", numbers_at)
     over = (overlap(F.col("x0"), F.col("x1"), F.col("u_x0"), F.col("u_x1")) > 10) & (F.col("u_y0") - F.col("y0") > 0) & (F.col("u_y0") - F.col("y0") < 80)
-    gross = tokens.where(F.upper("text").contains("GROSS")).select(*PAGE, *[F.col(c).alias(f"g_{c}") for c in ("x0", "x1", "y0")])
+    gross = tokens.where(F.upper("text").contains("GROSS")).select(*PAGE, *[F.col(c).alias(f"g_{c}") for c in ("x0", "x1", "y0")], gross_at)
     under = (overlap(F.col("g_x0"), F.col("g_x1"), F.col("u_x0"), F.col("u_x1")) > 0) & (F.col("g_y0") - F.col("u_y0") > 0) & (F.col("g_y0") - F.col("u_y0") < 60)
-    marked = units.join(gross, PAGE).where(under).select(*PAGE, "u_tok_id").distinct().withColumn("_gross", F.lit(" gross"))
+    marked = units.join(gross, [*PAGE, "_h"]).where(under).select(*PAGE, "u_tok_id").distinct().withColumn("_gross", F.lit(" gross"))
     unit = F.when(F.upper("u_text").rlike("^(KG|KILO)"), " kg").otherwise(" L")
-    pairs = numbers.join(units, PAGE).where(over).join(marked, [*PAGE, "u_tok_id"], "left")
+    above = units.withColumn("_g", F.explode(F.sequence(F.col("_h") - 1, F.col("_h"))))
+    pairs = numbers.join(above, [*PAGE, "_g"]).where(over).join(marked, [*PAGE, "u_tok_id"], "left")
     stacked = pairs.select(*PAGE, "tok_id", F.col("u_tok_id").alias("_rank"), F.concat("text", unit, F.coalesce("_gross", F.lit(""))).alias("chip"))
     net = F.when(F.upper("text").startswith("NET"), " net").otherwise(" gross")
     glued = tokens.where(F.col("text").rlike(R.NET_CHIP)).select(*PAGE, "tok_id", F.lit(1 << 40).alias("_rank"), F.concat(F.regexp_extract("text", R.NET_CHIP, 2), F.lit(" L"), net).alias("chip"))

@@ -23,18 +23,19 @@ def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def hub_join(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+def hub_join(rows: DataFrame, facts: DataFrame, key: str, several: bool = False) -> DataFrame:
     """Inner join of rows with facts (n_rows: rows of that key) where a few keys may have most rows.
 
-    facts should be a written table, of one row a key or few. Hubs, keys of more
-    than `most` rows, number at most HUBS (their rows sum to no more than all),
+    facts should be a written table, of one row a key, or of few (several). Hubs,
+    keys of more than `most` rows, number at most HUBS (their rows sum to no more than all),
     so they are broadcast and their rows stay where they are; the rest is
     shuffled, and no key of it has more than `most` rows. n_rows is dropped.
     """
     total = facts.agg(F.sum("n_rows")).first()[0] or 0
     most = max(HUB_ROWS, total // HUBS)
     facts, n_rows = facts.drop("n_rows"), facts.select(key, "n_rows")
-    hubs = n_rows.where(F.col("n_rows") > most).select(key).distinct()
+    hubs = n_rows.where(F.col("n_rows") > most).select(key)
+    hubs = hubs.distinct() if several else hubs
     if hubs.isEmpty():
         return rows.join(facts, key)
     hub_facts = F.broadcast(facts.join(F.broadcast(hubs), key))

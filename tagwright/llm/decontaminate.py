@@ -196,7 +196,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     found = keep(found.withColumn("row", F.monotonically_increasing_id()), "seeded-documents")
     hits = found.select("row", F.explode("seeds").alias("seed"))
     telling = keep(telling_seeds(item_seed, hits), "telling-seeds")
-    pairs = keep(hub_join(hits, telling, "seed").select("row", "item_id").distinct(), "seeded-pairs")
+    pairs = keep(hub_join(hits, telling, "seed", several=True).select("row", "item_id").distinct(), "seeded-pairs")
     # a document travels once for a bundle of its items
     place = F.row_number().over(Window.partitionBy("row").orderBy("item_id"))
     item = F.struct("item_id", F.col("tokens").alias("item"))

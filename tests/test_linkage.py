@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright.functions.text import flag_text
-from tagwright.operators.catalog import clean_catalog
+from tagwright.operators.catalog import clean_catalog, code_metadata
 from tagwright.operators.linkage import expand_glued, extract_rows
 from tagwright.operators.matching import match
 from tagwright.operators.similarity import Block
@@ -142,3 +142,17 @@ def test_boxes_are_dealt_by_page_once_to_tasks_that_follow_the_tiles(spark, monk
             spark.conf.unset(key)
     found = re.findall(r"(?<!Reused)Exchange hashpartitioning\((.*), (\d+)\)", plan)
     assert len(found) == exchanges and all("page#" in keys and "tok_id" not in keys and n == "12" for keys, n in found), plan
+
+
+def test_rows_without_a_code_are_no_single_key_of_the_metadata(spark):
+    rows = spark.range(400).select("id", F.when(F.col("id") % 4 == 0, F.concat(F.lit("S"), (F.col("id") % 8).cast("string"))).alias("matched_code"))
+    known = spark.createDataFrame([("S0", "a", "b", "c", "S0", 1), ("S4", "d", "e", "f", "S4", 2)], "stem string, brand string, category string, sub string, norm_code string, ord long")
+    for key, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)
+    try:
+        got = code_metadata(rows, known).withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+    assert len(got) == 400 and {(r.matched_code, r.brand) for r in got} == {(None, None), ("S0", "a"), ("S4", "d")}
+    assert len({r.at for r in got if r.matched_code is None}) == 4

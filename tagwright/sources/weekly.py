@@ -21,6 +21,8 @@ from tagwright.sources import versions
 from tagwright.sources.staging import discard, file_system, keep
 
 UNKNOWN = "unknown-week"
+#: Rows of a task that writes weeks.
+ROWS_A_TASK = 1_000_000
 ORDER = ("year_week", "country", "retailer", "file")
 
 
@@ -48,12 +50,20 @@ def read_weeks(spark: SparkSession, root: str, only: list[str] | None = None, ve
     return spark.read.option("mergeSchema", "true").parquet(*folders) if folders else None
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows with week, dealt by week and order to ranges: a large week takes as many tasks as it needs, and its files follow each other in order."""
+    order = [F.coalesce(c, F.lit("")) for c in ORDER if c in rows.columns]
+    by = ["week", *order, F.col("_tie")]  # rows that are equal in the order are told apart, so that they are no single range
+    ties = [c for c, kind in rows.dtypes if "map" not in kind and "variant" not in kind]
+    tied = rows.withColumn("week", week_of()).withColumn("_tie", F.xxhash64(*ties))
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_A_TASK))
+    return tied.repartitionByRange(n, *by).sortWithinPartitions(*by).drop("_tie")
+
+
 def _write(rows: DataFrame, root: str) -> dict[str, str]:
     """Write rows by week, in order within a week; the folder of each week."""
     spark, name = rows.sparkSession, f"data/{uuid.uuid4().hex}"
-    order = [F.coalesce(c, F.lit("")) for c in ORDER if c in rows.columns]
-    dealt = rows.withColumn("week", week_of()).repartition("week").sortWithinPartitions("week", *order)
-    dealt.write.partitionBy("week").parquet(f"{root}/{name}")
+    _dealt(rows).write.partitionBy("week").parquet(f"{root}/{name}")
     system, at = file_system(spark, f"{root}/{name}")
     folders = [s.getPath().getName() for s in system.listStatus(at) if s.isDirectory()]
     return {unquote(f.removeprefix("week=")): f"{name}/{f}" for f in folders if f.startswith("week=")}
@@ -90,8 +100,7 @@ def deliver(spark: SparkSession, root: str, path: str, merge: Merge) -> None:
     """Write the weeks of a merge as CSV, a folder a week, and delete those that are gone; other weeks stay as they are."""
     rows = read_weeks(spark, root, merge.written, merge.version) if merge.written else None
     if rows is not None:
-        dealt = rows.withColumn("week", week_of()).repartition("week").sortWithinPartitions("week", *[F.coalesce(c, F.lit("")) for c in ORDER if c in rows.columns])
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week").options(header=True, escape='"').csv(path)
+        _dealt(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week").options(header=True, escape='"').csv(path)
     for week in merge.gone:
         system, at = file_system(spark, f"{path}/week={week}")
         system.delete(at, True)

@@ -4,6 +4,7 @@ import hashlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tagwright.sources import versions, weekly
 
@@ -79,3 +80,12 @@ def test_of_two_writers_both_merges_count(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(versions, "publish", publish)
     assert weekly.merge_weeks(rows(spark, ("a", "X", "2026-W01", 1)), root).version == 2
     assert shown(spark, root) == {("a", "2026-W01", 1), ("b", "2026-W01", 2)}
+
+
+def test_a_large_week_is_written_by_several_tasks_in_order(spark, tmp_path):
+    large = spark.range(4000).select(F.lit("f").alias("file"), F.lit("b").alias("brand"), F.lit("2026-W01").alias("year_week"), "id", F.lpad((F.col("id") % 7).cast("string"), 2, "0").alias("country"))
+    weekly.merge_weeks(large, str(tmp_path / "store"))
+    stored = weekly.read_weeks(spark, str(tmp_path / "store")).withColumn("part", F.col("_metadata.file_name"))
+    parts = sorted((r for r in stored.groupBy("part").agg(F.min("country").alias("lo"), F.max("country").alias("hi"), F.count("*").alias("n")).collect()), key=lambda r: r.part)
+    assert len(parts) == 4 and sum(r.n for r in parts) == 4000 and max(r.n for r in parts) < 2000
+    assert all(a.hi <= b.lo for a, b in zip(parts, parts[1:]))

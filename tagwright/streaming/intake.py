@@ -212,7 +212,7 @@ def intake(
     store: str,
     checkpoint: str,
     process: Callable[[DataFrame], DataFrame],
-    files_per_batch: int = 100,
+    files_per_batch: int | None = 100,
     ledger: str | None = None,
     stop: str | None = None,
 ) -> int:
@@ -223,12 +223,15 @@ def intake(
     and is noted in the ledger (a folder of JSON lines) with its error; the
     others go on, and the next run tries it again. stop: a path; once there is
     something, no further batch begins, and the next run goes on from there.
+    All rows of a file must come in one batch; files_per_batch None makes what
+    is there one batch, however many parquet files it has.
     """
     counted, stopped = [0], [False]
     if stop and exists(spark, stop):
         return 0
     retry_failed(spark, store, process, ledger)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    reader = spark.readStream.schema(schema)
+    stream = (reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)).parquet(source)
 
     def merge(rows: DataFrame, batch: int) -> None:
         if stop and exists(spark, stop):

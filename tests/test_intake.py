@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tagwright.plans import queries
 from tagwright.sources import readers, versions
 from tagwright.streaming import intake as module
 from tagwright.streaming.intake import current, fold, intake, isolated, last_batch, merge_batch
+from tests.oracle import SF_DIR
 
 ROW = "file string, brand string, year_week string, country string, retailer string, n int"
 
@@ -131,3 +133,28 @@ def test_fold_keeps_what_others_bring_meanwhile(spark, at, monkeypatch):
     monkeypatch.setattr(versions, "publish", publish)
     fold(spark, at("store"))
     assert shown(spark, at("store")) == {("a", 3), ("b", 2)}
+
+
+def test_a_delivery_of_many_parquet_files_is_one_batch(spark, at):
+    batches = []
+    for k in range(2):
+        spark.createDataFrame([(f"f{k}", "X", "2026-W01", "", "", n) for n in range(6)], ROW).repartition(6).write.mode("append").parquet(at("in"))
+        intake(spark, at("in"), ROW, at("store"), at("checkpoint"), lambda df: df, files_per_batch=None)
+        batches.append(last_batch(spark, at("store")))
+    assert batches == [0, 1]
+    assert shown(spark, at("store")) == {(f"f{k}", n) for k in range(2) for n in range(6)}
+
+
+def test_rows_of_a_file_arrive_in_several_parquet_files(spark, at, monkeypatch):
+    for name in ("lineitem", "part"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").repartition(6).write.parquet(at(f"{name}.parquet"))
+    parts = []
+
+    def seen(spark, source, *args, **kwargs):
+        rows = spark.read.parquet(source).select("file", F.col("_metadata.file_path").alias("part"))
+        parts.append(rows.groupBy("file").agg(F.countDistinct("part").alias("n")).agg(F.min("n")).first()[0])
+        return intake(spark, source, *args, **kwargs)
+
+    monkeypatch.setattr(queries, "intake", seen)
+    assert queries.incremental_intake(spark, at("")).count() > 0
+    assert min(parts) > 1

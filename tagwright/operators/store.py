@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagwright import reference_data as R
 from tagwright.functions.dates import duration_days, file_week, iso_year
-from tagwright.functions.text import brand_display, fixed, flag, flag_text, mapped
+from tagwright.functions.text import brand_display, fixed, flag_text, mapped
 from tagwright.operators.ordering import ordinals
 
 
@@ -21,34 +21,34 @@ def discount(rows: DataFrame) -> DataFrame:
 
 def output_rows(rows: DataFrame) -> DataFrame:
     """The 21 text columns. rows: source_file, retailer, country, currency, start, end, date_flags, year_hint, brand, model, category, sub, capacity, rrp, promo, badge, details, page, flags."""
+    # what several texts name is computed once a row, so they are texts and no arrays of flags
     rows = discount(rows)
-    week, tagged = F.weekofyear("start"), file_week(F.col("source_file"))
+    rows = rows.withColumns({"_week": F.weekofyear("start"), "_tagged": file_week(F.col("source_file")), "_shown": fixed(F.col("percent"), 1)})
+    week, tagged, shown = F.col("_week"), F.col("_tagged"), F.col("_shown")
     found = F.col("start").isNotNull() & F.col("end").isNotNull()
     from_name = ~found & tagged.isNotNull() & F.col("year_hint").isNotNull()
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    said = F.array_compact(
-        F.array(
-            F.when(F.col("badge_off"), flag("badge_off", "badge says -", F.col("badge").cast("string"), "% but computed ", fixed(F.col("percent"), 1), "%")),
-            F.when(F.col("promo").isNotNull() & F.col("amount").isNull(), flag("no_regular", "no regular price on leaflet — discount not computable")),
-        )
+    said = (
+        F.when(F.col("badge_off"), F.concat(F.lit("badge says -"), F.col("badge").cast("string"), F.lit("% but computed "), shown, F.lit("%"))),
+        F.when(F.col("promo").isNotNull() & F.col("amount").isNull(), "no regular price on leaflet — discount not computable"),
     )
-    weeks = F.array_compact(
-        F.array(
-            F.when(found & (tagged != week), flag("week_mismatch", "filename says W", two(tagged), " but promo dates on page give W", two(week), " — page dates used")),
-            F.when(from_name, flag("week_from_name", "promo dates not printed — week taken from filename")),
-        )
+    weeks = (
+        F.when(found & (tagged != week), F.concat(F.lit("filename says W"), two(tagged), F.lit(" but promo dates on page give W"), two(week), F.lit(" — page dates used"))),
+        F.when(from_name, "promo dates not printed — week taken from filename"),
     )
+    told = lambda c: F.when(F.size(c) > 0, F.nullif(flag_text(F.col(c)), F.lit("")))
+    notes = F.when(F.col("flags").isNotNull() & F.col("date_flags").isNotNull(), F.concat_ws("; ", told("flags"), *said, told("date_flags"), *weeks))
     week_no = F.when(found, week).when(from_name, tagged)
     year_week = F.when(found, F.concat_ws("-W", iso_year(F.col("start")).cast("string"), two(week))).when(from_name, F.concat_ws("-W", F.col("year_hint").cast("string"), two(tagged)))
     none = F.lit("")
     text = lambda c: F.coalesce(c.cast("string"), none)
-    percent = F.when(F.col("percent").isNotNull(), F.concat(fixed(F.col("percent"), 1), F.lit("%"))).otherwise("")
+    percent = F.when(F.col("percent").isNotNull(), F.concat(shown, F.lit("%"))).otherwise("")
     values = (
         F.col("source_file"), mapped(F.col("retailer"), R.RETAILER_DISPLAY), mapped(F.col("country"), R.COUNTRY_DISPLAY), text(week_no), text(year_week),
         F.coalesce(F.date_format("start", "dd/MM/yyyy"), none), F.coalesce(F.date_format("end", "dd/MM/yyyy"), none), text(duration_days(F.col("start"), F.col("end"))),
         F.coalesce(brand_display(F.col("brand")), none), text(F.col("model")), text(F.col("category")), text(F.col("sub")), text(F.col("capacity")),
         fixed(F.col("rrp"), 3), fixed(F.col("promo"), 3), fixed(F.col("amount"), 3), percent, text(F.col("details")), text(F.col("page")),
-        flag_text(F.concat(F.col("flags"), said, F.col("date_flags"), weeks)), text(F.col("currency")),
+        notes, text(F.col("currency")),
     )
     return rows.select(*[v.alias(h) for v, h in zip(values, R.HEADERS, strict=True)])
 

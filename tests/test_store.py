@@ -99,3 +99,17 @@ def test_output_has_its_columns(spark, tmp_path):
     assert "badge says -20% but computed 30.0%" in r["Notes / Flags"] and "filename says W30" in r["Notes / Flags"]
     writers.write_output(out, str(tmp_path / "o"))
     assert spark.read.csv(str(tmp_path / "o"), header=True).count() == 1
+
+
+def test_notes_are_joined_texts(spark):
+    """Notes are built without arrays of flags (the plan has two, of the flags that are given); blank and missing ones are left out."""
+    given = "array<struct<code:string,detail:string>>"
+    row = spark.sql(f"""SELECT 'a_W07.pdf' AS source_file, 'Emax' AS retailer, 'UAE' AS country, 'AED' AS currency, DATE '2026-01-05' AS start, DATE '2026-01-09' AS `end`,
+     CAST(array(struct('x', ''), struct('y', NULL)) AS {given}) AS date_flags, 2026 AS year_hint, 'LG' AS brand, 'M' AS model, 'REF' AS category, '' AS sub, '' AS capacity,
+     100.0D AS rrp, 80.0D AS promo, 30 AS badge, '' AS details, 1 AS page, CAST(array(struct('o', 'odd')) AS {given}) AS flags""")
+    out = store.output_rows(row)
+    want = "odd; badge says -30% but computed 20.0%; filename says W07 but promo dates on page give W02 — page dates used"
+    assert out.first()["Notes / Flags"] == want
+    assert store.output_rows(row.withColumn("flags", F.lit(None).cast(given))).first()["Notes / Flags"] is None
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "array_compact" not in plan and "badge says -" in plan

@@ -7,8 +7,12 @@ share one partitioning by (file, page).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 from pyspark.sql.window import Window
 
 from tagwright import reference_data as R
@@ -21,6 +25,8 @@ from tagwright.sources.staging import keep
 PAGE = ["file", "page"]
 #: Height of the bands by which numbers, unit words and their marks meet: more than they may be apart.
 CHIP_BAND = 81.0
+#: Pages that are folded at once, times the tokens of the longest.
+FOLD_CELLS = 1 << 20
 
 
 def placed(tokens: DataFrame) -> DataFrame:
@@ -104,8 +110,41 @@ def capacity_chips(tokens: DataFrame) -> DataFrame:
 def price_tokens(tokens: DataFrame, chips: DataFrame) -> DataFrame:
     """Price and percent tokens that are neither financing nor capacity chips."""
     marks = tokens.where(F.col("text").rlike(R.FINANCING))
-    shaped = expand_glued(tokens.join(chips, [*PAGE, "tok_id"], "left_anti")).where(F.col("text").rlike(R.PRICE_TOKEN) | F.col("text").rlike(R.PERCENT_TOKEN))
-    return without_financing(shaped, marks)
+    shaped = expand_glued(tokens).where(F.col("text").rlike(R.PRICE_TOKEN) | F.col("text").rlike(R.PERCENT_TOKEN))  # before the joins, which then move fewer rows
+    return without_financing(shaped.join(chips.select(*PAGE, "tok_id"), [*PAGE, "tok_id"], "left_anti"), marks)
+
+
+def cluster_numbers(xs: np.ndarray, ys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Cluster of each token, its centers given page after page (bounds). A step takes the next token of every page; pages of like length go together."""
+    lengths = np.diff(bounds)
+    out, order, done = np.zeros(len(xs), np.int32), np.argsort(-lengths, kind="stable"), 0
+    while done < len(order) and lengths[order[done]]:
+        longest = int(lengths[order[done]])
+        pages = order[done : done + max(1, FOLD_CELLS // longest)]
+        done += len(pages)
+        begin, n, made = bounds[pages], lengths[pages], np.zeros(len(pages), np.int64)
+        sums = np.zeros((3, len(pages), min(longest + 1, 8)))  # x, y, tokens; the first cluster that is not there yet is 0 / 0, which is near nothing
+        for step in range(longest):
+            here = int(np.searchsorted(-n, -step))
+            at, rows, width = begin[:here] + step, np.arange(here), int(made[:here].max()) + 1
+            if width > sums.shape[2]:
+                sums = np.concatenate([sums, np.zeros_like(sums)], 2)
+            token = np.stack([xs[at], ys[at], np.ones(here)])
+            known = sums[:, :here, :width]
+            with np.errstate(invalid="ignore"):
+                near = (np.abs(token[0][:, None] - known[0] / known[2]) <= R.CLUSTER_DX) & (np.abs(token[1][:, None] - known[1] / known[2]) <= R.CLUSTER_DY)
+            spot = np.where(near.any(1), near.argmax(1), made[:here])
+            made[:here] += spot == made[:here]
+            sums[:, rows, spot] += token
+            out[at] = spot
+    return out
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def _page_clusters(xs: pa.Array, ys: pa.Array) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(xs).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    x, y = (c.flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in (xs, ys))
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(cluster_numbers(x, y, bounds)))
 
 
 def price_clusters(prices: DataFrame) -> DataFrame:
@@ -113,23 +152,8 @@ def price_clusters(prices: DataFrame) -> DataFrame:
     rest = [c for c in prices.columns if c not in PAGE]
     order = ["tok_id", "part", *[c for c in rest if c not in ("tok_id", "part")]]
     pages = prices.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_t"))
-    start = F.struct(F.array().cast("array<struct<x:double,y:double,n:int>>").alias("sums"), F.array().cast("array<int>").alias("numbers"))
-
-    def joined(state: Column, t: Column) -> Column:
-        near = lambda c: (F.abs(t["cx"] - c["x"] / c["n"]) <= R.CLUSTER_DX) & (F.abs(t["cy"] - c["y"] / c["n"]) <= R.CLUSTER_DY)
-        one = F.struct(t["cx"].alias("x"), t["cy"].alias("y"), F.lit(1).alias("n"))
-        more = lambda c: F.struct((c["x"] + t["cx"]).alias("x"), (c["y"] + t["cy"]).alias("y"), (c["n"] + 1).alias("n"))
-
-        def put(at: Column) -> Column:
-            """at: number of the cluster that is met, from 1; 0 for none."""
-            met = F.transform(state["sums"], lambda c, k: F.when(k + 1 == at, more(c)).otherwise(c))
-            sums = F.when(at > 0, met).otherwise(F.concat(state["sums"], F.array(one)))
-            number = F.when(at > 0, at - 1).otherwise(F.size(state["sums"])).cast("int")
-            return F.struct(sums.alias("sums"), F.concat(state["numbers"], F.array(number)).alias("numbers"))
-
-        return bound(F.array_position(F.transform(state["sums"], near), True), put)
-
-    folded = pages.withColumn("_n", F.aggregate("_t", start, joined, lambda state: state["numbers"]))
+    center = lambda c: F.transform("_t", lambda t: t[c].cast("double"))
+    folded = pages.withColumn("_n", _page_clusters(center("cx"), center("cy")))
     found = folded.select(*PAGE, F.explode(F.arrays_zip("_t", "_n")).alias("_z")).select(*PAGE, "_z._t.*", F.col("_z._n").alias("cluster"))
     return found.select(*prices.columns, "cluster").withColumn("price", price_value(F.col("text")))
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright.functions.text import flag_text
+from tagwright.operators import linkage
 from tagwright.operators.catalog import clean_catalog, code_metadata
 from tagwright.operators.linkage import expand_glued, extract_rows
 from tagwright.operators.matching import match
@@ -156,3 +157,31 @@ def test_rows_without_a_code_are_no_single_key_of_the_metadata(spark):
             spark.conf.unset(key)
     assert len(got) == 400 and {(r.matched_code, r.brand) for r in got} == {(None, None), ("S0", "a"), ("S4", "d")}
     assert len({r.at for r in got if r.matched_code is None}) == 4
+
+
+def test_page_tokens_are_the_boxes(spark):
+    """Also where the catalog has a key twice."""
+    boxes = queries._boxes(spark, SF_DIR).join(queries.view(spark, SF_DIR, "catalog_raw").select("ord", "code_raw"), F.expr("kind = 'code' and val = ord"), "left")
+    words = F.expr("case kind when 'code' then code_raw when 'was' then 'D' || val when 'now' then '' || val when 'chip' then '' || val when 'unit' then if(val = 1, 'KG', 'LITRES') when 'member' then 'DG MEMBER' else 'tabby' end")
+    order = F.expr("slot * 10 + array_position(array('code', 'was', 'now', 'chip', 'unit', 'member', 'fin'), kind)")
+    want = boxes.select(F.col("page").cast("int"), order.alias("tok_id"), words.alias("text"), "conf", (F.col("cx") - 30).alias("x0"), (F.col("cy") - 15).alias("y0"))
+    got = queries.page_tokens(spark, SF_DIR).select(want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_pages_fold_as_one_by_one():
+    """Against the fold written token by token; pages of no, one and many tokens, and a token without a center."""
+    random = np.random.default_rng(7)
+    lengths = [0, 1, 300, 2, 0, 40, 41]
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    xs, ys = random.integers(0, 4000, bounds[-1]).astype(float), random.integers(0, 3000, bounds[-1]).astype(float)
+    xs[5] = np.nan
+    want = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        clusters = []
+        for x, y in zip(xs[a:b], ys[a:b], strict=True):
+            near = [i for i, (sx, sy, n) in enumerate(clusters) if abs(x - sx / n) <= linkage.R.CLUSTER_DX and abs(y - sy / n) <= linkage.R.CLUSTER_DY]
+            at = near[0] if near else len(clusters)
+            clusters[at:] = [(clusters[at][0] + x, clusters[at][1] + y, clusters[at][2] + 1), *clusters[at + 1 :]] if near else [(x, y, 1)]
+            want.append(at)
+    assert linkage.cluster_numbers(xs, ys, bounds).tolist() == want

@@ -13,6 +13,7 @@ from tagwright.operators.linkage import expand_glued, extract_rows
 from tagwright.operators.matching import match
 from tagwright.operators.similarity import Block
 from tagwright.plans import queries
+from tagwright.sources.staging import keep
 from tests.oracle import SF_DIR
 
 CATALOG = [
@@ -185,3 +186,16 @@ def test_pages_fold_as_one_by_one():
             clusters[at:] = [(clusters[at][0] + x, clusters[at][1] + y, clusters[at][2] + 1), *clusters[at + 1 :]] if near else [(x, y, 1)]
             want.append(at)
     assert linkage.cluster_numbers(xs, ys, bounds).tolist() == want
+
+
+def test_only_tokens_with_codes_are_joined(spark, catalog, monkeypatch):
+    """Words are made once and written; what is written has no token without a word like a code."""
+    written = {}
+
+    def kept(df, name):
+        written[name] = keep(df, name)
+        return written[name]
+
+    monkeypatch.setattr(linkage, "keep", kept)
+    linkage.model_codes(linkage.placed(tokens_of(spark, PAGES)), catalog).collect()
+    assert {r.tok_id for r in written["page-words"].where("file = 'badge'").select("tok_id").collect()} == {1, 3, 4}

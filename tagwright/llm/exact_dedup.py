@@ -3,8 +3,8 @@
 The index lies in a folder and outlives the call. Its runs hold digest, smallest
 id and number of rows.
 
-1. Flush: each task is a memtable. It writes the digests of its rows as a sorted
-   file of level 0; nothing is shuffled.
+1. Flush: each task is a memtable. It writes the digests of its rows as a file
+   of level 0; nothing is shuffled.
 2. Compaction: the files of a flush merge into one run of level 1, smallest id
    and count per digest; Spark combines copies before the shuffle, so a hot
    digest sends one row per task. FAN_IN runs of a level merge into one of the
@@ -30,6 +30,8 @@ from tagwright.llm.common import bit_words, file_system, filter_bits, hub_join,
 
 #: Runs of a level that merge into one of the next.
 FAN_IN = 4
+#: Parts by which an index of one call is filled: FAN_IN of them are compacted, the last is looked up in what they gave.
+PARTS = FAN_IN + 1
 RUN = "digest binary, keep_id long, n_rows long"
 
 
@@ -74,8 +76,8 @@ def _merge(rows: DataFrame, root: str, level: int, batches: list[str]) -> dict:
 
 
 def flush(docs: DataFrame) -> DataFrame:
-    """doc_id, sha of the rows of docs: a sorted file of each task."""
-    return keep(docs.select("doc_id", _sha(normalised()).alias("sha")).sortWithinPartitions("sha", "doc_id"), "dedup-flush")
+    """doc_id, sha of the rows of docs: a file of each task."""
+    return keep(docs.select("doc_id", _sha(normalised()).alias("sha")), "dedup-flush")
 
 
 def insert(flushed: DataFrame, root: str, digest_bits: int = 256, batch: str | None = None) -> tuple[dict, bool]:
@@ -129,6 +131,18 @@ def totals(spark: SparkSession, root: str, digests: DataFrame, others: list[dict
     return reduce(DataFrame.unionByName, found).groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n_rows").alias("n_rows")) if others else found[0]
 
 
+def shared(spark: SparkSession, root: str) -> DataFrame:
+    """digest, n_rows (2 or more) of the digests that have several rows over the live runs: in one of them, or in two, where the filter of the larger lets those of the smaller pass."""
+    live = sorted(runs(spark, root), key=lambda r: r["n_rows"])
+    found = [read_run(spark, root, r["run"]).where("n_rows > 1").select("digest") for r in live]
+    for k, small in enumerate(live):
+        for large in live[k + 1 :]:
+            words = spark.read.schema("word long, bits long").parquet(f"{root}/filters/{large['run']}")
+            maybe = passing(read_run(spark, root, small["run"]), words, "digest", large["bits"]).select("digest")
+            found.append(read_run(spark, root, large["run"]).select("digest").join(maybe, "digest", "left_semi"))
+    return reduce(DataFrame.unionByName, found).distinct().withColumn("n_rows", F.lit(2).cast("long"))
+
+
 def lookup(spark: SparkSession, root: str, digests: list[bytes]) -> DataFrame:
     """Runs' rows of a few digests. As runs are in order, Parquet's bounds leave one row group of each run to read."""
     live = [read_run(spark, root, r["run"]).where(F.col("digest").isin(digests)) for r in runs(spark, root)]
@@ -172,8 +186,9 @@ def classified(docs: DataFrame, flushed: DataFrame, hits: DataFrame, earlier: Da
 def exact_dedup(docs: DataFrame, digest_bits: int = 256, root: str | None = None, earlier: DataFrame | None = None, batch: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
-    root: an index that earlier batches have filled, by default a new one; docs
-    are added to it, and keep_id and group_size count the earlier documents too.
+    root: an index that earlier batches have filled; docs are added to it, and
+    keep_id and group_size count the earlier documents too. By default a new one,
+    which docs fill part by part, with compaction on the way.
     earlier: those documents, of which the texts that docs may equal are compared.
     batch: a name of docs; a call that failed can be made again with it and counts docs once.
     digest_bits below 256 makes digests collide, which costs time and changes
@@ -186,6 +201,12 @@ def exact_dedup(docs: DataFrame, digest_bits: int = 256, root: str | None = None
     gives an empty result.
     """
     spark = docs.sparkSession
+    if root is None and earlier is None:
+        root, flushed = new_path(spark, "dedup-index"), flush(docs)
+        for part in range(PARTS):
+            insert(flushed.where(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) == part), root, digest_bits)
+            compact(spark, root)
+        return classified(docs, flushed, shared(spark, root), None, digest_bits)
     root = root or new_path(spark, "dedup-index")
     older = runs(spark, root)
     if any(r["batches"] != [batch] for r in older) and earlier is None:

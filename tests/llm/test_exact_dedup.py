@@ -78,3 +78,24 @@ def test_a_call_that_is_made_again_counts_its_batch_once(spark, monkeypatch):
     assert merged["batches"] == ["one", "two"] and exact_dedup.vacuum(spark, again) >= 4
     digests = [bytes(r.digest) for r in exact_dedup.read_run(spark, again, merged["run"]).collect()]
     assert digests == sorted(set(digests)) and exact_dedup.read_run(spark, again, merged["run"]).agg(F.sum("n_rows")).first()[0] == 80
+
+
+def test_an_index_of_one_call_is_compacted_and_looked_up(spark, monkeypatch):
+    """Copies are found in runs that were compacted and by look-ups in filters; without compaction there are five runs, without filters copies are missed."""
+    docs = spark.range(200, numPartitions=3).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 100).cast("string")).alias("text"))
+    want = {(k, k % 100, 2, k < 100) for k in range(200)}
+    shown = lambda: {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs).collect()}
+    levels, shared = [], exact_dedup.shared
+
+    def seen(spark, root):
+        levels.extend(sorted(r["level"] for r in exact_dedup.runs(spark, root)))
+        return shared(spark, root)
+
+    monkeypatch.setattr(exact_dedup, "shared", seen)
+    assert shown() == want and levels == [1, 2]
+    with monkeypatch.context() as m:
+        m.setattr(exact_dedup, "compact", lambda *args: None)
+        assert shown() == want and levels[2:] == [1] * 5
+    with monkeypatch.context() as m:
+        m.setattr(exact_dedup, "passing", lambda rows, words, key, bits, how=True: rows.where(F.lit(not how)))
+        assert shown() != want

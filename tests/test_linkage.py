@@ -161,7 +161,7 @@ def test_rows_without_a_code_are_no_single_key_of_the_metadata(spark):
 
 
 def test_page_tokens_are_the_boxes(spark):
-    """Also where the catalog has a key twice."""
+    """One explode a tile gives the rows of the view box_obs."""
     boxes = queries._boxes(spark, SF_DIR).join(queries.view(spark, SF_DIR, "catalog_raw").select("ord", "code_raw"), F.expr("kind = 'code' and val = ord"), "left")
     words = F.expr("case kind when 'code' then code_raw when 'was' then 'D' || val when 'now' then '' || val when 'chip' then '' || val when 'unit' then if(val = 1, 'KG', 'LITRES') when 'member' then 'DG MEMBER' else 'tabby' end")
     order = F.expr("slot * 10 + array_position(array('code', 'was', 'now', 'chip', 'unit', 'member', 'fin'), kind)")

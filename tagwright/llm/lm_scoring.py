@@ -2,18 +2,19 @@
 
 Symbols are words (and one end a text). The root holds the counts of all words
 of the training texts. A deeper state is a context of one to max_depth words that
-makes up at least context_share of the training tokens and passes a divergence
-test against its longest retained suffix. Its next-symbol distribution keeps the
-symbols whose joint share is at least joint_share, discounted, and backs off to
-that suffix for the rest. The root's counts grow with the corpus and are joined by
-a shuffle, once for each rare word of a text.
-
-The shares are the resolution of the deeper tree, and its bound: 1 / share entries
-a depth, so that it can be broadcast. What it loses: a context or a continuation
-that is rarer is scored by its suffix, however often it occurs. The scores stay
-log-probabilities of a distribution that sums to one. Smaller shares lose less
-and take more memory in each task (some 16 bytes an entry).
-
+passes a divergence test against its longest retained suffix. Its next-symbol
+distribution keeps the symbols that followed it at least LEAST_COUNT times,
+discounted, and backs off to that suffix for the rest.
+
+The tree grows with the corpus and is never in one place. Contexts are light or
+heavy. A light one has fewer than HEAVY training tokens behind it (or than
+HEAVY_SHARE of all, if that is more): the tokens behind it are dealt to one task by its hash, which counts the subtree below it (longer
+contexts that end alike), tests its states and scores those tokens at once.
+Heavy contexts, of which there are at most 1 / HEAVY_SHARE a depth, are counted by
+aggregation. Their entries are a table, of which the LOOKUPS most frequent at most
+are broadcast; texts ask for the rest, as for rare words, by a join.
+
+Shares are arguments and zero by default: a state then needs no share of the corpus.
 Words are identified by 64-bit hashes.
 """
 
@@ -27,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.arrays import range_hashes, slices, words
-from tagwright.llm.common import bit_words, filter_bits, hub_join, keep, passing
+from tagwright.llm.arrays import mixed, range_hashes, slices, words
+from tagwright.llm.common import bit_words, discard, filter_bits, hub_join, keep, passing
 
-#: Defaults of the arguments of the same names.
+#: Default of the argument of the same name, and learn's shares.
 MAX_DEPTH = 3
 CONTEXT_SHARE = 1e-5
 JOINT_SHARE = 1e-6
@@ -42,6 +43,12 @@ GAIN = 2.0
 END = np.uint64(0x5D1C0FFEE)
 #: Partial counts that a task holds before it passes them on.
 HELD = 1 << 20
+#: Training tokens behind a heavy context, at least, and the share of all that is taken if it is more.
+HEAVY, HEAVY_SHARE = 1 << 17, 1e-5
+#: Words, and entries of heavy contexts, that are broadcast at most.
+LOOKUPS = 1 << 20
+#: Training tokens of a group of light contexts, on average, and tokens that a task deals at a time.
+GROUP, PIECE = 1 << 18, 1 << 20
 
 
 class Tree(NamedTuple):
@@ -195,13 +202,21 @@ def _level(tree: Tree, table: pa.Table, depth: int, context_counts: dict[str, np
     return {"states": states[retained], "log_back": np.log10(back[retained]), "entries": keys[order], "log_p": np.log10(p[rows][order])}
 
 
-def learn(docs: DataFrame, max_depth: int = MAX_DEPTH, context_share: float = CONTEXT_SHARE, joint_share: float = JOINT_SHARE) -> tuple[Tree, DataFrame]:
-    """The tree of all texts of docs, and the root's counts as a table (symbol, n)."""
-    context = docs.sparkSession.sparkContext
+def root_counts(docs: DataFrame) -> tuple[DataFrame, int, int, float]:
+    """symbol, n of all texts, written; their sum and number, and the root's discount."""
     counts = keep(symbol_counts(docs), "symbol-counts")
     stats = counts.agg(F.sum("n"), F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
     total, distinct, once, twice = (int(x or 0) for x in stats)
-    discount = once / (once + 2 * twice) if once else 0.5
+    return counts, total, distinct, once / (once + 2 * twice) if once else 0.5
+
+
+def learn(docs: DataFrame, max_depth: int = MAX_DEPTH, context_share: float = CONTEXT_SHARE, joint_share: float = JOINT_SHARE) -> tuple[Tree, DataFrame]:
+    """The part of the tree above the shares as arrays, and the root's counts as a table (symbol, n).
+
+    It is for looking at the frequent states; lm_scores does not use it and has no such bound.
+    """
+    context = docs.sparkSession.sparkContext
+    counts, total, distinct, discount = root_counts(docs)
     frequent = counts.where(F.col("n") >= joint_share * total).toArrow()  # at most 1 / joint_share rows
     order = np.argsort(frequent.column("symbol").to_numpy().view(np.uint64))
     alphabet = frequent.column("symbol").to_numpy().view(np.uint64)[order]
@@ -224,77 +239,428 @@ def learn(docs: DataFrame, max_depth: int = MAX_DEPTH, context_share: float = CO
     return tree, counts
 
 
-def scored(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of docs (doc_id, held_out, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+class Heavy(NamedTuple):
+    """Sorted contexts of one depth with many training tokens behind them (seen), and their states."""
+
+    contexts: np.ndarray
+    seen: np.ndarray
+    retained: np.ndarray
+    log_back: np.ndarray
+
+
+class Shared(NamedTuple):
+    """What every task holds. root: the frequent words; rank: their numbers by frequency; keys, n: the most frequent entries of heavy states."""
+
+    root: Tree
+    rank: np.ndarray
+    heavy: list[Heavy]
+    keys: np.ndarray
+    n: np.ndarray
+    least: float
+    often: float
+
+
+def _at_least(counts: DataFrame, most: int) -> int:
+    """A power of two that at most so many n of counts reach."""
+    classes = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).count().collect()
+    taken, least = 0, 1 << (max((r.k for r in classes), default=0) + 1)
+    for k, found in sorted(((r.k, r["count"]) for r in classes), reverse=True):
+        taken += found
+        if taken > most:
+            break
+        least = 1 << k
+    return least
+
+
+def _sorted(table: pa.Table, key: str, n: str = "n") -> tuple[np.ndarray, np.ndarray]:
+    keys = table.column(key).to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], table.column(n).to_numpy()[order]
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column, and where each row's begin (with the end)."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = column.flatten()
+    return values, np.concatenate(([0], np.cumsum(lengths)))
+
+
+def encoded(docs: DataFrame, shared) -> DataFrame:
+    """row, doc_id, held_out, ids (a number a frequent word, -1 for others), rare (the others' hashes), written."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        root, rank = shared.value.root, shared.value.rank
         for batch in slices(batches, "text"):
-            n, text = batch.num_rows, symbols(batch.column("text"))
-            at, frequent = find(tree.alphabet, text.symbols)
-            count = np.where(frequent, tree.counts[at] if len(tree.counts) else 0, 0)
-            root = np.where(frequent, tree.known(np.maximum(count, 1)) if tree.total else 0.0, 0.0)
-            contexts, has = [], []
-            for depth in range(1, len(tree.levels) + 1):
-                where, hashes = text.context(depth)
-                context, there = np.zeros(len(text.symbols), np.uint64), np.zeros(len(text.symbols), bool)
-                context[where], there[where] = hashes, True
-                contexts.append(context)
-                has.append(there)
-            log_p = log_probability(tree, text.symbols, contexts, has, root)
-            sums = [np.bincount(text.document, x, n) for x in (log_p, np.where(frequent, tree.base(count), 0.0))]
-            rare, mine = text.symbols[~frequent], text.document[~frequent]
-            bounds = np.searchsorted(mine, np.arange(n + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(np.bincount(text.document, minlength=n)),
-                    pa.array(np.bincount(text.document, frequent, n).astype(np.int64)),
-                    pa.array(sums[1]),
-                    pa.array(sums[0]),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(rare.view(np.int64))),
-                ],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"],
-            )
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>"
-    local = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.col("text").cast("string").alias("text")).mapInArrow(rows, schema)
-    local = keep(local.withColumn("row", F.monotonically_increasing_id()), "scored-frequent")
-    spots = local.select("row", F.explode("rare").alias("symbol"))
-    total = max(tree.total, 1)
-    known = keep(counts.where(F.col("n") < tree.joint_share * tree.total), "rare-words")
-    # words that training has never seen stay where they are: they all score alike
-    bits = filter_bits(known.count())
-    near = passing(spots, keep(bit_words(known, "symbol", bits), "rare-filter"), "symbol", bits)
-    met = keep(near.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).join(known, "symbol"), "rare-met")
-    base = lambda c: F.log10((c + 0.5) / (tree.total + 0.5 * (tree.distinct + 1)))
-    rare = (
-        hub_join(near, met, "symbol")
-        .groupBy("row")
-        .agg(F.count(F.lit(1)).alias("more_known"), F.sum(base(F.col("n"))).alias("more_base"), F.sum(F.log10(F.greatest(F.col("n") - tree.discount, F.lit(1e-9)) / total)).alias("more"))
-    )
-    unseen = F.size("rare") - F.coalesce("more_known", F.lit(0))
-    nothing = F.lit(0)
-    return local.join(rare, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", nothing)).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more_base", nothing) + unseen * base(F.lit(0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more", nothing) + unseen * tree.unknown()).alias("score"),
-    )
-
-
-def lm_scores(docs: DataFrame, held_out: Column, max_depth: int = MAX_DEPTH, context_share: float = CONTEXT_SHARE, joint_share: float = JOINT_SHARE) -> DataFrame:
+            text = symbols(batch.column("text"))
+            at, frequent = find(root.alphabet, text.symbols)
+            ids = np.where(frequent, rank[at] if len(rank) else 0, -1).astype(np.int32)
+            edges = np.arange(batch.num_rows + 1)
+            rare = text.symbols[~frequent].view(np.int64)
+            columns = [_lists(np.searchsorted(text.document, edges), ids), _lists(np.searchsorted(text.document[~frequent], edges), rare)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *columns], ["doc_id", "held_out", "ids", "rare"])
+
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.col("text").cast("string").alias("text"))
+    out = docs.mapInArrow(rows, "doc_id long, held_out boolean, ids array<int>, rare array<long>")
+    return keep(out.withColumn("row", F.monotonically_increasing_id()), "encoded")
+
+
+def pieces(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[tuple[pa.RecordBatch, Text, np.ndarray]]:
+    """Some documents, their text, and the number of each word (-1: rare), about PIECE words at a time."""
+    by_rank = np.empty(len(shared.rank), np.uint64)
+    by_rank[shared.rank] = shared.root.alphabet
+    for whole in batches:
+        bounds = np.concatenate(([0], np.cumsum(whole.column("ids").value_lengths().to_numpy(zero_copy_only=False))))
+        at = 0
+        while at < whole.num_rows:
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PIECE, side="right")) - 1)
+            batch, at = whole.slice(at, to - at), to
+            ids, edges = _flat(batch.column("ids"))
+            ids = ids.to_numpy()
+            words = by_rank[ids] if len(by_rank) else np.zeros(len(ids), np.uint64)
+            words[ids < 0] = _flat(batch.column("rare"))[0].to_numpy().view(np.uint64)
+            document = np.repeat(np.arange(batch.num_rows), np.diff(edges))
+            yield batch, Text(words, document, np.arange(len(words)) - edges[:-1][document]), ids
+
+
+def heavy_entries(train: DataFrame, shared, contexts, depth: int) -> DataFrame:
+    """context, before (key of the entry one word shorter), symbol, key, whole (hash of context and symbol), n of the contexts given."""
+    names = ["context", "before", "symbol", "key", "whole"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, text, _ in pieces(batches, shared.value):
+            at, context = text.context(depth)
+            chosen = find(contexts.value, context)[1]
+            at, context = at[chosen], context[chosen]
+            symbol = text.symbols[at]
+            key, first, n = np.unique(joined(context, symbol), return_index=True, return_counts=True)
+            at, context, symbol = at[first], context[first], symbol[first]
+            before = joined(range_hashes(text.symbols, at - depth + 1, at), symbol) if depth > 1 else symbol
+            columns = [context, before, symbol, key, range_hashes(text.symbols, at - depth, at + 1)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in columns), pa.array(n.astype(np.int64))], [*names, "n"])
+
+    counted = train.mapInArrow(rows, ", ".join(f"{x} long" for x in [*names, "n"]))
+    return counted.groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def heavy_states(train: DataFrame, counts: DataFrame, shared, max_depth: int) -> tuple[list[Heavy], DataFrame | None]:
+    """States of heavy contexts by depth, and the entries (key, n) of those that are retained."""
+    spark, root, least, often = train.sparkSession, shared.value.root, shared.value.least, shared.value.often
+    most = max(HEAVY, int(HEAVY_SHARE * root.total))
+    end = int(np.array([END]).view(np.int64)[0])
+    contexts = counts.where((F.col("n") >= most) & (F.col("symbol") != end)).toArrow()  # at most 1 / HEAVY_SHARE rows, here and below
+    words, seen = _sorted(contexts, "symbol")
+    hashes = range_hashes(words, np.arange(len(words)), np.arange(len(words)) + 1)
+    order = np.argsort(hashes)
+    hashes, seen = hashes[order], seen[order]
+    chains = counts.select(F.col("symbol").alias("before"), F.log10(F.greatest(F.col("n") - root.discount, F.lit(1e-9)) / max(root.total, 1)).alias("chain"))
+    levels, entries, tables = [], None, []
+    for depth in range(1, max_depth + 1):
+        if not len(hashes):
+            break
+        level = heavy_entries(train, shared, spark.sparkContext.broadcast(hashes), depth).where(F.col("n") >= least)
+        level = keep(level.join(chains, "before").drop("before"), "heavy-entries")
+        tables.append(level)
+        sizes = F.broadcast(spark.createDataFrame(pa.table({"context": hashes.view(np.int64), "seen": seen})))
+        p = F.greatest(F.col("n") - DISCOUNT, F.lit(1e-9)) / F.col("seen")
+        parent = F.pow(F.lit(10.0), F.col("chain"))
+        sums = [F.first("seen").alias("seen"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("kept"), F.sum(p).alias("mass"), F.sum(parent).alias("parent"), F.sum(F.col("n") * F.log(p / parent)).alias("gain")]
+        table = level.join(sizes, "context").groupBy("context").agg(*sums).toArrow()
+        column = lambda name: table.column(name).to_numpy()
+        back = np.maximum(1 - column("mass"), 1e-9) / np.maximum(1 - column("parent"), 1e-9)
+        gain = column("gain") + (column("seen") - column("n")) * np.log(back)
+        at, _ = find(hashes, column("context").view(np.uint64))
+        retained, log_back = np.zeros(len(hashes), bool), np.zeros(len(hashes))
+        retained[at], log_back[at] = (gain >= GAIN * column("kept")) & (column("seen") >= often), np.log10(back)
+        levels.append(Heavy(hashes, seen, retained, log_back))
+        states = F.broadcast(spark.createDataFrame(pa.table({"context": hashes.view(np.int64), "seen": seen, "retained": retained})))
+        level = level.join(states, "context")
+        chains = level.select(F.col("key").alias("before"), F.when(F.col("retained"), F.log10(p)).otherwise(F.col("chain")).alias("chain"))
+        found = level.where("retained").select("key", "n")
+        entries = found if entries is None else entries.unionByName(found)
+        hashes, seen = _sorted(level.where((F.col("n") >= most) & (F.col("symbol") != end)).select("whole", "n").toArrow(), "whole")
+    if entries is not None:
+        entries = keep(entries, "heavy-lookups")
+        discard(*tables)
+    return levels, entries
+
+
+def heavy_walk(text: Text, shared: Shared) -> Iterator[tuple[Heavy, np.ndarray, np.ndarray, np.ndarray]]:
+    """By depth: the heavy contexts, tokens behind one of them, its place, and the key of the entry. Last of all comes what heavy contexts are left of."""
+    at = np.arange(len(text.symbols))
+    for depth, heavy in enumerate(shared.heavy, 1):
+        at = at[text.place[at] >= depth]
+        context = range_hashes(text.symbols, at - depth, at)
+        state, found = find(heavy.contexts, context)
+        at, state, context = at[found], state[found], context[found]
+        yield heavy, at, state, joined(context, text.symbols[at])
+
+
+def asked(docs: DataFrame, shared) -> DataFrame:
+    """row, key: the rare words of each text, and its entries of retained heavy states that are not broadcast."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, text, ids in pieces(batches, shared.value):
+            keys, documents = [text.symbols[ids < 0]], [text.document[ids < 0]]
+            for heavy, at, state, key in heavy_walk(text, shared.value):
+                open_ = heavy.retained[state] & ~find(shared.value.keys, key)[1]
+                keys.append(key[open_])
+                documents.append(text.document[at[open_]])
+            keys, documents = np.concatenate(keys), np.concatenate(documents)
+            order = np.lexsort((keys, documents))
+            keys, documents = keys[order], documents[order]
+            first = np.ones(len(keys), bool)
+            first[1:] = (keys[1:] != keys[:-1]) | (documents[1:] != documents[:-1])
+            row = batch.column("row").to_numpy()[documents[first]]
+            for i in range(0, len(row), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(row[i : i + (1 << 17)]), pa.array(keys[first][i : i + (1 << 17)].view(np.int64))], ["row", "key"])
+
+    return docs.select("row", "ids", "rare").mapInArrow(rows, "row long, key long")
+
+
+def answered(docs: DataFrame, facts: DataFrame, shared) -> DataFrame:
+    """docs with answers (key, n of facts) to what their texts ask for, written. docs and facts are deleted, and Spark's shuffles of what has been written."""
+    bits = filter_bits(facts.count())
+    near = passing(asked(docs, shared), keep(bit_words(facts, "key", bits), "asked-filter"), "key", bits)
+    near = keep(near, "asked")
+    met = keep(near.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).join(facts, "key"), "asked-met")
+    answers = hub_join(near, met, "key").groupBy("row").agg(F.collect_list(F.struct("key", "n")).alias("answers"))
+    out = keep(docs.join(answers, "row", "left"), "answered")
+    discard(docs, facts, near, met)
+    docs.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+#: Columns of a block, 8 bytes each: next symbol, log10 of its probability so far (OF_ROOT: what the root gives to a frequent word), row, the words before it from the last.
+_FIXED = 3
+OF_ROOT = 1.0
+#: Stands for next symbols that are too rare to be kept in any state.
+NONE = np.uint64(1 << 63)
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of one of each different key, and the number of each key among these."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = np.diff(keys[order]) != 0
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
+
+
+def _packed(columns: list[np.ndarray], marks: np.ndarray) -> bytes:
+    """Equal columns byte by byte, so that their like bytes lie together, compressed."""
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T) for x in columns]
+    return pa.compress(b"".join([*(x.tobytes() for x in planes), marks.tobytes()]), "zstd", asbytes=True)
+
+
+def _unpacked(block: bytes, size: int, n_columns: int) -> tuple[list[np.ndarray], np.ndarray]:
+    data = np.frombuffer(pa.decompress(block, size * (8 * n_columns + 1), "zstd", asbytes=True), np.uint8)
+    planes = data[: size * 8 * n_columns].reshape(n_columns, 8, size)
+    return [np.ascontiguousarray(x.T).reshape(-1).view(np.uint64) for x in planes], data[size * 8 * n_columns :]
+
+
+def dealt(docs: DataFrame, shared, max_depth: int, groups: int) -> DataFrame:
+    """What texts score by the root and heavy states, a row each, and their tokens behind light contexts as blocks (size, block) by group."""
+    names = ["group", "size", "block", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    schema = ", ".join(f"{n} {'binary' if t == pa.binary() else 'boolean' if t == pa.bool_() else 'double' if t == pa.float64() else 'long'}" for n, t in zip(names, types, strict=True))
+
+    def record(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[x].cast(t) if x in columns else pa.nulls(n, t) for x, t in zip(names, types, strict=True)], names)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        root, ranked = known.root, np.empty(len(known.rank), np.int64)
+        ranked[known.rank] = root.counts
+        for batch, text, ids in pieces(batches, known):
+            n, frequent = batch.num_rows, ids >= 0
+            told = _flat(batch.column("answers"))[0]
+            told_keys, first = np.unique(told.field("key").to_numpy().view(np.uint64), return_index=True)
+            told_n = told.field("n").to_numpy()[first]
+
+            def told_of(keys, told_keys=told_keys, told_n=told_n):
+                at, found = find(told_keys, keys)
+                return np.where(found, told_n[at] if len(told_n) else 0, 0)
+
+            count = np.where(frequent, ranked[ids] if len(ranked) else 0, 0)
+            count[~frequent] = told_of(text.symbols[~frequent])
+            chain = np.where(count > 0, root.known(np.maximum(count, 1)), root.unknown()) if root.total else np.zeros(len(count))
+            depth, light = np.ones(len(count), np.uint8), text.place >= 1
+            for level, (heavy, at, state, key) in enumerate(heavy_walk(text, known), 1):
+                where, there = find(known.keys, key)
+                n_entry = np.where(there, known.n[where] if len(known.n) else 0, 0)
+                n_entry[~there] = told_of(key[~there])
+                log_p = np.log10(np.maximum(n_entry - DISCOUNT, 1e-9) / heavy.seen[state])
+                chain[at] = np.where(heavy.retained[state], np.where(n_entry >= known.least, log_p, chain[at] + heavy.log_back[state]), chain[at])
+                depth[at] = level + 1
+                light[at] = (text.place[at] > level) & (level < max_depth)
+            row = batch.column("row").to_numpy()
+            total = {
+                "row": batch.column("row"),
+                "group": pa.array(row % groups),
+                "doc_id": batch.column("doc_id"),
+                "held_out": batch.column("held_out"),
+                "n_tokens": pa.array(np.bincount(text.document, minlength=n)),
+                "n_known": pa.array(np.bincount(text.document, count > 0, n).astype(np.int64)),
+                "base_score": pa.array(np.bincount(text.document, root.base(count), n)),
+                "score": pa.array(np.bincount(text.document, chain, n)),
+            }
+            yield record(total, n)
+            # a word that is rarer than any entry ends what a light context can reach back to
+            rare = count < known.least
+            barrier = np.maximum.accumulate(np.where(rare, np.arange(len(rare)), -1))
+            reach = np.minimum(text.place, max_depth)
+            reach[1:] = np.minimum(reach[1:], np.arange(len(rare) - 1) - barrier[:-1])
+            at = np.flatnonzero(light & (reach >= depth))
+            group = (range_hashes(text.symbols, at - depth[at], at) % np.uint64(groups)).astype(np.int64)
+            code = np.where(rare, NONE, np.where(frequent, ids.astype(np.uint64), text.symbols | NONE))
+            low = np.uint64((1 << 20) - 1)
+            order = np.argsort((group.astype(np.uint64) << np.uint64(40)) | ((code[at - 1] & low) << np.uint64(20)) | (code[at] & low))
+            at, group = at[order], group[order]
+            held = batch.column("held_out").to_numpy(zero_copy_only=False)[text.document[at]]
+            reach = reach[at].astype(np.uint8)
+            marks = (held.astype(np.uint8) << np.uint8(7)) | (reach << np.uint8(3)) | depth[at]
+            words = [np.where(reach >= d, code[np.maximum(at - d, 0)], np.uint64(0)) for d in range(1, max_depth + 1)]
+            chain = np.where((depth == 1) & frequent & ~rare, OF_ROOT, chain)
+            columns = [code[at], chain[at].view(np.uint64), row[text.document[at]].view(np.uint64), *words]
+            starts = np.flatnonzero(np.diff(group, prepend=-1))
+            ends = np.append(starts[1:], len(at))
+            for i in range(0, len(starts), 512):
+                spans = list(zip(starts[i : i + 512], ends[i : i + 512], strict=True))
+                blocks = [_packed([x[a:b] for x in columns], marks[a:b]) for a, b in spans]
+                yield record({"group": pa.array(group[starts[i : i + 512]]), "size": pa.array([b - a for a, b in spans]), "block": pa.array(blocks, pa.binary())}, len(blocks))
+
+    return docs.mapInArrow(rows, schema)
+
+
+def light_gains(columns: list[np.ndarray], marks: np.ndarray, shared: Shared, by_root: np.ndarray) -> np.ndarray:
+    """What each token of a group gains over its heavy states by the states of light contexts, which are all here. by_root: log10 of frequent words' probability."""
+    symbol, start, words = columns[0], columns[1].view(np.float64).copy(), columns[_FIXED:]
+    least, often = shared.least, shared.often
+    of_root = start == OF_ROOT
+    start[of_root] = by_root[symbol[of_root].astype(np.int64)]
+    taught, reach, first = (marks >> 7) == 0, (marks >> 3) & 15, marks & 7
+    chain, key = start.copy(), np.zeros(len(symbol), np.uint64)
+    grown = np.ones(len(symbol), bool)  # tokens whose shorter context has entries
+    for depth, word in enumerate(words, 1):
+        key = mixed(joined(key, mixed(word + np.uint64(depth))))
+        at = np.flatnonzero(grown & (reach >= depth) & (first <= depth))
+        context, of = grouped(key[at])
+        size = len(context)
+        seen = np.bincount(of, taught[at], size)
+        counted = (seen[of] >= least) & (symbol[at] != NONE)
+        some, of_some = at[counted], of[counted]
+        place, entry = grouped(joined(key[some], mixed(symbol[some])))
+        n = np.bincount(entry, taught[some], len(place))
+        kept = np.flatnonzero(n >= least)
+        mine, n_kept = of_some[place[kept]], n[kept]
+        p = np.maximum(n_kept - DISCOUNT, 1e-9) / seen[mine]
+        parent = 10 ** chain[some[place[kept]]]
+        entries = np.bincount(mine, minlength=size)
+        back = np.maximum(1 - np.bincount(mine, p, size), 1e-9) / np.maximum(1 - np.bincount(mine, parent, size), 1e-9)
+        gain = np.bincount(mine, n_kept * np.log(p / parent), size) + (seen - np.bincount(mine, n_kept, size)) * np.log(back)
+        retained = (gain >= GAIN * entries) & (entries > 0) & (seen >= often)
+        log_p = np.full(len(n), np.nan)
+        log_p[kept] = np.log10(p)
+        chain[at] += np.where(retained, np.log10(back), 0.0)[of]
+        held = retained[of_some] & ~np.isnan(log_p)[entry]
+        chain[some[held]] = log_p[entry[held]]
+        grown[:] = first > depth
+        grown[at[(entries > 0)[of]]] = True
+    return chain - start
+
+
+def gathered(blocks: DataFrame, max_depth: int, shared) -> DataFrame:
+    """Rows of dealt without its blocks, and a row for what tokens of a text gain in the groups of a task."""
+    sums = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    kinds = {f.name: f.dataType for f in blocks.schema.fields}
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, held_rows, held_gains, n_held = None, [], [], [], 0
+        known = shared.value
+        by_root = np.zeros(len(known.rank))
+        by_root[known.rank] = known.root.known(known.root.counts)
+
+        def scored_group():
+            columns, marks = zip(*held, strict=True)
+            columns, marks = [np.concatenate(x) for x in zip(*columns, strict=True)], np.concatenate(marks)
+            gains = light_gains(columns, marks, known, by_root)
+            some = gains != 0
+            row, at = np.unique(columns[2][some].view(np.int64), return_inverse=True)
+            return row, np.bincount(at, gains[some], len(row))
+
+        def out():
+            row, at = np.unique(np.concatenate(held_rows), return_inverse=True)
+            gains = np.bincount(at, np.concatenate(held_gains), len(row))
+            for i in range(0, len(row), 1 << 16):
+                n = len(row[i : i + (1 << 16)])
+                given = {"row": pa.array(row[i : i + n]), "score": pa.array(gains[i : i + n])}
+                yield pa.RecordBatch.from_arrays([given[x] if x in given else pa.nulls(n, like.schema.field(x).type) for x in sums], sums)
+
+        for batch in batches:
+            is_block = batch.column("block").is_valid().to_numpy(zero_copy_only=False)
+            like = batch.select(sums)
+            if not is_block.all():
+                yield like.filter(pa.array(~is_block))
+            groups, sizes = batch.column("group").to_numpy(), batch.column("size")
+            for i in np.flatnonzero(is_block).tolist():
+                if groups[i] != group and held:
+                    row, gains = scored_group()
+                    held_rows.append(row)
+                    held_gains.append(gains)
+                    held, n_held = [], n_held + len(row)
+                    if n_held > HELD:
+                        yield from out()
+                        held_rows, held_gains, n_held = [], [], 0
+                group = groups[i]
+                held.append(_unpacked(batch.column("block")[i].as_py(), sizes[i].as_py(), _FIXED + max_depth))
+        if held:
+            row, gains = scored_group()
+            held_rows.append(row)
+            held_gains.append(gains)
+        if held_rows:
+            yield from out()
+
+    dealt_out = blocks.repartition("group").sortWithinPartitions("group")
+    return dealt_out.mapInArrow(rows, ", ".join(f"{x} {kinds[x].simpleString()}" for x in sums))
+
+
+def lm_scores(docs: DataFrame, held_out: Column, max_depth: int = MAX_DEPTH, context_share: float = 0.0, joint_share: float = 0.0) -> DataFrame:
     """Learn from the rows where held_out does not hold, score every row.
 
-    Null is an empty text, which is one end. Rows that repeat an id teach and
-    are scored each; a null id is a row like any other (held_out null counts as
-    false). With nothing to learn from, scores are 0. Other columns are ignored.
+    Shares above zero leave out contexts, and next symbols of a context, below
+    that share of the training tokens. Null is an empty text, which is one end.
+    Rows that repeat an id teach and are scored each; a null id is a row like any
+    other (held_out null counts as false). With nothing to learn from, scores are
+    0. Other columns are ignored.
     """
+    context = docs.sparkSession.sparkContext
     docs = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    tree, counts = learn(docs.where(~F.col("held_out")), max_depth, context_share, joint_share)
-    return scored(docs, tree, counts)
+    counts, total, distinct, discount = root_counts(docs.where(~F.col("held_out")))
+    frequent = _at_least(counts, LOOKUPS)
+    alphabet, n = _sorted(counts.where(F.col("n") >= frequent).toArrow(), "symbol")  # at most LOOKUPS rows, as of entries below
+    rank = np.empty(len(n), np.int32)
+    rank[np.argsort(-n, kind="stable")] = np.arange(len(n), dtype=np.int32)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    known = Shared(Tree(alphabet, n, [], total, distinct, discount, joint_share), rank, [], *none, max(joint_share * total, LEAST_COUNT), context_share * total)
+    shared = context.broadcast(known)
+    docs = encoded(docs, shared)
+    levels, entries = heavy_states(docs.where(~F.col("held_out")), counts, shared, max_depth)
+    facts = counts.where(F.col("n") < frequent).select(F.col("symbol").alias("key"), "n")
+    if entries is not None:
+        often = _at_least(entries, LOOKUPS)
+        keys, n = _sorted(entries.where(F.col("n") >= often).toArrow(), "key")
+        known = known._replace(heavy=levels, keys=keys, n=n)
+        facts = facts.unionByName(entries.where(F.col("n") < often))
+    shared = context.broadcast(known)
+    facts = keep(facts, "facts")
+    discard(*(x for x in (counts, entries) if x is not None))
+    docs = answered(docs, facts, shared)
+    blocks = dealt(docs, shared, max_depth, max(64, total // GROUP))
+    sums = gathered(blocks, max_depth, shared).groupBy("row")
+    out = sums.agg(*(F.max(x).alias(x) for x in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")), F.sum("score").alias("score"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

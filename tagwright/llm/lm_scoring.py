@@ -8,8 +8,10 @@ discounted, and backs off to that suffix for the rest.
 
 The tree grows with the corpus and is never in one place. Contexts are light or
 heavy. A light one has fewer than HEAVY training tokens behind it (or than
-HEAVY_SHARE of all, if that is more): the tokens behind it are dealt to one task by its hash, which counts the subtree below it (longer
-contexts that end alike), tests its states and scores those tokens at once.
+HEAVY_SHARE of all, if that is more): the tokens behind it are dealt to one task by
+its hash, which counts the subtree below it (longer contexts that end alike), tests
+its states and scores those tokens at once. Texts travel in pieces, whose words are
+packed; what a piece's texts gain comes back to it by document.
 Heavy contexts, of which there are at most 1 / HEAVY_SHARE a depth, are counted by
 aggregation. Their entries are a table, of which the LOOKUPS most frequent at most
 are broadcast; texts ask for the rest, as for rare words, by a join.
@@ -47,8 +49,8 @@ HELD = 1 << 20
 HEAVY, HEAVY_SHARE = 1 << 17, 1e-5
 #: Words, and entries of heavy contexts, that are broadcast at most.
 LOOKUPS = 1 << 20
-#: Training tokens of a group of light contexts, on average, and tokens that a task deals at a time.
-GROUP, PIECE = 1 << 18, 1 << 20
+#: Training tokens of a group of light contexts, on average, and tokens of a piece, which a task deals at a time (one text at least).
+GROUP, PIECE = 1 << 19, 1 << 18
 
 
 class Tree(NamedTuple):
@@ -278,90 +280,147 @@ def _sorted(table: pa.Table, key: str, n: str = "n") -> tuple[np.ndarray, np.nda
     return keys[order], table.column(n).to_numpy()[order]
 
 
-def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
+def _packed(*columns: np.ndarray) -> tuple[int, bytes]:
+    """Columns one after the other, each byte by byte, so that like bytes lie together, compressed; their size before that comes first."""
+    data = b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() for x in columns)
+    return len(data), pa.compress(data, "zstd", asbytes=True)
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column, and where each row's begin (with the end)."""
-    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    values = column.flatten()
-    return values, np.concatenate(([0], np.cumsum(lengths)))
+class Unpacked:
+    """Columns of what _packed made, taken in their order."""
+
+    def __init__(self, raw: int, block: bytes) -> None:
+        self.data, self.at = np.frombuffer(pa.decompress(block, raw, "zstd", asbytes=True), np.uint8), 0
+
+    def take(self, kind: type, n: int) -> np.ndarray:
+        size = np.dtype(kind).itemsize
+        planes = self.data[self.at : self.at + n * size].reshape(size, n)
+        self.at += n * size
+        return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 def encoded(docs: DataFrame, shared) -> DataFrame:
-    """row, doc_id, held_out, ids (a number a frequent word, -1 for others), rare (the others' hashes), written."""
+    """Documents in pieces of about PIECE words, a row each, written: piece, doc_id and held_out of each, and their words packed.
+
+    A frequent word is its number, others (-1) are hashes. n_words and n_rare number them.
+    """
+    names = ["doc_id", "held_out", "n_words", "n_rare", "raw", "text"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root, rank = shared.value.root, shared.value.rank
+
+        def out(held):
+            doc_ids, held_out, lengths, ids, rare = (list(x) for x in zip(*held, strict=True))
+            ids, rare = np.concatenate(ids), np.concatenate(rare)
+            raw, block = _packed(np.concatenate(lengths), ids, rare)
+            columns = [_one(x) for x in (doc_ids, held_out)]
+            return pa.RecordBatch.from_arrays([*columns, *(pa.array([x]) for x in (len(ids), len(rare), raw)), pa.array([block], pa.binary())], names)
+
+        held, n_held = [], 0
         for batch in slices(batches, "text"):
             text = symbols(batch.column("text"))
             at, frequent = find(root.alphabet, text.symbols)
             ids = np.where(frequent, rank[at] if len(rank) else 0, -1).astype(np.int32)
-            edges = np.arange(batch.num_rows + 1)
-            rare = text.symbols[~frequent].view(np.int64)
-            columns = [_lists(np.searchsorted(text.document, edges), ids), _lists(np.searchsorted(text.document[~frequent], edges), rare)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *columns], ["doc_id", "held_out", "ids", "rare"])
+            if held and n_held + len(ids) > PIECE:
+                yield out(held)
+                held, n_held = [], 0
+            lengths = np.bincount(text.document, minlength=batch.num_rows).astype(np.int32)
+            held.append((batch.column("doc_id"), batch.column("held_out"), lengths, ids, text.symbols[~frequent]))
+            n_held += len(ids)
+        if held:
+            yield out(held)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.col("text").cast("string").alias("text"))
-    out = docs.mapInArrow(rows, "doc_id long, held_out boolean, ids array<int>, rare array<long>")
-    return keep(out.withColumn("row", F.monotonically_increasing_id()), "encoded")
+    out = docs.mapInArrow(rows, "doc_id array<long>, held_out array<boolean>, n_words long, n_rare long, raw long, text binary")
+    return keep(out.withColumn("piece", F.monotonically_increasing_id()), "encoded")
+
+
+def _one(arrays: list[pa.Array]) -> pa.Array:
+    """A list column of one row."""
+    values = pa.concat_arrays(arrays)
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+class Piece(NamedTuple):
+    row: dict[str, pa.Scalar]
+    text: Text
+    ids: np.ndarray  # number of each word, -1: rare
+    held_out: np.ndarray  # by document
 
 
-def pieces(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[tuple[pa.RecordBatch, Text, np.ndarray]]:
-    """Some documents, their text, and the number of each word (-1: rare), about PIECE words at a time."""
+def pieces(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[Piece]:
     by_rank = np.empty(len(shared.rank), np.uint64)
     by_rank[shared.rank] = shared.root.alphabet
-    for whole in batches:
-        bounds = np.concatenate(([0], np.cumsum(whole.column("ids").value_lengths().to_numpy(zero_copy_only=False))))
-        at = 0
-        while at < whole.num_rows:
-            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PIECE, side="right")) - 1)
-            batch, at = whole.slice(at, to - at), to
-            ids, edges = _flat(batch.column("ids"))
-            ids = ids.to_numpy()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name)[i] for name in batch.schema.names}
+            held_out = row["held_out"].values.to_numpy(zero_copy_only=False).astype(bool)
+            packed = Unpacked(row["raw"].as_py(), row["text"].as_buffer())
+            lengths = packed.take(np.int32, len(held_out)).astype(np.int64)
+            ids = packed.take(np.int32, row["n_words"].as_py())
+            rare = packed.take(np.uint64, row["n_rare"].as_py())
             words = by_rank[ids] if len(by_rank) else np.zeros(len(ids), np.uint64)
-            words[ids < 0] = _flat(batch.column("rare"))[0].to_numpy().view(np.uint64)
-            document = np.repeat(np.arange(batch.num_rows), np.diff(edges))
-            yield batch, Text(words, document, np.arange(len(words)) - edges[:-1][document]), ids
+            words[ids < 0] = rare
+            document = np.repeat(np.arange(len(lengths)), lengths)
+            yield Piece(row, Text(words, document, np.arange(len(words)) - (np.cumsum(lengths) - lengths)[document]), ids, held_out)
 
 
-def heavy_entries(train: DataFrame, shared, contexts, depth: int) -> DataFrame:
-    """context, before (key of the entry one word shorter), symbol, key, whole (hash of context and symbol), n of the contexts given."""
-    names = ["context", "before", "symbol", "key", "whole"]
+def heavy_entries(docs: DataFrame, shared, contexts) -> DataFrame:
+    """context, symbol, n of the longest of the heavy contexts given, which come by depth."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, text, _ in pieces(batches, shared.value):
-            at, context = text.context(depth)
-            chosen = find(contexts.value, context)[1]
-            at, context = at[chosen], context[chosen]
+        for piece in pieces(batches, shared.value):
+            text = piece.text
+            at = np.flatnonzero(~piece.held_out[text.document])
+            for depth, chosen in enumerate(contexts.value, 1):  # what a heavy context ends in is heavy
+                at = at[text.place[at] >= depth]
+                context = range_hashes(text.symbols, at - depth, at)
+                found = find(chosen, context)[1]
+                at, context = at[found], context[found]
             symbol = text.symbols[at]
-            key, first, n = np.unique(joined(context, symbol), return_index=True, return_counts=True)
-            at, context, symbol = at[first], context[first], symbol[first]
-            before = joined(range_hashes(text.symbols, at - depth + 1, at), symbol) if depth > 1 else symbol
-            columns = [context, before, symbol, key, range_hashes(text.symbols, at - depth, at + 1)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in columns), pa.array(n.astype(np.int64))], [*names, "n"])
+            _, first, n = np.unique(joined(context, symbol), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(symbol[first].view(np.int64)), pa.array(n.astype(np.int64))], ["context", "symbol", "n"])
+
+    counted = docs.mapInArrow(rows, "context long, symbol long, n long")
+    return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+
 
-    counted = train.mapInArrow(rows, ", ".join(f"{x} long" for x in [*names, "n"]))
-    return counted.groupBy(*names).agg(F.sum("n").alias("n"))
+def with_keys(entries: DataFrame, contexts) -> DataFrame:
+    """entries with key, before (key of the entry one word shorter) and whole (hash of context and symbol). contexts: their hashes, sorted, and their words."""
+    names = ["context", "symbol", "n", "key", "before", "whole"]
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, words = contexts.value
+            depth = words.shape[1]
+            context, symbol = (batch.column(x).to_numpy().view(np.uint64) for x in ("context", "symbol"))
+            runs = np.column_stack([words[find(hashes, context)[0]], symbol]).reshape(-1)
+            at = np.arange(len(symbol)) * (depth + 1)
+            before = joined(range_hashes(runs, at + 1, at + depth), symbol) if depth > 1 else symbol
+            new = [joined(context, symbol), before, range_hashes(runs, at, at + depth + 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names[:3]), *(pa.array(x.view(np.int64)) for x in new)], names)
+
+    return entries.select(*names[:3]).mapInArrow(rows, ", ".join(f"{x} long" for x in names))
 
-def heavy_states(train: DataFrame, counts: DataFrame, shared, max_depth: int) -> tuple[list[Heavy], DataFrame | None]:
+
+def heavy_states(docs: DataFrame, counts: DataFrame, shared, max_depth: int) -> tuple[list[Heavy], DataFrame | None]:
     """States of heavy contexts by depth, and the entries (key, n) of those that are retained."""
-    spark, root, least, often = train.sparkSession, shared.value.root, shared.value.least, shared.value.often
+    spark, root, least, often = docs.sparkSession, shared.value.root, shared.value.least, shared.value.often
     most = max(HEAVY, int(HEAVY_SHARE * root.total))
     end = int(np.array([END]).view(np.int64)[0])
     contexts = counts.where((F.col("n") >= most) & (F.col("symbol") != end)).toArrow()  # at most 1 / HEAVY_SHARE rows, here and below
     words, seen = _sorted(contexts, "symbol")
     hashes = range_hashes(words, np.arange(len(words)), np.arange(len(words)) + 1)
     order = np.argsort(hashes)
-    hashes, seen = hashes[order], seen[order]
+    hashes, seen, words = hashes[order], seen[order], words[order, None]
     chains = counts.select(F.col("symbol").alias("before"), F.log10(F.greatest(F.col("n") - root.discount, F.lit(1e-9)) / max(root.total, 1)).alias("chain"))
-    levels, entries, tables = [], None, []
+    levels, entries, tables, contexts = [], None, [], []
     for depth in range(1, max_depth + 1):
         if not len(hashes):
             break
-        level = heavy_entries(train, shared, spark.sparkContext.broadcast(hashes), depth).where(F.col("n") >= least)
+        contexts = [*contexts, hashes]
+        level = heavy_entries(docs, shared, spark.sparkContext.broadcast(contexts)).where(F.col("n") >= least)
+        level = with_keys(level, spark.sparkContext.broadcast((hashes, words)))
         level = keep(level.join(chains, "before").drop("before"), "heavy-entries")
         tables.append(level)
         sizes = F.broadcast(spark.createDataFrame(pa.table({"context": hashes.view(np.int64), "seen": seen})))
@@ -381,7 +440,11 @@ def heavy_states(train: DataFrame, counts: DataFrame, shared, max_depth: int) ->
         chains = level.select(F.col("key").alias("before"), F.when(F.col("retained"), F.log10(p)).otherwise(F.col("chain")).alias("chain"))
         found = level.where("retained").select("key", "n")
         entries = found if entries is None else entries.unionByName(found)
-        hashes, seen = _sorted(level.where((F.col("n") >= most) & (F.col("symbol") != end)).select("whole", "n").toArrow(), "whole")
+        longer = level.where((F.col("n") >= most) & (F.col("symbol") != end)).select("context", "symbol", "whole", "n").toArrow()
+        column = lambda name: longer.column(name).to_numpy().view(np.uint64)
+        order = np.argsort(column("whole"))
+        words = np.column_stack([words[find(hashes, column("context"))[0]], column("symbol")])[order]
+        hashes, seen = column("whole")[order], longer.column("n").to_numpy()[order]
     if entries is not None:
         entries = keep(entries, "heavy-lookups")
         discard(*tables)
@@ -399,26 +462,35 @@ def heavy_walk(text: Text, shared: Shared) -> Iterator[tuple[Heavy, np.ndarray,
         yield heavy, at, state, joined(context, text.symbols[at])
 
 
+def heavy_chain(text: Text, shared: Shared, chain: np.ndarray, told_of=None) -> tuple[np.ndarray, np.ndarray]:
+    """Takes chain, log10 of each token's probability by the root, on through heavy states. The depth that follows these, and tokens with an entry that was told."""
+    depth, told = np.ones(len(chain), np.uint8), np.zeros(len(chain), bool)
+    for level, (heavy, at, state, key) in enumerate(heavy_walk(text, shared), 1):
+        where, there = find(shared.keys, key)
+        n_entry = np.where(there, shared.n[where] if len(shared.n) else 0, 0)
+        if told_of:
+            n_entry[~there] = told_of(key[~there])
+            told[at] |= ~there & (n_entry > 0)
+        log_p = np.log10(np.maximum(n_entry - DISCOUNT, 1e-9) / heavy.seen[state])
+        chain[at] = np.where(heavy.retained[state], np.where(n_entry >= shared.least, log_p, chain[at] + heavy.log_back[state]), chain[at])
+        depth[at] = level + 1
+    return depth, told
+
+
 def asked(docs: DataFrame, shared) -> DataFrame:
-    """row, key: the rare words of each text, and its entries of retained heavy states that are not broadcast."""
+    """piece, key: the rare words of each piece, and its entries of retained heavy states that are not broadcast."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, text, ids in pieces(batches, shared.value):
-            keys, documents = [text.symbols[ids < 0]], [text.document[ids < 0]]
-            for heavy, at, state, key in heavy_walk(text, shared.value):
-                open_ = heavy.retained[state] & ~find(shared.value.keys, key)[1]
-                keys.append(key[open_])
-                documents.append(text.document[at[open_]])
-            keys, documents = np.concatenate(keys), np.concatenate(documents)
-            order = np.lexsort((keys, documents))
-            keys, documents = keys[order], documents[order]
-            first = np.ones(len(keys), bool)
-            first[1:] = (keys[1:] != keys[:-1]) | (documents[1:] != documents[:-1])
-            row = batch.column("row").to_numpy()[documents[first]]
-            for i in range(0, len(row), 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(row[i : i + (1 << 17)]), pa.array(keys[first][i : i + (1 << 17)].view(np.int64))], ["row", "key"])
-
-    return docs.select("row", "ids", "rare").mapInArrow(rows, "row long, key long")
+        for piece in pieces(batches, shared.value):
+            keys = [piece.text.symbols[piece.ids < 0]]
+            for heavy, _, state, key in heavy_walk(piece.text, shared.value):
+                keys.append(key[heavy.retained[state] & ~find(shared.value.keys, key)[1]])
+            keys = np.unique(np.concatenate(keys)).view(np.int64)
+            for i in range(0, len(keys), 1 << 17):
+                some = pa.array(keys[i : i + (1 << 17)])
+                yield pa.RecordBatch.from_arrays([pa.repeat(piece.row["piece"], len(some)), some], ["piece", "key"])
+
+    return docs.select(*PACKED).mapInArrow(rows, "piece long, key long")
 
 
 def answered(docs: DataFrame, facts: DataFrame, shared) -> DataFrame:
@@ -427,16 +499,17 @@ def answered(docs: DataFrame, facts: DataFrame, shared) -> DataFrame:
     near = passing(asked(docs, shared), keep(bit_words(facts, "key", bits), "asked-filter"), "key", bits)
     near = keep(near, "asked")
     met = keep(near.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).join(facts, "key"), "asked-met")
-    answers = hub_join(near, met, "key").groupBy("row").agg(F.collect_list(F.struct("key", "n")).alias("answers"))
-    out = keep(docs.join(answers, "row", "left"), "answered")
+    answers = hub_join(near, met, "key").groupBy("piece").agg(F.collect_list(F.struct("key", "n")).alias("answers"))
+    out = keep(docs.join(answers, "piece", "left"), "answered")
     discard(docs, facts, near, met)
     docs.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
-#: Columns of a block, 8 bytes each: next symbol, log10 of its probability so far (OF_ROOT: what the root gives to a frequent word), row, the words before it from the last.
-_FIXED = 3
-OF_ROOT = 1.0
+#: Columns that pieces reads.
+PACKED = ["piece", "held_out", "n_words", "n_rare", "raw", "text"]
+#: Stands in a block for a next symbol that is NONE.
+_NONE = -2
 #: Stands for next symbols that are too rare to be kept in any state.
 NONE = np.uint64(1 << 63)
 
@@ -451,36 +524,37 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], of
 
 
-def _packed(columns: list[np.ndarray], marks: np.ndarray) -> bytes:
-    """Equal columns byte by byte, so that their like bytes lie together, compressed."""
-    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T) for x in columns]
-    return pa.compress(b"".join([*(x.tobytes() for x in planes), marks.tobytes()]), "zstd", asbytes=True)
+#: What texts score by the root and heavy states, of each document of a piece.
+TOTALS = {"doc_id": "long", "held_out": "boolean", "n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
+_ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
+_SENT = {"piece": pa.int64(), "size": pa.int64(), "raw": pa.int64(), "block": pa.binary()} | {k: pa.list_(_ARROW[v]) for k, v in TOTALS.items()}
+_SENT_SCHEMA = "piece long, size long, raw long, block binary, " + ", ".join(f"{k} array<{v}>" for k, v in TOTALS.items())
 
 
-def _unpacked(block: bytes, size: int, n_columns: int) -> tuple[list[np.ndarray], np.ndarray]:
-    data = np.frombuffer(pa.decompress(block, size * (8 * n_columns + 1), "zstd", asbytes=True), np.uint8)
-    planes = data[: size * 8 * n_columns].reshape(n_columns, 8, size)
-    return [np.ascontiguousarray(x.T).reshape(-1).view(np.uint64) for x in planes], data[size * 8 * n_columns :]
+def _record(columns: dict[str, pa.Array], n: int, kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[x].cast(t) if x in columns else pa.nulls(n, t) for x, t in kinds.items()], list(kinds))
 
 
 def dealt(docs: DataFrame, shared, max_depth: int, groups: int) -> DataFrame:
-    """What texts score by the root and heavy states, a row each, and their tokens behind light contexts as blocks (size, block) by group."""
-    names = ["group", "size", "block", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    schema = ", ".join(f"{n} {'binary' if t == pa.binary() else 'boolean' if t == pa.bool_() else 'double' if t == pa.float64() else 'long'}" for n, t in zip(names, types, strict=True))
+    """A row a piece of what its texts score by the root and heavy states, and the piece's tokens behind light contexts as blocks by group.
 
-    def record(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([columns[x].cast(t) if x in columns else pa.nulls(n, t) for x, t in zip(names, types, strict=True)], names)
+    A block has of each of its tokens (size) the next symbol and the words before it from the last,
+    its document in the piece, marks, and what it scores so far where that rests on rare words or on entries that were told.
+    """
+    kinds = {"group": pa.int64()} | _SENT
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         root, ranked = known.root, np.empty(len(known.rank), np.int64)
         ranked[known.rank] = root.counts
-        for batch, text, ids in pieces(batches, known):
-            n, frequent = batch.num_rows, ids >= 0
-            told = _flat(batch.column("answers"))[0]
-            told_keys, first = np.unique(told.field("key").to_numpy().view(np.uint64), return_index=True)
-            told_n = told.field("n").to_numpy()[first]
+        for piece in pieces(batches, known):
+            text, ids, n = piece.text, piece.ids, len(piece.held_out)
+            frequent = ids >= 0
+            told = piece.row["answers"].values
+            told_keys, told_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            if told is not None:
+                told_keys, first = np.unique(told.field("key").to_numpy().view(np.uint64), return_index=True)
+                told_n = told.field("n").to_numpy()[first]
 
             def told_of(keys, told_keys=told_keys, told_n=told_n):
                 at, found = find(told_keys, keys)
@@ -489,61 +563,97 @@ def dealt(docs: DataFrame, shared, max_depth: int, groups: int) -> DataFrame:
             count = np.where(frequent, ranked[ids] if len(ranked) else 0, 0)
             count[~frequent] = told_of(text.symbols[~frequent])
             chain = np.where(count > 0, root.known(np.maximum(count, 1)), root.unknown()) if root.total else np.zeros(len(count))
-            depth, light = np.ones(len(count), np.uint8), text.place >= 1
-            for level, (heavy, at, state, key) in enumerate(heavy_walk(text, known), 1):
-                where, there = find(known.keys, key)
-                n_entry = np.where(there, known.n[where] if len(known.n) else 0, 0)
-                n_entry[~there] = told_of(key[~there])
-                log_p = np.log10(np.maximum(n_entry - DISCOUNT, 1e-9) / heavy.seen[state])
-                chain[at] = np.where(heavy.retained[state], np.where(n_entry >= known.least, log_p, chain[at] + heavy.log_back[state]), chain[at])
-                depth[at] = level + 1
-                light[at] = (text.place[at] > level) & (level < max_depth)
-            row = batch.column("row").to_numpy()
+            depth, told = heavy_chain(text, known, chain, told_of)
+            number = piece.row["piece"].as_py()
             total = {
-                "row": batch.column("row"),
-                "group": pa.array(row % groups),
-                "doc_id": batch.column("doc_id"),
-                "held_out": batch.column("held_out"),
+                "doc_id": piece.row["doc_id"].values,
+                "held_out": pa.array(piece.held_out),
                 "n_tokens": pa.array(np.bincount(text.document, minlength=n)),
                 "n_known": pa.array(np.bincount(text.document, count > 0, n).astype(np.int64)),
                 "base_score": pa.array(np.bincount(text.document, root.base(count), n)),
                 "score": pa.array(np.bincount(text.document, chain, n)),
             }
-            yield record(total, n)
+            yield _record({"group": pa.array([number % groups]), "piece": pa.array([number])} | {k: _one([v]) for k, v in total.items()}, 1, kinds)
             # a word that is rarer than any entry ends what a light context can reach back to
             rare = count < known.least
             barrier = np.maximum.accumulate(np.where(rare, np.arange(len(rare)), -1))
             reach = np.minimum(text.place, max_depth)
             reach[1:] = np.minimum(reach[1:], np.arange(len(rare) - 1) - barrier[:-1])
-            at = np.flatnonzero(light & (reach >= depth))
+            at = np.flatnonzero(reach >= depth)
             group = (range_hashes(text.symbols, at - depth[at], at) % np.uint64(groups)).astype(np.int64)
-            code = np.where(rare, NONE, np.where(frequent, ids.astype(np.uint64), text.symbols | NONE))
+            code = np.where(rare, _NONE, ids).astype(np.int32)
             low = np.uint64((1 << 20) - 1)
-            order = np.argsort((group.astype(np.uint64) << np.uint64(40)) | ((code[at - 1] & low) << np.uint64(20)) | (code[at] & low))
+            order = np.argsort((group.astype(np.uint64) << np.uint64(40)) | ((code[at - 1].astype(np.uint64) & low) << np.uint64(20)) | (code[at].astype(np.uint64) & low))
             at, group = at[order], group[order]
-            held = batch.column("held_out").to_numpy(zero_copy_only=False)[text.document[at]]
-            reach = reach[at].astype(np.uint8)
-            marks = (held.astype(np.uint8) << np.uint8(7)) | (reach << np.uint8(3)) | depth[at]
-            words = [np.where(reach >= d, code[np.maximum(at - d, 0)], np.uint64(0)) for d in range(1, max_depth + 1)]
-            chain = np.where((depth == 1) & frequent & ~rare, OF_ROOT, chain)
-            columns = [code[at], chain[at].view(np.uint64), row[text.document[at]].view(np.uint64), *words]
+            reach, depth = reach[at].astype(np.uint8), depth[at]
+            document = text.document[at].astype(np.int32)
+            codes = np.stack([code[at], *(np.where(reach >= d, code[np.maximum(at - d, 0)], np.int32(0)) for d in range(1, max_depth + 1))])
+            again = ~told[at] & (codes[0] >= 0)  # tasks of groups know what these score so far
+            for d in range(1, max_depth):
+                again &= (depth <= d) | (codes[d] >= 0)
+            marks = (piece.held_out[document].astype(np.uint8) << np.uint8(7)) | (again.astype(np.uint8) << np.uint8(6)) | (reach << np.uint8(3)) | depth
+            so_far = chain[at]
             starts = np.flatnonzero(np.diff(group, prepend=-1))
             ends = np.append(starts[1:], len(at))
+
+            def packed(a, b, text=text, at=at, codes=codes, document=document, marks=marks, so_far=so_far, again=again):
+                some = np.ascontiguousarray(codes[:, a:b])
+                back, where = np.nonzero(some == -1)
+                return _packed(marks[a:b], document[a:b], *some, so_far[a:b][~again[a:b]], text.symbols[at[a:b][where] - back])
+
             for i in range(0, len(starts), 512):
-                spans = list(zip(starts[i : i + 512], ends[i : i + 512], strict=True))
-                blocks = [_packed([x[a:b] for x in columns], marks[a:b]) for a, b in spans]
-                yield record({"group": pa.array(group[starts[i : i + 512]]), "size": pa.array([b - a for a, b in spans]), "block": pa.array(blocks, pa.binary())}, len(blocks))
+                spans = list(zip(starts[i : i + 512].tolist(), ends[i : i + 512].tolist(), strict=True))
+                raw, blocks = zip(*(packed(a, b) for a, b in spans), strict=True)
+                sent = {"group": pa.array(group[starts[i : i + 512]]), "piece": pa.array([number] * len(spans)), "size": pa.array([b - a for a, b in spans]), "raw": pa.array(raw), "block": pa.array(blocks, pa.binary())}
+                yield _record(sent, len(spans), kinds)
 
-    return docs.mapInArrow(rows, schema)
+    return docs.select(*PACKED, "doc_id", "answers").mapInArrow(rows, f"group long, {_SENT_SCHEMA}")
 
 
-def light_gains(columns: list[np.ndarray], marks: np.ndarray, shared: Shared, by_root: np.ndarray) -> np.ndarray:
-    """What each token of a group gains over its heavy states by the states of light contexts, which are all here. by_root: log10 of frequent words' probability."""
-    symbol, start, words = columns[0], columns[1].view(np.float64).copy(), columns[_FIXED:]
+class Tokens(NamedTuple):
+    """Tokens of a block. columns: the next symbol and the words before it from the last; start: what they score so far; document: in the piece."""
+
+    columns: list[np.ndarray]
+    start: np.ndarray
+    marks: np.ndarray
+    document: np.ndarray
+
+
+def tokens(size: int, raw: int, block: bytes, max_depth: int) -> Tokens:
+    packed = Unpacked(raw, block)
+    marks, document = packed.take(np.uint8, size), packed.take(np.int32, size)
+    codes = np.stack([packed.take(np.int32, size) for _ in range(max_depth + 1)])
+    start, sent = np.zeros(size), (marks >> 6 & 1) == 0
+    start[sent] = packed.take(np.float64, int(sent.sum()))
+    columns = codes.astype(np.uint64)
+    columns[codes == _NONE] = NONE
+    rare = codes == -1
+    columns[rare] = packed.take(np.uint64, int(rare.sum())) | NONE
+    return Tokens(list(columns), start, marks, document)
+
+
+def start_again(columns: list[np.ndarray], start: np.ndarray, marks: np.ndarray, shared: Shared, by_rank: np.ndarray, by_root: np.ndarray) -> None:
+    """Fills in start where blocks leave it out. by_rank, by_root: hashes of frequent words, and log10 of their probability."""
+    again = np.flatnonzero(marks >> 6 & 1)
+    start[again] = by_root[columns[0][again].astype(np.int64)]
+    again = again[(marks[again] & 7) > 1]
+    for i in range(0, len(again), 1 << 16):
+        some = again[i : i + (1 << 16)]
+        depth = (marks[some] & 7).astype(np.int64) - 1
+        most = int(depth.max())
+        runs = np.stack([by_rank[np.where(depth >= d, columns[d][some], 0).astype(np.int64)] for d in range(most, -1, -1)], axis=1)
+        last = np.arange(len(some)) * (most + 1) + most
+        place, chain = np.zeros(runs.size, np.int64), np.zeros(runs.size)
+        place[last], chain[last] = depth, start[some]
+        heavy_chain(Text(runs.reshape(-1), place, place), shared, chain)
+        start[some] = chain[last]
+
+
+def light_gains(columns: list[np.ndarray], start: np.ndarray, marks: np.ndarray, shared: Shared) -> np.ndarray:
+    """What each token of a group gains over its heavy states by the states of light contexts, which are all here."""
+    symbol, words = columns[0], columns[1:]
     least, often = shared.least, shared.often
-    of_root = start == OF_ROOT
-    start[of_root] = by_root[symbol[of_root].astype(np.int64)]
-    taught, reach, first = (marks >> 7) == 0, (marks >> 3) & 15, marks & 7
+    taught, reach, first = (marks >> 7) == 0, (marks >> 3) & 7, marks & 7
     chain, key = start.copy(), np.zeros(len(symbol), np.uint64)
     grown = np.ones(len(symbol), bool)  # tokens whose shorter context has entries
     for depth, word in enumerate(words, 1):
@@ -575,58 +685,99 @@ def light_gains(columns: list[np.ndarray], marks: np.ndarray, shared: Shared, by
 
 
 def gathered(blocks: DataFrame, max_depth: int, shared) -> DataFrame:
-    """Rows of dealt without its blocks, and a row for what tokens of a text gain in the groups of a task."""
-    sums = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-    kinds = {f.name: f.dataType for f in blocks.schema.fields}
+    """Rows of dealt without its blocks, and blocks of what documents of a piece gain in the groups of a task (size of them)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, held_rows, held_gains, n_held = None, [], [], [], 0
         known = shared.value
-        by_root = np.zeros(len(known.rank))
-        by_root[known.rank] = known.root.known(known.root.counts)
+        by_rank, by_root = np.empty(len(known.rank), np.uint64), np.zeros(len(known.rank))
+        by_rank[known.rank], by_root[known.rank] = known.root.alphabet, known.root.known(known.root.counts)
+        group, held, gained, n_gained = None, [], [], 0
 
         def scored_group():
-            columns, marks = zip(*held, strict=True)
-            columns, marks = [np.concatenate(x) for x in zip(*columns, strict=True)], np.concatenate(marks)
-            gains = light_gains(columns, marks, known, by_root)
-            some = gains != 0
-            row, at = np.unique(columns[2][some].view(np.int64), return_inverse=True)
-            return row, np.bincount(at, gains[some], len(row))
+            """piece, document, gain of each document that gains."""
+            number = np.repeat([x for x, _ in held], [len(x.marks) for _, x in held])
+            columns = [np.concatenate(x) for x in zip(*(x.columns for _, x in held), strict=True)]
+            start, marks, document = (np.concatenate(x) for x in zip(*(x[1:] for _, x in held), strict=True))
+            held.clear()
+            start_again(columns, start, marks, known, by_rank, by_root)
+            gains = light_gains(columns, start, marks, known)
+            some = np.flatnonzero(gains)
+            return number[some], document[some], gains[some]
+
+        def together():
+            number, document, gains = (np.concatenate(x) for x in zip(*gained, strict=True))
+            order = np.lexsort((document, number))
+            number, document = number[order], document[order]
+            first = np.ones(len(order), bool)
+            first[1:] = (number[1:] != number[:-1]) | (document[1:] != document[:-1])
+            return number[first], document[first], np.bincount(np.cumsum(first) - 1, gains[order], int(first.sum()))
 
         def out():
-            row, at = np.unique(np.concatenate(held_rows), return_inverse=True)
-            gains = np.bincount(at, np.concatenate(held_gains), len(row))
-            for i in range(0, len(row), 1 << 16):
-                n = len(row[i : i + (1 << 16)])
-                given = {"row": pa.array(row[i : i + n]), "score": pa.array(gains[i : i + n])}
-                yield pa.RecordBatch.from_arrays([given[x] if x in given else pa.nulls(n, like.schema.field(x).type) for x in sums], sums)
+            number, document, gains = together()
+            first = np.ones(len(number), bool)
+            first[1:] = number[1:] != number[:-1]
+            starts = np.flatnonzero(first)
+            ends = np.append(starts[1:], len(number))
+            for i in range(0, len(starts), 512):
+                spans = list(zip(starts[i : i + 512].tolist(), ends[i : i + 512].tolist(), strict=True))
+                raw, packed = zip(*(_packed(document[a:b], gains[a:b]) for a, b in spans), strict=True)
+                yield _record({"piece": pa.array(number[starts[i : i + 512]]), "size": pa.array([b - a for a, b in spans]), "raw": pa.array(raw), "block": pa.array(packed, pa.binary())}, len(spans), _SENT)
 
         for batch in batches:
             is_block = batch.column("block").is_valid().to_numpy(zero_copy_only=False)
-            like = batch.select(sums)
             if not is_block.all():
-                yield like.filter(pa.array(~is_block))
-            groups, sizes = batch.column("group").to_numpy(), batch.column("size")
+                yield batch.select(list(_SENT)).filter(pa.array(~is_block))
+            groups, numbers, sizes, raws = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("group", "piece", "size", "raw"))
             for i in np.flatnonzero(is_block).tolist():
                 if groups[i] != group and held:
-                    row, gains = scored_group()
-                    held_rows.append(row)
-                    held_gains.append(gains)
-                    held, n_held = [], n_held + len(row)
-                    if n_held > HELD:
-                        yield from out()
-                        held_rows, held_gains, n_held = [], [], 0
+                    gained.append(scored_group())
+                    n_gained += len(gained[-1][0])
+                    if n_gained > 2 * HELD:
+                        gained = [together()]
+                        n_gained = len(gained[0][0])
+                        if n_gained > HELD:
+                            yield from out()
+                            gained, n_gained = [], 0
                 group = groups[i]
-                held.append(_unpacked(batch.column("block")[i].as_py(), sizes[i].as_py(), _FIXED + max_depth))
+                held.append((numbers[i], tokens(int(sizes[i]), int(raws[i]), batch.column("block")[i].as_buffer(), max_depth)))
         if held:
-            row, gains = scored_group()
-            held_rows.append(row)
-            held_gains.append(gains)
-        if held_rows:
+            gained.append(scored_group())
+        if gained:
+            yield from out()
+
+    return blocks.repartition("group").sortWithinPartitions("group").mapInArrow(rows, _SENT_SCHEMA)
+
+
+def texts(sums: DataFrame) -> DataFrame:
+    """A row a document, of the rows of gathered."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, total, gained = None, None, []
+
+        def out():
+            columns = {x: total[x].values for x in TOTALS}
+            if gained:
+                document, gains = (np.concatenate(x) for x in zip(*gained, strict=True))
+                columns["score"] = pa.array(columns["score"].to_numpy() + np.bincount(document, gains, len(columns["score"])))
+            for i in range(0, len(columns["score"]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([x.slice(i, 1 << 16) for x in columns.values()], list(columns))
+
+        for batch in batches:
+            for i, here in enumerate(batch.column("piece").to_pylist()):
+                if here != number and total is not None:
+                    yield from out()
+                    total, gained = None, []
+                number = here
+                if batch.column("block")[i].is_valid:
+                    size = batch.column("size")[i].as_py()
+                    packed = Unpacked(batch.column("raw")[i].as_py(), batch.column("block")[i].as_buffer())
+                    gained.append((packed.take(np.int32, size), packed.take(np.float64, size)))
+                else:
+                    total = {x: batch.column(x)[i] for x in TOTALS}
+        if total is not None:
             yield from out()
 
-    dealt_out = blocks.repartition("group").sortWithinPartitions("group")
-    return dealt_out.mapInArrow(rows, ", ".join(f"{x} {kinds[x].simpleString()}" for x in sums))
+    return sums.repartition("piece").sortWithinPartitions("piece").mapInArrow(rows, ", ".join(f"{k} {v}" for k, v in TOTALS.items()))
 
 
 def lm_scores(docs: DataFrame, held_out: Column, max_depth: int = MAX_DEPTH, context_share: float = 0.0, joint_share: float = 0.0) -> DataFrame:
@@ -649,7 +800,7 @@ def lm_scores(docs: DataFrame, held_out: Column, max_depth: int = MAX_DEPTH, con
     known = Shared(Tree(alphabet, n, [], total, distinct, discount, joint_share), rank, [], *none, max(joint_share * total, LEAST_COUNT), context_share * total)
     shared = context.broadcast(known)
     docs = encoded(docs, shared)
-    levels, entries = heavy_states(docs.where(~F.col("held_out")), counts, shared, max_depth)
+    levels, entries = heavy_states(docs.select(*PACKED), counts, shared, max_depth)
     facts = counts.where(F.col("n") < frequent).select(F.col("symbol").alias("key"), "n")
     if entries is not None:
         often = _at_least(entries, LOOKUPS)
@@ -661,6 +812,5 @@ def lm_scores(docs: DataFrame, held_out: Column, max_depth: int = MAX_DEPTH, con
     discard(*(x for x in (counts, entries) if x is not None))
     docs = answered(docs, facts, shared)
     blocks = dealt(docs, shared, max_depth, max(64, total // GROUP))
-    sums = gathered(blocks, max_depth, shared).groupBy("row")
-    out = sums.agg(*(F.max(x).alias(x) for x in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")), F.sum("score").alias("score"))
+    out = texts(gathered(blocks, max_depth, shared))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

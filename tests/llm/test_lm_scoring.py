@@ -1,6 +1,7 @@
 """The suffix tree over light and heavy contexts, against dictionaries of counts."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,3 +43,22 @@ def test_heavy_and_light_contexts_score_alike(spark, monkeypatch, heavy, lookups
 def test_nothing_to_learn_from_scores_zero(spark):
     docs = spark.createDataFrame([(1, "a b a b"), (2, None)], "doc_id long, text string")
     assert [(r.n_tokens, r.n_known, r.score) for r in lm_scoring.lm_scores(docs, F.lit(True)).orderBy("doc_id").collect()] == [(5, 0, 0.0), (1, 0, 0.0)]
+
+
+def test_texts_travel_in_packed_pieces(spark):
+    """Words of many texts are one packed row a task and not a row a text, and are read back as they were, rare ones too."""
+    texts = phrased(150, 10)
+    docs = spark.createDataFrame([(i, " ".join(t), i % 5 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean").coalesce(1)
+    want = lm_scoring.symbols(pa.array([" ".join(t) for t in texts]))
+    alphabet, n = np.unique(want.symbols, return_counts=True)
+    alphabet, n = alphabet[n > 9], n[n > 9]
+    rank = np.argsort(np.argsort(-n, kind="stable")).astype(np.int32)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    known = lm_scoring.Shared(lm_scoring.Tree(alphabet, n, [], int(n.sum()), len(n), 0.5, 0.0), rank, [], *none, 2, 0.0)
+    table = lm_scoring.encoded(docs, spark.sparkContext.broadcast(known))
+    assert table.count() == 1
+    (piece,) = lm_scoring.pieces(table.toArrow().to_batches(), known)
+    assert (piece.text.symbols == want.symbols).all() and (piece.text.document == want.document).all() and (piece.text.place == want.place).all()
+    assert (piece.held_out == (np.arange(150) % 5 == 0)).all() and 0 < (piece.ids < 0).sum() < len(piece.ids)
+    size = len(table.select("text").first()[0])
+    assert size < 4 * len(want.symbols), "packed words take fewer than the four bytes of a number"

@@ -7,6 +7,9 @@ share one partitioning by (file, page).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -107,6 +110,12 @@ def capacity_chips(tokens: DataFrame) -> DataFrame:
     return stacked.unionByName(glued).groupBy(*PAGE, "tok_id").agg(F.max_by("chip", "_rank").alias("chip"))
 
 
+def bears_on_prices(text: Column) -> Column:
+    """Whether a token can be a price, or be what keeps one from being a price: all that capacity_chips and price_tokens look at."""
+    kinds = (R.PRICE_TOKEN, R.PERCENT_TOKEN, R.GLUED_WAS, R.GLUED_PAIR, R.FINANCING, R.UNIT_WORD, R.NET_CHIP, r"^\d{2,4}$")
+    return reduce(or_, [text.rlike(k) for k in kinds]) | F.upper(text).contains("GROSS")
+
+
 def price_tokens(tokens: DataFrame, chips: DataFrame) -> DataFrame:
     """Price and percent tokens that are neither financing nor capacity chips."""
     marks = tokens.where(F.col("text").rlike(R.FINANCING))

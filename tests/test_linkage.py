@@ -199,3 +199,25 @@ def test_only_tokens_with_codes_are_joined(spark, catalog, monkeypatch):
     monkeypatch.setattr(linkage, "keep", kept)
     linkage.model_codes(linkage.placed(tokens_of(spark, PAGES)), catalog).collect()
     assert {r.tok_id for r in written["page-words"].where("file = 'badge'").select("tok_id").collect()} == {1, 3, 4}
+
+
+def test_only_what_bears_on_prices_is_written_for_the_clusters(spark, monkeypatch):
+    written = {}
+
+    def kept(df, name):
+        written[name] = keep(df, name)
+        return written[name]
+
+    monkeypatch.setattr(queries, "keep", kept)
+    assert queries.QUERIES["price_clusters"](spark, SF_DIR).count() > 0
+    table = written["page-tokens"]
+    assert not {"conf", "y1"} & set(table.columns) and table.where("text = 'DG MEMBER' or text rlike '^R[A-Z]'").isEmpty()
+
+
+def test_clusters_rest_on_what_bears_on_prices(spark):
+    texts = ["2099", "D2999", "-31%", "WASD8999!", "D5499E5199", "WORTHD1999", "650", "LITRES", "75", "KG", "NET550", "gro\u00df", "tabby D104", "RB12C34", "DG 5", "GROSS-607L", "550L1", "12,500.50", "EMI"]
+    rows = [("f", 1, k, t, 0.9, 40.0 * (k % 4), 70.0 * (k // 4), 40.0 * (k % 4) + 60, 70.0 * (k // 4) + 30) for k, t in enumerate(texts)]
+    tokens = linkage.placed(spark.createDataFrame(rows, "file string, page int, tok_id long, text string, conf double, x0 double, y0 double, x1 double, y1 double"))
+    some = tokens.where(linkage.bears_on_prices(F.col("text")))
+    found = lambda t: sorted(linkage.price_clusters(linkage.price_tokens(t, linkage.capacity_chips(t))).select("tok_id", "part", "text", "cluster", "price").collect())
+    assert found(some) == found(tokens) and len(found(some)) > 3 and some.count() < tokens.count()
